@@ -60,9 +60,13 @@ SELECT page_id AS uuid, 'f'||(page_id%10) AS drive_metadata_uuid,
 FROM pages""",
     "city_search_franchises": f"""
 SELECT 'fr'||m AS uuid, 'Franchise '||m AS franchise_name,
-  CASE WHEN m%2=0 THEN 'https://www.'||host||'/store' ELSE host END AS domain_name
+  CASE WHEN m%2=0 THEN 'https://www.'||host||'/store' ELSE host END AS domain_name,
+  TIMESTAMP '2024-01-01 00:00:00' AS created_at, CAST(NULL AS TIMESTAMP) AS updated_at
 FROM (SELECT host, min(page_id) AS m FROM (SELECT page_id, {_HOST.format(u='url')} AS host FROM pages) p
       WHERE host LIKE '%.example.org' GROUP BY host) g""",
+    "franchise_list": f"""
+SELECT page_id AS row_no, 'Franchise '||page_id AS "Franchise Name", host AS "Domain Name"
+FROM (SELECT page_id, {_HOST.format(u='url')} AS host FROM pages) p WHERE host LIKE '%.example.org'""",
     "city_search_enriched": """
 SELECT o_orderkey AS uuid, 'f'||(o_orderkey//150) AS drive_metadata_uuid,
   CASE WHEN o_orderkey%5<>0 THEN 'F'||o_custkey END AS first_name,

@@ -147,9 +147,20 @@ def city_search_franchises(spark: SparkSession, sf_dir: str) -> DataFrame:
         _s("fr", F.col("m")).alias("uuid"),
         _s("Franchise ", F.col("m")).alias("franchise_name"),
         F.when(F.col("m") % 2 == 0, _s("https://www.", F.col("host"), "/store")).otherwise(F.col("host")).alias("domain_name"),
+        _ts(LISTING_EPOCH).alias("created_at"),
+        F.lit(None).cast("timestamp_ntz").alias("updated_at"),
     )
 
 
+def franchise_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Franchise master list as a sheet: one row per franchise listing page, in page order
+    (``row_no``); a domain repeats once per page, so keep-first de-duplication has work to do."""
+    p = _t(spark, sf_dir, "pages").select("page_id", host_of(F.col("url")).alias("host"))
+    return p.where(F.col("host").endswith(FRANCHISE_DOMAIN_SUFFIX)).select(
+        F.col("page_id").alias("row_no"), _s("Franchise ", F.col("page_id")).alias("Franchise Name"),
+        F.col("host").alias("Domain Name"))
+
+
 def city_search_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _t(spark, sf_dir, "orders")
     k, c = F.col("o_orderkey"), F.col("o_custkey")

@@ -46,6 +46,10 @@ class Tables:
     def franchises(self) -> DataFrame:
         return fx.city_search_franchises(self.spark, self.sf_dir)
 
+    @cached_property
+    def franchise_list(self) -> DataFrame:
+        return fx.franchise_list(self.spark, self.sf_dir)
+
     @cached_property
     def enriched(self) -> DataFrame:
         return fx.city_search_enriched(self.spark, self.sf_dir)
