@@ -1,3 +1,3 @@
 """Imports every query module so that each registers its keys."""
 
-from . import q_city, q_leads  # noqa: F401
+from . import q_city, q_leads, q_listing  # noqa: F401
