@@ -235,13 +235,14 @@ def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return roots.unionByName(folders).unionByName(processed).unionByName(files)
 
 
-def listing_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def listing_records(spark: SparkSession, sf_dir: str, id_shift: int = 0) -> DataFrame:
     """Drive listing records as the API returns them: arrays for parents/owners and one nested
-    struct for the last modifying user (input of the one-level flatten)."""
+    struct for the last modifying user (input of the one-level flatten). ``id_shift`` moves the
+    ids (as ``new_listing`` does) so some records are new to the catalog."""
     s = _t(spark, sf_dir, "supplier")
     k = F.col("s_suppkey")
     return s.select(
-        _s("id", k).alias("id"),
+        _s("id", k + id_shift).alias("id"),
         _s(F.col("s_name"), _ext(k)).alias("name"),
         F.array(_s("n", F.col("s_nationkey"))).alias("parents"),
         F.array(_s("owner", k % 3, "@corp.com")).alias("owners"),
@@ -250,3 +251,66 @@ def listing_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.when(k % 6 != 0, _s("user", k % 4, "@corp.com")).alias("emailAddress")).alias("lastModifyingUser"),
         F.substring(_ext(k), 2, 4).alias("fileExtension"),
     )
+
+
+# ---- vendor lead files (CSV) derived from the leads view -------------------------------------
+
+VENDOR_LAYOUTS = 3   # file number % 3 picks the header layout of a lead file
+
+
+def vendor_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lead rows as a vendor sends them: vendor values (missing markers like 'N/A', zip codes
+    with leading zeros, quotes, commas, line breaks) plus the file's id and layout number."""
+    ld = leads(spark, sf_dir)
+    k = F.col("uuid")
+    fno = F.floor(k / LEADS_PER_FILE)
+    return ld.select(
+        _s("id", fno).alias("file_id"),
+        (fno % VENDOR_LAYOUTS).cast("int").alias("layout"),
+        k.cast("string").alias("zoominfo_contact_id"),
+        "first_name", "last_name",
+        F.when(k % 19 == 0, F.lit("N/A")).otherwise(F.col("job_title")).alias("job_title"),
+        "job_function", "email_address", "linkedin_contact_profile_url",
+        F.when(k % 31 == 0, _s(F.col("company_name"), ' "The Best"'))
+         .when(k % 29 == 0, _s(F.col("company_name"), ", Inc")).otherwise(F.col("company_name")).alias("company_name"),
+        "mobile_phone", "direct_phone_number",
+        F.lpad((k % 100000).cast("string"), 5, "0").alias("person_zip_code"),
+        (F.col("uuid") % 1000).cast("string").alias("revenue_in_000s_usd"),
+        "company_country",
+        F.when(k % 11 == 0, F.lit("line one\nline two")).otherwise(F.lit("nan")).alias("notes"),
+    )
+
+
+# Headings per layout, in file order: (heading, source column). Layout 1 lacks the mobile phone
+# and carries a stray drive_metadata_uuid and an extra Notes column; layout 2 lacks the direct
+# phone and revenue and uses other letter case.
+VENDOR_HEADINGS = {
+    0: [("ZoomInfo Contact ID", "zoominfo_contact_id"), ("First Name", "first_name"), ("Last Name", "last_name"),
+        ("Job Title", "job_title"), ("Job Function", "job_function"), ("Email Address", "email_address"),
+        ("LinkedIn Contact Profile URL", "linkedin_contact_profile_url"), ("Company Name", "company_name"),
+        ("Mobile phone", "mobile_phone"), ("Direct Phone Number", "direct_phone_number"),
+        ("Person Zip Code", "person_zip_code"), ("Revenue (in 000s USD)", "revenue_in_000s_usd"),
+        ("Company Country", "company_country")],
+    1: [("Email Address", "email_address"), ("ZoomInfo Contact ID", "zoominfo_contact_id"),
+        ("drive_metadata_uuid", "_stray"), ("Company  Country ", "company_country"), ("Last Name", "last_name"),
+        ("First Name", "first_name"), ("Job Title", "job_title"), ("Job Function", "job_function"),
+        ("Direct Phone Number", "direct_phone_number"), ("Company Name", "company_name"),
+        ("LinkedIn Contact Profile URL", "linkedin_contact_profile_url"), ("Person Zip Code", "person_zip_code"),
+        ("Revenue (in 000s USD)", "revenue_in_000s_usd"), ("Notes", "notes")],
+    2: [("ZOOMINFO CONTACT ID", "zoominfo_contact_id"), ("FIRST NAME", "first_name"), ("last name", "last_name"),
+        ("Job-Title", "job_title"), ("Job.Function", "job_function"), ("Email Address", "email_address"),
+        ("LinkedIn Contact Profile URL", "linkedin_contact_profile_url"), ("Company Name", "company_name"),
+        ("Mobile Phone", "mobile_phone"), ("Person Zip Code", "person_zip_code"), ("Company Country", "company_country")],
+}
+
+
+def write_vendor_files(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """Write the vendor lead files as CSV below ``root/file_id=<id>/`` (one header per part
+    file), one write per layout; returns ``root``."""
+    from ..sinks.writers import write_partitioned_csv
+    rows = vendor_rows(spark, sf_dir).withColumn("_stray", F.lit("WRONG"))
+    for layout, heads in VENDOR_HEADINGS.items():
+        part = rows.where(F.col("layout") == layout).select(
+            "file_id", *[F.col(src).alias(head) for head, src in heads])
+        write_partitioned_csv(part, root, ["file_id"], mode="append")
+    return root
