@@ -1,3 +1,3 @@
 """Imports every query module so that each registers its keys."""
 
-from . import q_city, q_ingest, q_leads, q_listing  # noqa: F401
+from . import q_city, q_ingest, q_leads, q_listing, q_stream  # noqa: F401

@@ -8,7 +8,9 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalar import landing_folder
 from ..operators.align import align_fill, align_intersect, row_uuid, stamp
+from ..sinks.writers import land_csv
 from ..schemas import insert_columns
 from ..sources.files import list_files, read_header_groups
 
@@ -19,19 +21,23 @@ def file_uuids(catalog: DataFrame) -> DataFrame:
 
 
 def ingest(spark: SparkSession, root: str, catalog: DataFrame, table: str, batch_ts: dt.datetime,
-           columns: list[str] | None = None, files: DataFrame | None = None) -> DataFrame:
+           columns: list[str] | None = None, files: DataFrame | None = None,
+           required: list[str] | None = None) -> DataFrame:
     """Raw rows of every file below ``root`` in the shape of ``table``.
 
     ``columns=None``: P-6 (all target columns, missing ones as ''); a list: P-5 (only the
     columns both sides have, the rest NULL). A ``drive_metadata_uuid`` column in a file is
     dropped and replaced by the catalog's (P-8); files unknown to the catalog are skipped.
     Every row gets ``created_at`` = ``batch_ts`` (P-4) and a content uuid (X-14).
+    ``required``: columns every file must have after cleaning (P-12's strict selection).
     """
     files = files if files is not None else list_files(spark, root)
     target = [c for c in insert_columns(table) if c not in ("drive_metadata_uuid", "created_at")]
     parts = []
     for g in read_header_groups(spark, files):
         g = g.drop("drive_metadata_uuid", "path")
+        if required:
+            enriched_select(g, required)
         if columns is None:
             parts.append(align_fill(g, target + ["file_id"]))
         else:
@@ -55,3 +61,15 @@ def enriched_select(df: DataFrame, columns: list[str]) -> DataFrame:
     if missing:
         raise KeyError(f"columns not in file: {missing}")
     return df.select(*columns)
+
+
+def land_files(spark: SparkSession, files: DataFrame, catalog: DataFrame, nodes: DataFrame, landing: str) -> str:
+    """K-3 for many files at once: each file's rows keep their own header, a stray
+    ``drive_metadata_uuid`` is replaced by the catalog's (P-8), and rows land under
+    ``file_type=<parent folder, X-7>/file_id=<id>``. Returns ``landing``."""
+    from ..operators.listing import parent_names
+    folder = parent_names(nodes).select(F.col("id").alias("file_id"), landing_folder(F.col("parent_name")).alias("file_type"))
+    for g in read_header_groups(spark, files, clean=False):
+        g = g.drop("drive_metadata_uuid", "path").join(file_uuids(catalog), "file_id", "inner").join(folder, "file_id", "inner")
+        land_csv(g, landing)
+    return landing

@@ -1,0 +1,185 @@
+"""Whole pipelines (R-1 … R-6) assembled from the operators.
+
+State lives in a folder of the shared work area: raw tables partitioned by ``file_id`` (append
+by dynamic partition overwrite) and per-batch snapshots of the row-changing tables
+(``catalog``, ``tracking``, ``franchises``). Batch N reads snapshot N−1 (or ``initial``) and
+writes snapshot N, so a retried batch recomputes the same result.
+
+Order inside a lead batch follows the reference: fresh leads are selected on the old tracking
+snapshot and written out (which materialises them) before tracking changes; tracking inserts
+(T-1), then customer marks (U-4), then metrics (A-1) on the new snapshot; the processed flag
+is set last (Q12).
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import scalar as X
+from ..operators import catalog as cat
+from ..operators import city as cy
+from ..operators import franchises as fr
+from ..operators import leads as ld
+from ..operators import outbox as ob
+from ..operators.joins import anti, semi
+from ..schemas import ENRICHED_DATA_COLUMNS, insert_columns
+from ..sinks import writers as wr
+from .ingest import ingest
+
+QUICK_MAIL_BOOK = "Quick Mail Output - "
+CITY_BOOK = "City Search Output - "
+
+
+class State:
+    """Paths of the pipeline's tables below one root folder."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def path(self, table: str) -> str:
+        return f"{self.root}/{table}"
+
+    def snap(self, table: str, batch_id: int) -> str:
+        tag = "initial" if batch_id < 0 else f"{batch_id:010d}"
+        return f"{self.root}/{table}/snapshot={tag}"
+
+    def read(self, table: str, batch_id: int) -> DataFrame:
+        return self.spark.read.parquet(self.snap(table, batch_id))
+
+    def write(self, df: DataFrame, table: str, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(self.snap(table, batch_id))
+
+    def init(self, **tables: DataFrame) -> "State":
+        for name, df in tables.items():
+            self.write(df, name, -1)
+        return self
+
+    def raw(self, table: str) -> DataFrame | None:
+        try:
+            return self.spark.read.parquet(self.path(f"raw_{table}"))
+        except Exception:  # noqa: BLE001 - no file loaded yet
+            return None
+
+
+def _unprocessed(files: DataFrame, catalog: DataFrame) -> DataFrame:
+    """F-6 gate: drop files the catalog already flags as processed."""
+    done = catalog.where(F.coalesce(F.col("has_been_processed"), F.lit(False))).select(F.col("id").alias("_done"))
+    return anti(files, done, F.col("file_id") == F.col("_done"))
+
+
+def _batch_rows(state: State, table: str, files: DataFrame, catalog: DataFrame, batch_ts: dt.datetime,
+                columns: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Ingest the batch's files, append them to the raw table (replay-safe), and return
+    (all raw rows, the batch's raw rows)."""
+    new = ingest(state.spark, None, catalog, table, batch_ts, columns=columns, files=files)
+    wr.append_load(new, state.path(f"raw_{table}"))
+    all_rows = state.raw(table)
+    ids = files.select(F.col("file_id").alias("_fid")).distinct()
+    return all_rows, semi(all_rows, ids, F.col("file_id") == F.col("_fid"))
+
+
+def lead_batch(state: State, files: DataFrame, batch_id: int, batch_ts: dt.datetime, customers: DataFrame) -> None:
+    """R-2 body for all files of one micro-batch (``files``: path, file_id)."""
+    catalog = state.read("catalog", batch_id - 1)
+    tracking = state.read("tracking", batch_id - 1)
+    files = _unprocessed(files, catalog)
+    all_leads, batch_leads = _batch_rows(state, "leads", files, catalog, batch_ts)
+    # fresh leads (W-1) of this batch's files; only e-mails of the batch can rank there
+    emails = batch_leads.select(F.col("email_address").alias("_e")).distinct()
+    candidates = semi(all_leads.drop("file_id"), emails, F.col("email_address") == F.col("_e"))
+    fresh = ld.fresh_leads(candidates, customers, tracking, catalog)
+    fresh = semi(fresh, batch_leads.select(F.col("drive_metadata_uuid").alias("_u")).distinct(),
+                 F.col("drive_metadata_uuid") == F.col("_u"))
+    book = F.concat(F.lit(QUICK_MAIL_BOOK), X.week_label(F.lit(batch_ts)))
+    sheet = ld.output_frame(fresh).withColumn("book", book).withColumn("sheet", F.col("file_name")).drop("file_name")
+    wr.sheet_output(sheet, state.path("sheets"))            # materialises the selection first
+    t1 = ld.track_posted(batch_leads, tracking, batch_ts)   # T-1
+    t2 = ld.track_customers(batch_leads, customers, t1, batch_ts)   # U-4
+    state.write(t2, "tracking", batch_id)
+    tracking_new = state.read("tracking", batch_id)
+    metrics = ld.status_metrics(tracking_new, batch_leads, catalog)  # A-1
+    ob.metrics_messages(metrics).write.mode("overwrite").parquet(state.path(f"outbox/batch={batch_id:010d}"))
+    state.write(cat.mark_processed(catalog, files.select(F.col("file_id").alias("id"))), "catalog", batch_id)
+
+
+def city_batch(state: State, files: DataFrame, batch_id: int, batch_ts: dt.datetime,
+               franchise_source: DataFrame | None = None) -> None:
+    """R-3 body: franchises upserted first (U-3); raw rows appended only for unprocessed files
+    (P-5 with the table's columns); the output sheets are always recomputed (J-16)."""
+    catalog = state.read("catalog", batch_id - 1)
+    franchises = state.read("franchises", batch_id - 1)
+    if franchise_source is not None:
+        franchises = fr.upsert_franchises(franchises, franchise_source, batch_ts)
+    state.write(franchises, "franchises", batch_id)
+    franchises = state.read("franchises", batch_id)
+    todo = _unprocessed(files, catalog)
+    cols = [c for c in insert_columns("city_search")]
+    new = ingest(state.spark, None, catalog, "city_search", batch_ts, columns=cols, files=todo)
+    wr.append_load(new, state.path("raw_city_search"))
+    city = state.raw("city_search")
+    ids = files.select(F.col("file_id").alias("_fid")).distinct()
+    sheet = cy.city_sheet(city.drop("file_id"), catalog, franchises)
+    sheet = semi(sheet, ids, F.col("file_id") == F.col("_fid"))
+    franchise_part, other_part = cy.city_sheet_parts(sheet)
+    book = F.concat(F.lit(CITY_BOOK), X.week_label(F.lit(batch_ts)))
+    for part in (franchise_part, other_part):
+        wr.sheet_output(part.withColumn("book", book), state.path("sheets"))
+    state.write(cat.mark_processed(catalog, files.select(F.col("file_id").alias("id"))), "catalog", batch_id)
+
+
+def enriched_batch(state: State, files: DataFrame, batch_id: int, batch_ts: dt.datetime, customers: DataFrame) -> None:
+    """R-4 body: strict column selection (P-12), append, W-2 for the batch's files, output frame
+    split into personal / generic sheets (F-9), T-2, U-5, A-2, notices."""
+    catalog = state.read("catalog", batch_id - 1)
+    tracking = state.read("tracking", batch_id - 1)
+    todo = _unprocessed(files, catalog)
+    new = ingest(state.spark, None, catalog, "city_search_enriched", batch_ts, files=todo,
+                 required=ENRICHED_DATA_COLUMNS)   # P-12: a file without these columns fails
+    wr.append_load(new, state.path("raw_city_search_enriched"))
+    all_rows = state.raw("city_search_enriched")
+    ids = files.select(F.col("file_id").alias("_fid")).distinct()
+    batch_rows = semi(all_rows, ids, F.col("file_id") == F.col("_fid"))
+    fresh = cy.city_fresh_leads(all_rows.drop("file_id"), customers, tracking, catalog)
+    fresh = semi(fresh, ids, F.col("file_id") == F.col("_fid"))
+    frame = ld.output_frame(fresh)
+    book = F.concat(F.lit(QUICK_MAIL_BOOK), X.week_label(F.lit(batch_ts)))
+    personal = cy.split_personal(frame).withColumn("sheet", F.col("file_name"))
+    generic = cy.split_generic(frame).withColumn("sheet", F.concat(F.lit("Generic of "), F.col("file_name")))
+    for part in (personal, generic):
+        wr.sheet_output(part.drop("file_name").withColumn("book", book), state.path("sheets"))
+    t1 = cy.city_track_posted(batch_rows, tracking, batch_ts)
+    t2 = cy.city_track_customers(batch_rows, customers, t1, batch_ts)
+    state.write(t2, "tracking", batch_id)
+    metrics = cy.city_metrics(state.read("tracking", batch_id), batch_rows, catalog)
+    ob.metrics_messages(metrics).write.mode("overwrite").parquet(state.path(f"outbox/batch={batch_id:010d}"))
+    state.write(cat.mark_processed(catalog, files.select(F.col("file_id").alias("id"))), "catalog", batch_id)
+
+
+def sync(listing: DataFrame, nodes: DataFrame, catalog: DataFrame, config: DataFrame, batch_ts: dt.datetime
+         ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """R-1 (timer): new listed files are appended to the catalog (J-1, P-14 … P-7), file types
+    derived from parent folders (P-15, U-2), config applied (U-1), missing-config notices
+    produced (F-1, K-8) and flagged (D-1); the files first seen in this run and ready (F-2).
+
+    Returns (new catalog, notices, ready files). Landing the ready files is ``land_ready``.
+    """
+    from ..functions.headers import clean_headers
+    from ..operators import align as al
+    from ..operators import listing as ls
+    flat = clean_headers(ls.flatten_records(listing))
+    new = cat.new_files(flat, catalog)
+    target = [c for c in insert_columns("drive_metadata") if c not in cat.CATALOG_NULL_ON_INSERT + ["created_at"]]
+    rows = al.catalog_insert_shape(al.stamp(al.align_fill(new, target), batch_ts))
+    rows = rows.withColumn("uuid", X.det_uuid(F.lit("file"), F.col("id")))
+    c = catalog.unionByName(rows, allowMissingColumns=True)
+    c = c.withColumn("parents", F.coalesce(F.col("parents"), F.lit("[]")))
+    derived = cat.derive_file_types(c, nodes.where(F.col("kind") == "folder"))
+    c = cat.apply_file_types(c, derived, batch_ts)
+    c = cat.apply_config(c, config, batch_ts)
+    notices = ob.missing_config_messages(cat.missing_config(c))
+    c = cat.mark_posted(c)
+    ready = cat.ready_files(c, new.select("id"))
+    return c, notices, ready

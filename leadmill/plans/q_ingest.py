@@ -22,7 +22,7 @@ from ..sinks import writers as wr
 from ..sources import files as fl
 from ..sources import fixtures as fx
 from ..sources.tables import Tables
-from .ingest import enriched_select, ingest
+from .ingest import enriched_select, ingest, land_files
 from .registry import query
 
 _BATCH = "TIMESTAMP '2024-01-29 12:00:00'"
@@ -82,19 +82,10 @@ def align_intersect(spark, sf_dir):
 
 
 def _land(spark, sf_dir):
-    """K-3: land every catalogued vendor file under file_type=<landing folder>/file_id=<id>,
-    with its own header, a stray drive_metadata_uuid replaced by the catalog's (P-8)."""
+    """K-3: land every catalogued vendor file under file_type=<landing folder>/file_id=<id>."""
     t = Tables(spark, sf_dir)
     files = fl.list_files(spark, _vendor_root(spark, sf_dir))
-    folder = ls.parent_names(t.nodes).select(F.col("id").alias("file_id"),
-                                             X.landing_folder(F.col("parent_name")).alias("file_type"))
-    from .ingest import file_uuids
-    landing = scratch_path(spark, "landing")
-    for g in fl.read_header_groups(spark, files, clean=False):
-        g = g.drop("drive_metadata_uuid", "path").join(file_uuids(t.drive_metadata), "file_id", "inner") \
-             .join(folder, "file_id", "inner")
-        wr.land_csv(g, landing)
-    return landing
+    return land_files(spark, files, t.drive_metadata, t.nodes, scratch_path(spark, "landing"))
 
 
 @query("ingest_landing", _ingest_sql(), ("drive_metadata",))

@@ -314,3 +314,30 @@ def write_vendor_files(spark: SparkSession, sf_dir: str, root: str) -> str:
             "file_id", *[F.col(src).alias(head) for head, src in heads])
         write_partitioned_csv(part, root, ["file_id"], mode="append")
     return root
+
+
+# City-search listings and enriched contacts as vendor files. Headings as the scraping and
+# enrichment tools export them; they clean (P-1) to the stored table's names.
+CITY_HEADINGS = [("type", "type"), ("phone", "phone"), ("title", "title"), ("dataId", "dataid"),
+                 ("website", "website"), ("address", "address"), ("emails.0", "emails_0"),
+                 ("keyword", "_keyword")]
+ENRICHED_HEADINGS = [("First Name", "first_name"), ("Last Name", "last_name"),
+                     ("Main Point of Contact Email", "main_point_of_contact_email"),
+                     ("Main Contact Linkedin", "main_contact_linkedin"), ("Generic Contact Email", "generic_contact_email"),
+                     ("Company Name", "company_name"), ("Website", "_website"), ("Phone", "phone")]
+
+
+def write_city_files(spark: SparkSession, sf_dir: str, root: str) -> str:
+    from ..sinks.writers import write_partitioned_csv
+    c = city_search(spark, sf_dir).withColumn("file_id", F.regexp_replace("drive_metadata_uuid", "^f", "id")) \
+                                  .withColumn("_keyword", F.lit("plumber"))
+    write_partitioned_csv(c.select("file_id", *[F.col(s).alias(h) for h, s in CITY_HEADINGS]), root, ["file_id"])
+    return root
+
+
+def write_enriched_files(spark: SparkSession, sf_dir: str, root: str) -> str:
+    from ..sinks.writers import write_partitioned_csv
+    e = city_search_enriched(spark, sf_dir).withColumn("file_id", F.regexp_replace("drive_metadata_uuid", "^f", "id")) \
+                                            .withColumn("_website", F.lit(None).cast("string"))
+    write_partitioned_csv(e.select("file_id", *[F.col(s).alias(h) for h, s in ENRICHED_HEADINGS]), root, ["file_id"])
+    return root
