@@ -23,9 +23,8 @@ CSV_READ = {"header": "true", "multiLine": "true", "escape": '"'}
 
 
 def _landed(spark, sf_dir) -> str:
-    t = Tables(spark, sf_dir)
-    vendor = fx.write_vendor_files(spark, sf_dir, scratch_path(spark, "vendor"))
-    return land_files(spark, fl.list_files(spark, vendor), t.drive_metadata, t.nodes, scratch_path(spark, "landing"))
+    from .q_ingest import _land
+    return _land(spark, sf_dir, fresh=False)
 
 
 def _text_keys(tracking):
@@ -59,7 +58,9 @@ def stream_leads(spark, sf_dir):
 def stream_city(spark, sf_dir):
     """R-3: city-search listing files; franchises upserted first, sheets always recomputed."""
     t = Tables(spark, sf_dir)
-    root = fx.write_city_files(spark, sf_dir, scratch_path(spark, "city_files"))
+    from .q_ingest import derived_once
+    root = derived_once(spark, sf_dir, "city_files",
+                        lambda: fx.write_city_files(spark, sf_dir, scratch_path(spark, "city_files")))
     state = pl.State(spark, scratch_path(spark, "state")).init(catalog=_fresh_catalog(t.drive_metadata), franchises=t.franchises)
     source = t.franchise_list
     run_available(spark, root, state.path("_checkpoint"),
@@ -71,7 +72,9 @@ def stream_city(spark, sf_dir):
 def stream_enriched(spark, sf_dir):
     """R-4: enriched contact files; personal and generic sheets, tracking and metrics."""
     t = Tables(spark, sf_dir)
-    root = fx.write_enriched_files(spark, sf_dir, scratch_path(spark, "enriched_files"))
+    from .q_ingest import derived_once
+    root = derived_once(spark, sf_dir, "enriched_files",
+                        lambda: fx.write_enriched_files(spark, sf_dir, scratch_path(spark, "enriched_files")))
     state = pl.State(spark, scratch_path(spark, "state")).init(catalog=_fresh_catalog(t.drive_metadata), tracking=_text_keys(t.tracking))
     customers = t.customers
     run_available(spark, root, state.path("_checkpoint"),

@@ -1,6 +1,6 @@
 """Sinks (K-1 … K-6): replace-load, append-load by file, landing CSVs, sheet outputs, table
-snapshots. Writes are partitioned by file (or by book/sheet); a hot key is split over several
-part files by a deterministic salt sized from its row count, so no task writes an unbounded part.
+snapshots. Writes are partitioned by file (or by book/sheet) after a ``rebalance`` by that key:
+AQE splits a hot key over several tasks, and ``maxRecordsPerFile`` bounds every part file.
 """
 
 from __future__ import annotations
@@ -10,22 +10,16 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import broadcast_if_small
-
 ROWS_PER_PART = 500_000
 CSV_WRITE_OPTIONS = {"header": "true", "escape": '"', "quote": '"', "ignoreLeadingWhiteSpace": "false",
                      "ignoreTrailingWhiteSpace": "false", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
 
 
 def salted(df: DataFrame, keys: list[str], rows_per_part: int = ROWS_PER_PART) -> DataFrame:
-    """Repartition by ``keys`` plus a deterministic salt: a key with n rows is spread over
-    ceil(n / rows_per_part) tasks (one for ordinary keys). The per-key counts are one small
-    aggregate (map-side combined), joined back as a broadcast only after a checked size."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.select(*keys, F.greatest(F.lit(1), F.ceil(F.col("_n") / rows_per_part)).cast("int").alias("_parts"))
-    j = df.join(broadcast_if_small(counts, 5_000_000), keys, "left")
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.col("_parts"))
-    return j.withColumn("_salt", salt).repartition(*[F.col(k) for k in keys], F.col("_salt")).drop("_parts", "_salt")
+    """Repartition by ``keys`` for a partitioned write with the ``rebalance`` hint: AQE splits a
+    key whose partition is larger than the advisory size over several tasks (a hot file is
+    written by many tasks) and coalesces small ones, with no extra job to count keys."""
+    return df.hint("rebalance", *keys)
 
 
 def write_partitioned_csv(df: DataFrame, path: str, partition_cols: list[str], mode: str = "overwrite",

@@ -10,6 +10,7 @@ groups are aligned to the target and unioned by name.
 
 from __future__ import annotations
 
+import codecs
 import csv
 import io
 import json
@@ -48,16 +49,31 @@ def _open(path: str):
     return filesystem.open_input_stream(p)
 
 
-def _first_record(path: str, max_bytes: int = 1 << 20) -> list[str]:
-    """Parse the header record (first CSV record, quoted line breaks allowed) from the file head."""
+def _first_record(path: str, chunk: int = 1 << 16) -> list[str]:
+    """Parse the header record (the first CSV record; quoted line breaks allowed), reading the
+    file head in chunks only until a line break outside quotes is seen."""
+    buf, end = "", -1
+    decoder = codecs.getincrementaldecoder("utf-8")(errors="replace")   # a character may span chunks
     with _open(path) as f:
-        head = f.read(max_bytes)
-    text = head.decode("utf-8-sig", errors="replace")
-    reader = csv.reader(io.StringIO(text), doublequote=True)
-    try:
-        return next(reader)
-    except StopIteration:
-        return []
+        while True:
+            data = f.read(chunk)
+            if not data:
+                break
+            start = len(buf)
+            buf += decoder.decode(data)
+            quotes = buf[:start].count('"')
+            for i in range(start, len(buf)):
+                ch = buf[i]
+                if ch == '"':
+                    quotes += 1
+                elif ch == "\n" and quotes % 2 == 0:
+                    end = i
+                    break
+            if end >= 0:
+                break
+    text = (buf if end < 0 else buf[:end]).lstrip("\ufeff")
+    rows = list(csv.reader(io.StringIO(text), doublequote=True))
+    return rows[0] if rows else []
 
 
 def _sniff(batches):
