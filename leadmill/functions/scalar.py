@@ -96,14 +96,19 @@ def week_label(d) -> Column:
     return F.concat(F.lit("Week "), F.weekofyear(_c(d)).cast("string"))
 
 
+def ntz(value: dt.datetime) -> Column:
+    """A TIMESTAMP_NTZ literal (wall-clock, independent of the session time zone)."""
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
+
 def day_floor_minus(now: dt.datetime, days: int) -> Column:
-    """X-13: today − n days at 00:00:00 (day mode of the listing)."""
-    return F.timestamp_add("DAY", F.lit(-days), F.date_trunc("DAY", F.lit(now).cast("timestamp_ntz")).cast("timestamp_ntz"))
+    """X-13: today − n days at 00:00:00 (day mode of the listing); ``now`` is a parameter."""
+    return ntz(dt.datetime(now.year, now.month, now.day) - dt.timedelta(days=days))
 
 
 def seconds_before(now: dt.datetime, seconds: int) -> Column:
     """X-13: now − n seconds (sensor mode of the listing)."""
-    return F.timestamp_add("SECOND", F.lit(-seconds), F.lit(now).cast("timestamp_ntz"))
+    return ntz(now - dt.timedelta(seconds=seconds))
 
 
 def det_uuid(*parts) -> Column:

@@ -8,7 +8,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import det_uuid
+from ..functions.scalar import ntz, det_uuid
 
 # Fixed values (must equal pandas' defaults): texts ``read_csv`` reads as missing.
 PANDAS_NA_VALUES = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -44,7 +44,7 @@ def nan_to_null(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 def stamp(df: DataFrame, batch_ts: dt.datetime, column: str = "created_at") -> DataFrame:
     """P-4: one timestamp literal for the whole batch (all rows of a batch tie)."""
-    return df.withColumn(column, F.lit(batch_ts).cast("timestamp_ntz"))
+    return df.withColumn(column, ntz(batch_ts))
 
 
 def align_intersect(df: DataFrame, target: list[str]) -> DataFrame:

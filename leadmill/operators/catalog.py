@@ -9,7 +9,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import (FILE_TYPE_VALUES, det_uuid, file_type_from_folder, in_enum,
+from ..functions.scalar import (ntz, FILE_TYPE_VALUES, det_uuid, file_type_from_folder, in_enum,
                                 parent_from_text, xlsx_to_csv)
 from .joins import anti, semi
 
@@ -117,7 +117,7 @@ def apply_file_types(catalog: DataFrame, derived: DataFrame, batch_ts: dt.dateti
     hit = F.col("file_type").isNull() & F.col("_t").isNotNull()
     out = out.withColumn("file_type", F.when(hit, F.col("_t")).otherwise(F.col("file_type")))
     if "updated_at" in catalog.columns:
-        out = out.withColumn("updated_at", F.when(hit, F.lit(batch_ts).cast("timestamp_ntz")).otherwise(F.col("updated_at")))
+        out = out.withColumn("updated_at", F.when(hit, ntz(batch_ts)).otherwise(F.col("updated_at")))
     return out.drop("_u", "_t")
 
 
@@ -152,7 +152,7 @@ def apply_config(catalog: DataFrame, config: DataFrame, batch_ts: dt.datetime, o
         "zi_search": F.when(hit, F.col("_zs")).otherwise(F.col("zi_search")),
     }
     if "updated_at" in catalog.columns:
-        cols["updated_at"] = F.when(hit, F.lit(batch_ts).cast("timestamp_ntz")).otherwise(F.col("updated_at"))
+        cols["updated_at"] = F.when(hit, ntz(batch_ts)).otherwise(F.col("updated_at"))
     return out.withColumns(cols).drop("_fn", "_ho", "_zs")
 
 

@@ -8,7 +8,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import det_uuid, domain_key, sheet_name, text_escape
+from ..functions.scalar import ntz, det_uuid, domain_key, sheet_name, text_escape
 from .joins import anti
 from .leads import TRACKING_COLUMNS, blocked_emails, latest_per_key, status_metrics, track_customers
 
@@ -141,7 +141,7 @@ def city_track_posted(enriched: DataFrame, tracking: DataFrame, batch_ts: dt.dat
         F.lit(None).cast(t.schema["lead_uuid"].dataType).alias("lead_uuid"),
         F.col("_c").cast(t.schema["city_search_lead_uuid"].dataType).alias("city_search_lead_uuid"),
         F.lit("posted").alias("status"), F.col("_email").alias("email_address"),
-        F.lit(batch_ts).cast("timestamp_ntz").alias("created_at"))
+        ntz(batch_ts).alias("created_at"))
     return t.unionByName(rows)
 
 

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import det_uuid
+from ..functions.scalar import ntz, det_uuid
 
 FRANCHISE_COLUMNS = ["franchise_name", "domain_name"]
 
@@ -27,7 +27,7 @@ def upsert_franchises(target: DataFrame, source: DataFrame, batch_ts: dt.datetim
     src_cols = [c for c in source.columns if c != order_col]
     src = source.select(*[F.col(c).alias(n) for c, n in zip(src_cols, FRANCHISE_COLUMNS)], order_col)
     src = keep_first(src, "domain_name", order_col)
-    ts = F.lit(batch_ts).cast("timestamp_ntz")
+    ts = ntz(batch_ts)
     keys = src.select(F.col("franchise_name").alias("_sn"), F.col("domain_name").alias("_sd"), F.lit(True).alias("_hit")) \
               .dropDuplicates(["_sn", "_sd"])
     t = target.join(keys, (target["franchise_name"] == keys["_sn"]) & (target["domain_name"] == keys["_sd"]), "left")

@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import det_uuid, text_escape
+from ..functions.scalar import ntz, det_uuid, text_escape
 from .joins import anti
 
 US = "United States"
@@ -105,7 +105,7 @@ def track_posted(leads: DataFrame, tracking: DataFrame, batch_ts: dt.datetime) -
         F.lit(None).cast(leads.schema["uuid"].dataType).alias("city_search_lead_uuid"),
         F.lit("posted").alias("status"),
         F.col("email_address"),
-        F.lit(batch_ts).cast("timestamp_ntz").alias("created_at"),
+        ntz(batch_ts).alias("created_at"),
     )
     return tracking.select(*TRACKING_COLUMNS).unionByName(new_rows)
 
@@ -135,7 +135,7 @@ def track_customers(leads: DataFrame, customers: DataFrame, tracking: DataFrame,
         "uuid", "lead_uuid", "city_search_lead_uuid",
         F.when(is_update, F.lit("shopify_customer")).otherwise(F.col("status")).alias("status"),
         "email_address",
-        F.when(is_update, F.lit(batch_ts).cast("timestamp_ntz")).otherwise(F.col("created_at")).alias("created_at"))
+        F.when(is_update, ntz(batch_ts)).otherwise(F.col("created_at")).alias("created_at"))
     # leads without any tracking row: insert
     untracked = anti(hit, t.where(F.col(lead_key).isNotNull()).select(F.col(lead_key).alias("_tk")),
                      F.col("_lead") == F.col("_tk"))
@@ -147,7 +147,7 @@ def track_customers(leads: DataFrame, customers: DataFrame, tracking: DataFrame,
             t.schema["city_search_lead_uuid"].dataType).alias("city_search_lead_uuid"),
         F.lit("shopify_customer").alias("status"),
         F.col("_email").alias("email_address"),
-        F.lit(batch_ts).cast("timestamp_ntz").alias("created_at"))
+        ntz(batch_ts).alias("created_at"))
     return updated.unionByName(inserted)
 
 

@@ -18,6 +18,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalar import ntz
+
 from ..functions import scalar as X
 from ..operators import catalog as cat
 from ..operators import city as cy
@@ -93,7 +95,7 @@ def lead_batch(state: State, files: DataFrame, batch_id: int, batch_ts: dt.datet
     fresh = ld.fresh_leads(candidates, customers, tracking, catalog)
     fresh = semi(fresh, batch_leads.select(F.col("drive_metadata_uuid").alias("_u")).distinct(),
                  F.col("drive_metadata_uuid") == F.col("_u"))
-    book = F.concat(F.lit(QUICK_MAIL_BOOK), X.week_label(F.lit(batch_ts)))
+    book = F.concat(F.lit(QUICK_MAIL_BOOK), X.week_label(X.ntz(batch_ts)))
     sheet = ld.output_frame(fresh).withColumn("book", book).withColumn("sheet", F.col("file_name")).drop("file_name")
     wr.sheet_output(sheet, state.path("sheets"))            # materialises the selection first
     t1 = ld.track_posted(batch_leads, tracking, batch_ts)   # T-1
@@ -124,7 +126,7 @@ def city_batch(state: State, files: DataFrame, batch_id: int, batch_ts: dt.datet
     sheet = cy.city_sheet(city.drop("file_id"), catalog, franchises)
     sheet = semi(sheet, ids, F.col("file_id") == F.col("_fid"))
     franchise_part, other_part = cy.city_sheet_parts(sheet)
-    book = F.concat(F.lit(CITY_BOOK), X.week_label(F.lit(batch_ts)))
+    book = F.concat(F.lit(CITY_BOOK), X.week_label(X.ntz(batch_ts)))
     for part in (franchise_part, other_part):
         wr.sheet_output(part.withColumn("book", book), state.path("sheets"))
     state.write(cat.mark_processed(catalog, files.select(F.col("file_id").alias("id"))), "catalog", batch_id)
@@ -145,7 +147,7 @@ def enriched_batch(state: State, files: DataFrame, batch_id: int, batch_ts: dt.d
     fresh = cy.city_fresh_leads(all_rows.drop("file_id"), customers, tracking, catalog)
     fresh = semi(fresh, ids, F.col("file_id") == F.col("_fid"))
     frame = ld.output_frame(fresh)
-    book = F.concat(F.lit(QUICK_MAIL_BOOK), X.week_label(F.lit(batch_ts)))
+    book = F.concat(F.lit(QUICK_MAIL_BOOK), X.week_label(X.ntz(batch_ts)))
     personal = cy.split_personal(frame).withColumn("sheet", F.col("file_name"))
     generic = cy.split_generic(frame).withColumn("sheet", F.concat(F.lit("Generic of "), F.col("file_name")))
     for part in (personal, generic):

@@ -188,7 +188,7 @@ def sheet_output(spark, sf_dir):
     """K-4: output rows written to one folder per (book, sheet), read back."""
     t = Tables(spark, sf_dir)
     frame = ld.output_frame(ld.fresh_leads(t.leads, t.customers, t.tracking, t.drive_metadata))
-    book = F.concat(F.lit("Quick Mail Output - "), X.week_label(F.lit(fx.BATCH_TS)))
+    book = F.concat(F.lit("Quick Mail Output - "), X.week_label(X.ntz(fx.BATCH_TS)))
     rows = frame.select(book.alias("book"), F.col("file_name").alias("sheet"),
                         "First Name", "Email", "Phone", "ZI Search")
     out = scratch_path(spark, "sheets")

@@ -10,6 +10,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalar import ntz
+
 ROWS_PER_PART = 500_000
 CSV_WRITE_OPTIONS = {"header": "true", "escape": '"', "quote": '"', "ignoreLeadingWhiteSpace": "false",
                      "ignoreTrailingWhiteSpace": "false", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
@@ -45,7 +47,7 @@ def sheet_output(rows: DataFrame, path: str, mode: str = "overwrite", rows_per_p
 def replace_load(df: DataFrame, path: str, batch_ts: dt.datetime) -> DataFrame:
     """K-1: stamp ``_inserted_at`` and replace the table. Returns the longest text per column
     (the reference sizes VARCHAR columns from it; A-7), computed in the same job's output."""
-    out = df.withColumn("_inserted_at", F.lit(batch_ts).cast("timestamp_ntz"))
+    out = df.withColumn("_inserted_at", ntz(batch_ts))
     out.write.mode("overwrite").parquet(path)
     stored = df.sparkSession.read.parquet(path)
     return max_lengths(stored.drop("_inserted_at"))

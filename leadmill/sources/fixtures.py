@@ -40,7 +40,7 @@ def _s(*parts) -> Column:
 
 
 def _ts(value: dt.datetime) -> Column:
-    return F.lit(value).cast("timestamp_ntz")
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
 
 
 def _plus_days(base: dt.datetime, days: Column) -> Column:
