@@ -22,7 +22,7 @@ def file_uuids(catalog: DataFrame) -> DataFrame:
 
 def ingest(spark: SparkSession, root: str, catalog: DataFrame, table: str, batch_ts: dt.datetime,
            columns: list[str] | None = None, files: DataFrame | None = None,
-           required: list[str] | None = None) -> DataFrame:
+           required: list[str] | None = None, fmt: str = "csv") -> DataFrame:
     """Raw rows of every file below ``root`` in the shape of ``table``.
 
     ``columns=None``: P-6 (all target columns, missing ones as ''); a list: P-5 (only the
@@ -30,11 +30,16 @@ def ingest(spark: SparkSession, root: str, catalog: DataFrame, table: str, batch
     dropped and replaced by the catalog's (P-8); files unknown to the catalog are skipped.
     Every row gets ``created_at`` = ``batch_ts`` (P-4) and a content uuid (X-14).
     ``required``: columns every file must have after cleaning (P-12's strict selection).
+    ``fmt='xlsx'``: the files are workbooks (S-8), read with ``sources.xlsx``.
     """
-    files = files if files is not None else list_files(spark, root)
+    if fmt == "xlsx":
+        from ..sources.xlsx import read_rows, rows_by_header
+        groups = rows_by_header(spark, read_rows(spark, root))
+    else:
+        groups = read_header_groups(spark, files if files is not None else list_files(spark, root))
     target = [c for c in insert_columns(table) if c not in ("drive_metadata_uuid", "created_at")]
     parts = []
-    for g in read_header_groups(spark, files):
+    for g in groups:
         g = g.drop("drive_metadata_uuid", "path")
         if required:
             enriched_select(g, required)

@@ -348,3 +348,22 @@ def archive(spark, sf_dir):
     out = files.join(look, files["parent"] == look["_p"], "left")
     return out.select("id", "parent", "processed_folder_id",
                       F.col("processed_folder_id").isNull().alias("create_processed_folder"))
+
+
+@query("ingest_xlsx", _ingest_sql() + " WHERE d.name LIKE '%.xlsx'", ("drive_metadata",))
+def ingest_xlsx(spark, sf_dir):
+    """S-8: the .xlsx lead files as workbooks, read one task per workbook, loaded like CSV."""
+    from ..sources.xlsx import write_workbooks
+
+    def make():
+        root = scratch_path(spark, "xlsx")
+        t = Tables(spark, sf_dir)
+        xl = t.drive_metadata.where(F.col("name").endswith(".xlsx")).select(F.col("id").alias("_id"))
+        rows = fx.vendor_rows(spark, sf_dir).join(xl, F.col("file_id") == F.col("_id"), "left_semi")
+        rows = rows.withColumn("_stray", F.lit("WRONG"))
+        heads = fx.VENDOR_HEADINGS[0]
+        write_workbooks(rows.select("file_id", *[F.col(src).alias(h) for h, src in heads]), root).count()
+        return root
+    root = derived_once(spark, sf_dir, "xlsx", make)
+    t = Tables(spark, sf_dir)
+    return ingest(spark, root, t.drive_metadata, "leads", fx.BATCH_TS, fmt="xlsx").select(*_INGEST_COLS)
