@@ -18,6 +18,7 @@ from ..streaming.file_stream import run_available
 from . import pipelines as pl
 from .ingest import land_files
 from .registry import query
+from .stream_sql import stream_city_sql, stream_enriched_sql, sync_sql
 
 CSV_READ = {"header": "true", "multiLine": "true", "escape": '"'}
 
@@ -39,10 +40,58 @@ def _fresh_catalog(catalog):
 
 
 def _sheets(spark, state: pl.State):
-    return spark.read.options(**CSV_READ).csv(state.path("sheets"))
-
-
-@query("stream_leads")
+    return fl.read_sheets(spark, state.path("sheets"))
+
+
+def _stream_leads_sql() -> str:
+    """Oracle of ``stream_leads``: the raw rows the landing zone's zi_search files load to (same
+    values as ``ingest_csv``, content uuids), ranked per e-mail on the fixture's tracking."""
+    from ..schemas import LEADS_DATA_COLUMNS
+    from ..sources.fixture_sql import sql_det_uuid, with_views
+    lay = "((o_orderkey//150)%3)"
+    values = {
+        "zoominfo_contact_id": "CAST(o_orderkey AS VARCHAR)",
+        "first_name": "'F'||o_custkey", "last_name": "'L'||o_custkey",
+        "job_title": "CASE WHEN o_orderkey%19=0 THEN NULL ELSE substring(o_orderpriority, 3, 20) END",
+        "job_function": "o_orderstatus",
+        "email_address": "CASE WHEN o_orderkey%17=0 OR o_orderkey%23=0 THEN NULL ELSE 'c'||o_custkey||'@x.com' END",
+        "linkedin_contact_profile_url": "'https://linkedin.example/in/c'||o_custkey",
+        "company_name": ("CASE WHEN o_orderkey%31=0 THEN 'Co'||(o_custkey%97)||' \"The Best\"' "
+                         "WHEN o_orderkey%29=0 THEN 'Co'||(o_custkey%97)||', Inc' ELSE 'Co'||(o_custkey%97) END"),
+        "mobile_phone": f"CASE WHEN {lay}=1 THEN '' WHEN o_orderkey%2<>0 THEN '555'||o_orderkey END",
+        "direct_phone_number": f"CASE WHEN {lay}=2 THEN '' WHEN o_orderkey%3<>0 THEN '777'||o_orderkey END",
+        "person_zip_code": "lpad(CAST(o_orderkey%100000 AS VARCHAR), 5, '0')",
+        "revenue_in_000s_usd": f"CASE WHEN {lay}=2 THEN '' ELSE CAST(o_orderkey%1000 AS VARCHAR) END",
+        "company_country": "CASE WHEN o_orderpriority LIKE '1%' THEN 'Canada' ELSE 'United States' END",
+    }
+    blank = "''"
+    cols = ",\n    ".join(f"{values.get(c, blank)} AS {c}" for c in LEADS_DATA_COLUMNS)
+    uid = sql_det_uuid("drive_metadata_uuid", *LEADS_DATA_COLUMNS)
+    sql = f"""
+WITH raw0 AS (
+  SELECT d.uuid AS drive_metadata_uuid,
+    {cols}
+  FROM orders JOIN drive_metadata d ON d.id='id'||(o_orderkey//150)
+  JOIN nodes f ON f.id=d.id AND f.kind='file' JOIN nodes p ON p.id=f.parent
+  WHERE trim(lower(replace(p.name, ' ', '_')))='zi_search'),
+raw AS (SELECT *, {uid} AS uuid FROM raw0),
+e AS (SELECT r.*, row_number() OVER (PARTITION BY r.email_address ORDER BY r.uuid) AS rn
+      FROM raw r
+      WHERE r.email_address IS NOT NULL AND r.company_country='United States'
+        AND NOT EXISTS (SELECT 1 FROM sales_customer_view c WHERE c.email=r.email_address)
+        AND NOT EXISTS (SELECT 1 FROM tracking t WHERE CAST(t.lead_uuid AS VARCHAR)=r.uuid)
+        AND NOT EXISTS (SELECT 1 FROM tracking t WHERE t.email_address=r.email_address))
+SELECT e.first_name AS "First Name", e.last_name AS "Last Name", e.job_title AS "Title", e.job_function AS "Role",
+  e.email_address AS "Email", e.linkedin_contact_profile_url AS "Linkedin", e.company_name AS "Company",
+  '="'||coalesce(coalesce(e.mobile_phone, e.direct_phone_number), '')||'"' AS "Phone",
+  d.hubspot_owner AS "Hubspot Owner", d.zi_search AS "ZI Search", d.id AS file_id,
+  'Quick Mail Output - Week 5' AS book, d.name AS sheet
+FROM e JOIN drive_metadata d ON d.uuid=e.drive_metadata_uuid
+WHERE e.rn=1 AND d.config_file_uuid IS NOT NULL"""
+    return with_views(sql, "drive_metadata", "nodes", "sales_customer_view", "tracking")
+
+
+@query("stream_leads", _stream_leads_sql())
 def stream_leads(spark, sf_dir):
     """R-2 + R-5 + R-6: lead files arriving in the zi_search landing folder."""
     t = Tables(spark, sf_dir)
@@ -54,7 +103,7 @@ def stream_leads(spark, sf_dir):
     return _sheets(spark, state)
 
 
-@query("stream_city")
+@query("stream_city", stream_city_sql())
 def stream_city(spark, sf_dir):
     """R-3: city-search listing files; franchises upserted first, sheets always recomputed."""
     t = Tables(spark, sf_dir)
@@ -68,7 +117,7 @@ def stream_city(spark, sf_dir):
     return _sheets(spark, state)
 
 
-@query("stream_enriched")
+@query("stream_enriched", stream_enriched_sql())
 def stream_enriched(spark, sf_dir):
     """R-4: enriched contact files; personal and generic sheets, tracking and metrics."""
     t = Tables(spark, sf_dir)
@@ -82,7 +131,7 @@ def stream_enriched(spark, sf_dir):
     return _sheets(spark, state)
 
 
-@query("pipeline_sync")
+@query("pipeline_sync", sync_sql())
 def pipeline_sync(spark, sf_dir):
     """R-1: listing -> catalog append, file types, config, notices; ready files landed."""
     t = Tables(spark, sf_dir)

@@ -101,7 +101,8 @@ def pandas_names(header: list[str]) -> list[str]:
     return out
 
 
-def read_header_groups(spark: SparkSession, files: DataFrame, clean: bool = True) -> list[DataFrame]:
+def read_header_groups(spark: SparkSession, files: DataFrame, clean: bool = True, na: bool = True,
+                       tag: bool = True) -> list[DataFrame]:
     """One all-text DataFrame per distinct header, columns cleaned (P-1) unless ``clean=False``,
     pandas missing markers nulled, plus ``file_id`` and ``path``. The driver receives one row
     per distinct header with its path list (file metadata only)."""
@@ -115,9 +116,11 @@ def read_header_groups(spark: SparkSession, files: DataFrame, clean: bool = True
         df = spark.read.options(**CSV_OPTIONS).schema(schema).csv(sorted(g["paths"]))
         if clean:
             df = df.toDF(*clean_names(raw))
-        df = na_to_null(df)
+        if na:
+            df = na_to_null(df)
         df = df.select("*", F.col("_metadata.file_path").alias("path"))
-        df = df.withColumn("file_id", F.regexp_extract("path", FILE_ID_PATTERN, 1))
+        if tag:
+            df = df.withColumn("file_id", F.regexp_extract("path", FILE_ID_PATTERN, 1))
         out.append(df)
     return out
 
@@ -139,3 +142,25 @@ def read_franchises(spark: SparkSession, files: DataFrame, title: str = "FRANCHI
     header = pandas_names(_first_record(hit[0]))
     schema = StructType([StructField(n, StringType(), True) for n in header])
     return spark.read.options(**CSV_OPTIONS).schema(schema).csv(sorted(hit))
+
+
+def _partition_value(path, name: str):
+    """Value of a ``name=`` folder in a file URI: the URI's own %-encoding, then Spark's %XX
+    escaping of partition values, are undone ('+' is literal in both)."""
+    raw = F.regexp_extract(path, f"{name}=([^/]+)", 1)
+    once = F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
+    return F.url_decode(F.replace(once, F.lit("+"), F.lit("%2B")))
+
+
+def read_sheets(spark: SparkSession, root: str) -> DataFrame:
+    """Read back a K-4 output folder: sheets differ in columns, so each header group is read on
+    its own and the groups are unioned by name (columns a sheet lacks are NULL); ``book`` and
+    ``sheet`` come from the folder names."""
+    parts = read_header_groups(spark, list_files(spark, root), clean=False, na=False, tag=False)
+    if not parts:
+        return spark.createDataFrame([], "book string, sheet string")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return (out.withColumn("book", _partition_value(F.col("path"), "book"))
+            .withColumn("sheet", _partition_value(F.col("path"), "sheet")).drop("path"))
