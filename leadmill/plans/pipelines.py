@@ -83,15 +83,24 @@ def _batch_rows(state: State, table: str, files: DataFrame, catalog: DataFrame,
     return all_rows, semi(all_rows, ids, F.col("file_id") == F.col("_fid"))
 
 
-def lead_batch(state: State, files: DataFrame, batch_id: int, batch_ts: dt.datetime, customers: DataFrame) -> None:
-    """R-2 body for all files of one micro-batch (``files``: path, file_id)."""
+def lead_batch(state: State, files: DataFrame, batch_id: int, batch_ts: dt.datetime, customers: DataFrame,
+               history: str = "all") -> None:
+    """R-2 body for all files of one micro-batch (``files``: path, file_id).
+
+    ``history='all'`` ranks each e-mail of the batch over every raw row loaded so far (exact in
+    every state; a scan of the raw table pruned to the batch's e-mails by a semi join).
+    ``history='batch'`` ranks over the batch's rows only: exact whenever every e-mail of every
+    earlier processed file is tracked, which T-1 guarantees for files processed by this pipeline
+    (their e-mails then block all older copies), and O(batch) instead of O(history).
+    """
     catalog = state.read("catalog", batch_id - 1)
     tracking = state.read("tracking", batch_id - 1)
     files = _unprocessed(files, catalog)
     all_leads, batch_leads = _batch_rows(state, "leads", files, catalog, batch_ts)
     # fresh leads (W-1) of this batch's files; only e-mails of the batch can rank there
     emails = batch_leads.select(F.col("email_address").alias("_e")).distinct()
-    candidates = semi(all_leads.drop("file_id"), emails, F.col("email_address") == F.col("_e"))
+    pool = batch_leads if history == "batch" else all_leads
+    candidates = semi(pool.drop("file_id"), emails, F.col("email_address") == F.col("_e"))
     fresh = ld.fresh_leads(candidates, customers, tracking, catalog)
     fresh = semi(fresh, batch_leads.select(F.col("drive_metadata_uuid").alias("_u")).distinct(),
                  F.col("drive_metadata_uuid") == F.col("_u"))

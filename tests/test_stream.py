@@ -65,3 +65,17 @@ def test_fresh_leads_never_tracked_after_batch(spark, sf_small):
     # after the batch every exported e-mail is tracked
     after = s.read("tracking", 0).select(F.col("email_address").alias("Email")).distinct()
     assert sheets.where(F.col("Email").isNotNull()).join(after, "Email", "left_anti").count() == 0
+
+
+def test_batch_history_mode_equals_full_history(spark, sf_small):
+    t, folder, catalog, tracking = _setup(spark, sf_small)
+    files = fl.list_files(spark, folder).select("path", "file_id")
+    ids = sorted(r.file_id for r in files.select("file_id").distinct().collect())
+    first, second = ids[: len(ids) // 2], ids[len(ids) // 2:]
+    outs = []
+    for mode in ("all", "batch"):
+        s = pl.State(spark, scratch_path(spark, "state")).init(catalog=catalog, tracking=tracking)
+        pl.lead_batch(s, files.where(F.col("file_id").isin(first)), 0, fx.BATCH_TS, t.customers, history=mode)
+        pl.lead_batch(s, files.where(F.col("file_id").isin(second)), 1, fx.BATCH_TS, t.customers, history=mode)
+        outs.append(_sheet_rows(spark, s))
+    assert outs[0] == outs[1] and outs[0]
