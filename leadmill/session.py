@@ -57,7 +57,8 @@ def work_dir(spark: SparkSession) -> str:
     if not d:
         d = tempfile.mkdtemp(prefix="leadmill-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if not spark.sparkContext.getCheckpointDir():   # set once; each call would add a folder
+        spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
 
 

@@ -30,8 +30,16 @@ UNMATCHED_CONFIG_BELOW = 500.0              # ... of which these carry a name no
 NULL_DATAID_FILE = 1                        # not_in_nulls: NULL dataids only in this city file
 
 
+_SCANS: dict[tuple, DataFrame] = {}
+
+
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The parquet table, read once per session (file listing and footer reads are not
+    repeated for every query; the DataFrame is immutable, so sharing it is safe)."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _SCANS[key]
 
 
 def _s(*parts) -> Column:

@@ -16,7 +16,7 @@ class Tables:
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return fx._t(self.spark, self.sf_dir, name)
 
     @cached_property
     def drive_metadata(self) -> DataFrame:
