@@ -8,7 +8,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import ntz, det_uuid
+from ..functions.scalar import det_uuid, ntz
 
 # Fixed values (must equal pandas' defaults): texts ``read_csv`` reads as missing.
 PANDAS_NA_VALUES = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",

@@ -6,10 +6,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import (ntz, FILE_TYPE_VALUES, det_uuid, file_type_from_folder, in_enum,
+from ..functions.scalar import (FILE_TYPE_VALUES, det_uuid, file_type_from_folder, in_enum, ntz,
                                 parent_from_text, xlsx_to_csv)
 from .joins import anti, semi
 
@@ -154,7 +154,3 @@ def apply_config(catalog: DataFrame, config: DataFrame, batch_ts: dt.datetime, o
     if "updated_at" in catalog.columns:
         cols["updated_at"] = F.when(hit, ntz(batch_ts)).otherwise(F.col("updated_at"))
     return out.withColumns(cols).drop("_fn", "_ho", "_zs")
-
-
-def file_type_check(values: Column) -> Column:
-    return in_enum(values, FILE_TYPE_VALUES)

@@ -8,8 +8,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import ntz, det_uuid, domain_key, sheet_name, text_escape
-from .joins import anti
+from ..functions.scalar import det_uuid, ntz, sheet_name, text_escape
+from .joins import anti, domain_join
 from .leads import TRACKING_COLUMNS, blocked_emails, latest_per_key, status_metrics, track_customers
 
 # Fixed values (must equal the reference's): blank hand-fill columns of the city sheet, in order.
@@ -64,8 +64,7 @@ def city_sheet(city: DataFrame, catalog: DataFrame, franchises: DataFrame, null_
     rows = unseen_elsewhere(city, catalog, null_safe)
     names = catalog.select(F.col("uuid").alias("_fu2"), F.col("name").alias("file_name"))
     rows = rows.join(names, rows["drive_metadata_uuid"] == names["_fu2"], "inner")
-    fr = franchises.select(F.col("franchise_name"), F.col("domain_name"), domain_key(F.col("domain_name")).alias("_rk"))
-    out = rows.withColumn("_lk", domain_key(F.col("website"))).join(fr, F.col("_lk") == F.col("_rk"), "left")
+    out = domain_join(rows, "website", franchises.select("franchise_name", "domain_name"), "domain_name", "left")
     return out.select(
         "uuid", "franchise_name", "domain_name", "type",
         *[F.lit("").alias(c) for c in CITY_BLANK_COLUMNS],

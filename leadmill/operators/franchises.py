@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import ntz, det_uuid
+from ..functions.scalar import det_uuid, ntz
 
 FRANCHISE_COLUMNS = ["franchise_name", "domain_name"]
 

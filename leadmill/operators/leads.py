@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import ntz, det_uuid, text_escape
+from ..functions.scalar import det_uuid, ntz, text_escape
 from .joins import anti
 
 US = "United States"

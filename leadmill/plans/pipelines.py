@@ -18,7 +18,6 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalar import ntz
 
 from ..functions import scalar as X
 from ..operators import catalog as cat

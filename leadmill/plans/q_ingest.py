@@ -12,10 +12,8 @@ from ..functions import scalar as X
 from ..functions.headers import clean_headers
 from ..operators import align as al
 from ..operators import catalog as cat
-from ..operators import city as cy
 from ..operators import leads as ld
 from ..operators import listing as ls
-from ..operators.joins import anti
 from ..schemas import ENRICHED_DATA_COLUMNS, insert_columns
 from ..session import scratch_path
 from ..sinks import writers as wr

@@ -9,14 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..sinks import writers as wr
 from ..session import scratch_path
 from ..sources import files as fl
 from ..sources import fixtures as fx
 from ..sources.tables import Tables
 from ..streaming.file_stream import run_available
 from . import pipelines as pl
-from .ingest import land_files
 from .registry import query
 from .stream_sql import stream_city_sql, stream_enriched_sql, sync_sql
 
