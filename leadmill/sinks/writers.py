@@ -17,7 +17,7 @@ CSV_WRITE_OPTIONS = {"header": "true", "escape": '"', "quote": '"', "ignoreLeadi
                      "ignoreTrailingWhiteSpace": "false", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
 
 
-def salted(df: DataFrame, keys: list[str], rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+def rebalanced(df: DataFrame, keys: list[str]) -> DataFrame:
     """Repartition by ``keys`` for a partitioned write with the ``rebalance`` hint: AQE splits a
     key whose partition is larger than the advisory size over several tasks (a hot file is
     written by many tasks) and coalesces small ones, with no extra job to count keys."""
@@ -28,7 +28,7 @@ def write_partitioned_csv(df: DataFrame, path: str, partition_cols: list[str], m
                           rows_per_part: int = ROWS_PER_PART) -> None:
     """K-3 / K-4: CSV with a header per part file, one folder per partition value; dynamic
     partition overwrite replaces only the partitions present in ``df`` (a replay is harmless)."""
-    (salted(df, partition_cols, rows_per_part).write.mode(mode).options(**CSV_WRITE_OPTIONS)
+    (rebalanced(df, partition_cols).write.mode(mode).options(**CSV_WRITE_OPTIONS)
      .option("maxRecordsPerFile", rows_per_part).partitionBy(*partition_cols).csv(path))
 
 
@@ -67,7 +67,7 @@ def append_load(df: DataFrame, path: str, partition_col: str = "file_id") -> Non
     dynamic partition overwrite, so loading a file twice replaces rather than duplicates."""
     spark = df.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    salted(df, [partition_col]).write.mode("overwrite").partitionBy(partition_col).parquet(path)
+    rebalanced(df, [partition_col]).write.mode("overwrite").partitionBy(partition_col).parquet(path)
 
 
 def write_snapshot(df: DataFrame, base: str, batch_id: int) -> str:

@@ -37,10 +37,16 @@ def file_stream(spark: SparkSession, folder: str, glob: str = "*.csv", max_files
     return src.select("path", F.regexp_extract("path", FILE_ID_PATTERN, 1).alias("file_id"))
 
 
+MAX_FILES_PER_TRIGGER = 10_000
+
+
 def run_available(spark: SparkSession, folder: str, checkpoint: str,
                   handler: Callable[[DataFrame, int], None], **source_options) -> int:
     """Process every file present now (``trigger(availableNow=True)``) and stop; an outside
-    scheduler runs this on the reference's timer. Returns the number of micro-batches run."""
+    scheduler runs this on the reference's timer. A backlog is split into micro-batches of at
+    most ``max_files_per_trigger`` files (default 10,000), processed in arrival order.
+    Returns the number of micro-batches run."""
+    source_options.setdefault("max_files_per_trigger", MAX_FILES_PER_TRIGGER)
     batches = []
 
     def each(df: DataFrame, batch_id: int) -> None:

@@ -79,3 +79,17 @@ def test_batch_history_mode_equals_full_history(spark, sf_small):
         pl.lead_batch(s, files.where(F.col("file_id").isin(second)), 1, fx.BATCH_TS, t.customers, history=mode)
         outs.append(_sheet_rows(spark, s))
     assert outs[0] == outs[1] and outs[0]
+
+
+def test_backlog_in_small_micro_batches_sends_each_email_once(spark, sf_small):
+    t, folder, catalog, tracking = _setup(spark, sf_small)
+    s = pl.State(spark, scratch_path(spark, "state")).init(catalog=catalog, tracking=tracking)
+    n = run_available(spark, folder, s.path("_ck"), lambda df, b: pl.lead_batch(s, df, b, fx.BATCH_TS, t.customers),
+                      max_files_per_trigger=1)
+    files = fl.list_files(spark, folder).select("file_id").distinct().count()
+    assert n == fl.list_files(spark, folder).count() and files >= 1
+    sheets = spark.read.options(**CSV).csv(s.path("sheets"))
+    assert sheets.count() > 0
+    assert sheets.groupBy("Email").count().where("count > 1").count() == 0     # each e-mail goes out once
+    last = s.read("catalog", n - 1).where("has_been_processed").count()
+    assert last == files
