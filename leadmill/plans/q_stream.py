@@ -14,7 +14,7 @@ from ..sources import files as fl
 from ..sources import fixtures as fx
 from ..sources.tables import Tables
 from ..streaming.file_stream import run_available
-from . import pipelines as pl
+from . import jobs as pl
 from .registry import query
 from .stream_sql import stream_city_sql, stream_enriched_sql, sync_sql
 
@@ -129,8 +129,8 @@ def stream_enriched(spark, sf_dir):
     return _sheets(spark, state)
 
 
-@query("pipeline_sync", sync_sql())
-def pipeline_sync(spark, sf_dir):
+@query("timer_sync", sync_sql())
+def timer_sync(spark, sf_dir):
     """R-1: listing -> catalog append, file types, config, notices; ready files landed."""
     t = Tables(spark, sf_dir)
     catalog, notices, ready = pl.sync(fx.listing_records(spark, sf_dir, id_shift=5), t.nodes, t.drive_metadata,

@@ -45,6 +45,9 @@ def _open(path: str):
             p = p[1:]
         return open(p, "rb")
     from pyarrow import fs
+    for hadoop, arrow in (("s3a://", "s3://"), ("s3n://", "s3://")):
+        if path.startswith(hadoop):
+            path = arrow + path[len(hadoop):]
     filesystem, p = fs.FileSystem.from_uri(path)
     return filesystem.open_input_stream(p)
 

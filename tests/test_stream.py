@@ -3,7 +3,7 @@ replayed batch overwrites its own output (R-2, R-5)."""
 
 from pyspark.sql import functions as F
 
-from leadmill.plans import pipelines as pl
+from leadmill.plans import jobs as pl
 from leadmill.plans.ingest import land_files
 from leadmill.session import scratch_path
 from leadmill.sources import files as fl
