@@ -56,7 +56,8 @@ def replace_load(df: DataFrame, path: str, batch_ts: dt.datetime) -> DataFrame:
 def max_lengths(df: DataFrame) -> DataFrame:
     """A-7: longest text per column in one pass; a missing value counts as its text form 'nan'
     (3), as ``astype(str)`` prints pandas' NaN in the reference."""
-    aggs = [F.max(F.coalesce(F.length(F.col(f"`{c}`").cast("string")), F.lit(3))).alias(c) for c in df.columns]
+    aggs = [F.max(F.coalesce(F.length(F.col(f"`{c}`").cast("string")), F.lit(3))).cast("bigint").alias(c)
+            for c in df.columns]
     one = df.agg(*aggs)
     stack = ", ".join(f"'{c}', `{c}`" for c in df.columns)
     return one.selectExpr(f"stack({len(df.columns)}, {stack}) as (column_name, max_length)")
