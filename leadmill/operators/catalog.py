@@ -121,30 +121,32 @@ def apply_file_types(catalog: DataFrame, derived: DataFrame, batch_ts: dt.dateti
     return out.drop("_u", "_t")
 
 
-def checked_config(config: DataFrame, on_duplicate: str = "error") -> DataFrame:
-    """V-2 for the config sheet: columns renamed by position (K-7); one row per file name.
-    ``on_duplicate='error'`` fails the job on a repeated name, as Postgres refuses to touch a row
-    twice; ``'first'`` keeps the row with the smallest (owner, search)."""
-    c = config.toDF(*CONFIG_COLUMNS[: len(config.columns)]) if len(config.columns) == 3 else config.select(*CONFIG_COLUMNS)
+def checked_config(config: DataFrame) -> DataFrame:
+    """K-7 + V-2 for the config sheet: columns renamed by position (filename, owner, search), one
+    row per file name (the smallest owner/search), with ``_n`` = how many rows named the file."""
+    c = config.toDF(*CONFIG_COLUMNS) if len(config.columns) == 3 else config.select(*CONFIG_COLUMNS)
     w = Window.partitionBy("filename")
-    if on_duplicate == "error":
-        n = F.count(F.lit(1)).over(w)
-        return c.withColumn("filename", F.when(n > 1, F.raise_error(F.concat(F.lit("config names a file twice: "),
-                                                                              F.col("filename"))).cast("string"))
-                            .otherwise(F.col("filename")))
-    if on_duplicate == "first":
-        rk = F.row_number().over(w.orderBy(F.col("hubspot_owner").asc_nulls_last(), F.col("zi_search").asc_nulls_last()))
-        return c.withColumn("_rk", rk).where(F.col("_rk") == 1).drop("_rk")
-    raise ValueError(on_duplicate)
+    first = F.row_number().over(w.orderBy(F.col("hubspot_owner").asc_nulls_last(), F.col("zi_search").asc_nulls_last()))
+    return c.withColumn("_n", F.count(F.lit(1)).over(w)).withColumn("_rk", first).where(F.col("_rk") == 1).drop("_rk")
 
 
 def apply_config(catalog: DataFrame, config: DataFrame, batch_ts: dt.datetime, on_duplicate: str = "error") -> DataFrame:
     """U-1: files without config whose name is in the config sheet get a new config uuid, the
-    owner and search texts and ``updated_at``; nothing is inserted. An empty sheet changes nothing."""
-    c = checked_config(config, on_duplicate).select(F.col("filename").alias("_fn"), F.col("hubspot_owner").alias("_ho"),
-                                                   F.col("zi_search").alias("_zs"))
+    owner and search texts and ``updated_at``; nothing is inserted. An empty sheet changes nothing.
+
+    A name listed twice that matches an unconfigured file is refused, as Postgres refuses to
+    update a row twice (``on_duplicate='error'``, the job fails); ``'first'`` applies the first
+    row instead. Repeated names that change nothing are ignored, and no catalog row is repeated.
+    """
+    if on_duplicate not in ("error", "first"):
+        raise ValueError(on_duplicate)
+    c = checked_config(config).select(F.col("filename").alias("_fn"), F.col("hubspot_owner").alias("_ho"),
+                                      F.col("zi_search").alias("_zs"), "_n")
     out = catalog.join(c, catalog["name"] == c["_fn"], "left")
     hit = F.col("config_file_uuid").isNull() & F.col("_fn").isNotNull()
+    if on_duplicate == "error":
+        refused = F.raise_error(F.concat(F.lit("config names a file twice: "), F.col("_fn")))
+        hit = F.when(hit & (F.col("_n") > 1), refused.cast("boolean")).otherwise(hit)
     new_uuid = det_uuid(F.lit("config"), F.col("uuid"), F.col("_fn"))
     cols = {
         "config_file_uuid": F.when(hit, new_uuid).otherwise(F.col("config_file_uuid")),
@@ -153,4 +155,4 @@ def apply_config(catalog: DataFrame, config: DataFrame, batch_ts: dt.datetime, o
     }
     if "updated_at" in catalog.columns:
         cols["updated_at"] = F.when(hit, ntz(batch_ts)).otherwise(F.col("updated_at"))
-    return out.withColumns(cols).drop("_fn", "_ho", "_zs")
+    return out.withColumns(cols).drop("_fn", "_ho", "_zs", "_n")

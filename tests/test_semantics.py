@@ -202,6 +202,11 @@ def test_apply_config_duplicates_and_empty(spark):
         cat.apply_config(c, dup, TS).collect()
     first = cat.apply_config(c, dup, TS, on_duplicate="first")
     assert [r.hubspot_owner for r in first.where("uuid = 'u1'").collect()] == ["o"]
+    # a repeated name that matches an already configured file changes nothing and repeats nothing
+    dup_cfgd = spark.createDataFrame([("e.csv", "o", "s"), ("e.csv", "p", "t")], "a string, b string, c string")
+    same = cat.apply_config(c, dup_cfgd, TS)
+    assert same.count() == c.count()
+    assert rows(same, "uuid", "config_file_uuid") == rows(c, "uuid", "config_file_uuid")
     empty = spark.createDataFrame([], "a string, b string, c string")
     assert rows(cat.apply_config(c, empty, TS), "uuid", "config_file_uuid") == rows(c, "uuid", "config_file_uuid")
 
