@@ -69,3 +69,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if "://" not in path:
         os.makedirs(path, exist_ok=True)
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``leadmill`` importable in Python workers (its ``mapInPandas`` functions are pickled
+    by reference): zip the package into the work folder and ``addPyFile`` it, once per
+    application. Skipped when the work folder is remote; such jobs pass ``--py-files``."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    base = work_dir(spark)
+    if "://" in base and not base.startswith("file:"):
+        _SHIPPED.add(app)
+        return
+    import zipfile
+    local = base[5:] if base.startswith("file:") else base
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(local, f"leadmill-{app}-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)

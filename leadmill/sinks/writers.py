@@ -29,7 +29,8 @@ def write_partitioned_csv(df: DataFrame, path: str, partition_cols: list[str], m
     """K-3 / K-4: CSV with a header per part file, one folder per partition value; dynamic
     partition overwrite replaces only the partitions present in ``df`` (a replay is harmless)."""
     (rebalanced(df, partition_cols).write.mode(mode).options(**CSV_WRITE_OPTIONS)
-     .option("maxRecordsPerFile", rows_per_part).partitionBy(*partition_cols).csv(path))
+     .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", rows_per_part)
+     .partitionBy(*partition_cols).csv(path))
 
 
 def land_csv(files: DataFrame, path: str, rows_per_part: int = ROWS_PER_PART) -> None:
@@ -66,9 +67,8 @@ def max_lengths(df: DataFrame) -> DataFrame:
 def append_load(df: DataFrame, path: str, partition_col: str = "file_id") -> None:
     """K-2: append rows of whole files; the table is partitioned by file and written with
     dynamic partition overwrite, so loading a file twice replaces rather than duplicates."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    rebalanced(df, [partition_col]).write.mode("overwrite").partitionBy(partition_col).parquet(path)
+    (rebalanced(df, [partition_col]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_col).parquet(path))
 
 
 def write_snapshot(df: DataFrame, base: str, batch_id: int) -> str:
