@@ -108,15 +108,19 @@ def read_header_groups(spark: SparkSession, files: DataFrame, clean: bool = True
                        tag: bool = True) -> list[DataFrame]:
     """One all-text DataFrame per distinct header, columns cleaned (P-1) unless ``clean=False``,
     pandas missing markers nulled, plus ``file_id`` and ``path``. The driver receives one row
-    per distinct header with its path list (file metadata only)."""
-    groups = sniff_headers(files).groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
+    pair (header, path) per file (file metadata only)."""
+    # (header, path) pairs come straight from the sniffing tasks (no single task gathers a
+    # group's paths); the driver keeps the path lists, as Spark's file index does anyway
+    by_header: dict[str, list[str]] = {}
+    for r in sniff_headers(files).collect():
+        by_header.setdefault(r["header"], []).append(r["path"])
     out = []
-    for g in groups:
-        raw = pandas_names(json.loads(g["header"]))
+    for header, paths in sorted(by_header.items()):
+        raw = pandas_names(json.loads(header))
         if not raw:
             continue
         schema = StructType([StructField(n, StringType(), True) for n in raw])
-        df = spark.read.options(**CSV_OPTIONS).schema(schema).csv(sorted(g["paths"]))
+        df = spark.read.options(**CSV_OPTIONS).schema(schema).csv(sorted(paths))
         if clean:
             df = df.toDF(*clean_names(raw))
         if na:
