@@ -105,10 +105,14 @@ def pandas_names(header: list[str]) -> list[str]:
 
 
 def read_header_groups(spark: SparkSession, files: DataFrame, clean: bool = True, na: bool = True,
-                       tag: bool = True) -> list[DataFrame]:
+                       tag: bool = True, quoted_newlines: bool = True) -> list[DataFrame]:
     """One all-text DataFrame per distinct header, columns cleaned (P-1) unless ``clean=False``,
     pandas missing markers nulled, plus ``file_id`` and ``path``. The driver receives one row
-    pair (header, path) per file (file metadata only)."""
+    pair (header, path) per file (file metadata only).
+
+    ``quoted_newlines=True`` (default, like pandas) accepts line breaks inside quoted fields; such
+    a CSV is read by one task per file. With ``False`` large files are split across tasks, for
+    sources known to have no quoted line breaks."""
     # (header, path) pairs come straight from the sniffing tasks (no single task gathers a
     # group's paths); the driver keeps the path lists, as Spark's file index does anyway
     by_header: dict[str, list[str]] = {}
@@ -120,7 +124,8 @@ def read_header_groups(spark: SparkSession, files: DataFrame, clean: bool = True
         if not raw:
             continue
         schema = StructType([StructField(n, StringType(), True) for n in raw])
-        df = spark.read.options(**CSV_OPTIONS).schema(schema).csv(sorted(paths))
+        opts = dict(CSV_OPTIONS, multiLine="true" if quoted_newlines else "false")
+        df = spark.read.options(**opts).schema(schema).csv(sorted(paths))
         if clean:
             df = df.toDF(*clean_names(raw))
         if na:

@@ -253,3 +253,25 @@ def test_franchise_upsert_null_keys_insert_again(spark):
 def test_split_drops_one_name_rows(spark):
     f = spark.createDataFrame([("A", "B"), (None, None), ("A", None)], "`First Name` string, `Last Name` string")
     assert cy.split_personal(f).count() == 1 and cy.split_generic(f).count() == 1 and cy.split_residual(f).count() == 1
+
+
+# ---- listing bounds (S-1 text comparison vs S-3 API comparison) ---------------------------------
+
+def test_listing_bounds(spark):
+    from leadmill.operators import listing as ls
+    now = dt.datetime(2024, 1, 29, 12)
+    bound = dt.datetime(2024, 1, 22)
+    nodes = spark.createDataFrame([
+        ("r", None, "root", "folder", False, D1, D1),
+        ("p", "r", "Processed", "folder", False, D1, D1),
+        ("a", "r", "at_bound.csv", "file", False, D1, bound),
+        ("b", "r", "after.csv", "file", False, D1, bound + dt.timedelta(seconds=1)),
+        ("c", "p", "archived.csv", "file", False, D1, bound + dt.timedelta(days=1)),
+        ("d", "r", "trashed.csv", "file", True, D1, bound + dt.timedelta(days=1)),
+    ], "id string, parent string, name string, kind string, trashed boolean, created_time timestamp_ntz, "
+       "modified_time timestamp_ntz").withColumn("file_extension", F.lit("csv"))
+    roots = nodes.where("parent IS NULL")
+    rec = rows(ls.recent_files_recursive(nodes, roots, now, 7), "id")
+    assert rec == [("a",), ("b",)]            # '…T00:00:00.000Z' > '…T00:00:00' as text; Processed never entered
+    flat = rows(ls.recent_files_flat(nodes, now, 7), "id")
+    assert flat == [("b",), ("c",)]           # the API compares strictly; folders and trash excluded
