@@ -68,13 +68,19 @@ def enriched_select(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*columns)
 
 
-def land_files(spark: SparkSession, files: DataFrame, catalog: DataFrame, nodes: DataFrame, landing: str) -> str:
-    """K-3 for many files at once: each file's rows keep their own header, a stray
-    ``drive_metadata_uuid`` is replaced by the catalog's (P-8), and rows land under
+def land_files(spark: SparkSession, files: DataFrame, catalog: DataFrame, nodes: DataFrame, landing: str,
+               workbooks: str | None = None) -> str:
+    """S-6 + K-3 for many files at once: CSV files and (``workbooks``) XLSX files are read by
+    their kind, each file's rows keep their own header, a stray ``drive_metadata_uuid`` is
+    replaced by the catalog's (P-8), and rows land as CSV under
     ``file_type=<parent folder, X-7>/file_id=<id>``. Returns ``landing``."""
     from ..operators.listing import parent_names
     folder = parent_names(nodes).select(F.col("id").alias("file_id"), landing_folder(F.col("parent_name")).alias("file_type"))
-    for g in read_header_groups(spark, files, clean=False):
+    groups = read_header_groups(spark, files, clean=False)
+    if workbooks:
+        from ..sources.xlsx import read_rows, rows_by_header
+        groups += rows_by_header(spark, read_rows(spark, workbooks), clean=False)
+    for g in groups:
         g = g.drop("drive_metadata_uuid", "path").join(file_uuids(catalog), "file_id", "inner").join(folder, "file_id", "inner")
         land_csv(g, landing)
     return landing

@@ -78,6 +78,8 @@ def _batch_rows(state: State, table: str, files: DataFrame, catalog: DataFrame,
     new = ingest(state.spark, None, catalog, table, batch_ts, columns=columns, files=files)
     wr.append_load(new, state.path(f"raw_{table}"))
     all_rows = state.raw(table)
+    if all_rows is None:          # nothing loaded yet (an empty first batch)
+        all_rows = new
     ids = files.select(F.col("file_id").alias("_fid")).distinct()
     return all_rows, semi(all_rows, ids, F.col("file_id") == F.col("_fid"))
 
@@ -130,6 +132,8 @@ def city_batch(state: State, files: DataFrame, batch_id: int, batch_ts: dt.datet
     new = ingest(state.spark, None, catalog, "city_search", batch_ts, columns=cols, files=todo)
     wr.append_load(new, state.path("raw_city_search"))
     city = state.raw("city_search")
+    if city is None:
+        city = new
     ids = files.select(F.col("file_id").alias("_fid")).distinct()
     sheet = cy.city_sheet(city.drop("file_id"), catalog, franchises)
     sheet = semi(sheet, ids, F.col("file_id") == F.col("_fid"))
@@ -150,6 +154,8 @@ def enriched_batch(state: State, files: DataFrame, batch_id: int, batch_ts: dt.d
                  required=ENRICHED_DATA_COLUMNS)   # P-12: a file without these columns fails
     wr.append_load(new, state.path("raw_city_search_enriched"))
     all_rows = state.raw("city_search_enriched")
+    if all_rows is None:
+        all_rows = new
     ids = files.select(F.col("file_id").alias("_fid")).distinct()
     batch_rows = semi(all_rows, ids, F.col("file_id") == F.col("_fid"))
     fresh = cy.city_fresh_leads(all_rows.drop("file_id"), customers, tracking, catalog)

@@ -31,7 +31,7 @@ _INGEST_COLS = ["file_id", "drive_metadata_uuid", "zoominfo_contact_id", "first_
                 "revenue_in_000s_usd", "company_country", "middle_name", "created_at"]
 
 
-def _ingest_sql(missing: str = "''") -> str:
+def _ingest_sql(missing: str = "''", where: str = "") -> str:
     lay = "((o_orderkey//150)%3)"
     return f"""
 SELECT 'id'||(o_orderkey//150) AS file_id, d.uuid AS drive_metadata_uuid, CAST(o_orderkey AS VARCHAR) AS zoominfo_contact_id,
@@ -46,7 +46,7 @@ SELECT 'id'||(o_orderkey//150) AS file_id, d.uuid AS drive_metadata_uuid, CAST(o
   CASE WHEN {lay}=2 THEN {missing} ELSE CAST(o_orderkey%1000 AS VARCHAR) END AS revenue_in_000s_usd,
   CASE WHEN o_orderpriority LIKE '1%' THEN 'Canada' ELSE 'United States' END AS company_country,
   {missing} AS middle_name, {_BATCH} AS created_at
-FROM orders JOIN drive_metadata d ON d.id='id'||(o_orderkey//150)"""
+FROM orders JOIN drive_metadata d ON d.id='id'||(o_orderkey//150) {where}"""
 
 
 _DERIVED: dict[tuple, str] = {}
@@ -66,17 +66,25 @@ def _vendor_root(spark, sf_dir) -> str:
                         lambda: fx.write_vendor_files(spark, sf_dir, scratch_path(spark, "vendor")))
 
 
+def _xlsx_root(spark, sf_dir) -> str:
+    return derived_once(spark, sf_dir, "xlsx",
+                        lambda: fx.write_vendor_workbooks(spark, sf_dir, scratch_path(spark, "xlsx")))
+
+
 def _ingested(spark, sf_dir, columns=None):
     t = Tables(spark, sf_dir)
     return ingest(spark, _vendor_root(spark, sf_dir), t.drive_metadata, "leads", fx.BATCH_TS, columns=columns)
 
 
-@query("ingest_csv", _ingest_sql(), ("drive_metadata",))
+_CSV_FILES = "WHERE d.name LIKE '%.csv'"
+
+
+@query("ingest_csv", _ingest_sql(where=_CSV_FILES), ("drive_metadata",))
 def ingest_csv(spark, sf_dir):
     return _ingested(spark, sf_dir).select(*_INGEST_COLS)
 
 
-@query("align_fill", _ingest_sql(), ("drive_metadata",))
+@query("align_fill", _ingest_sql(where=_CSV_FILES), ("drive_metadata",))
 def align_fill(spark, sf_dir):
     """P-6: columns missing from a file's layout are '' (not NULL)."""
     return _ingested(spark, sf_dir).select(*_INGEST_COLS)
@@ -86,7 +94,7 @@ _INTERSECT = ["zoominfo_contact_id", "first_name", "last_name", "job_title", "em
               "mobile_phone", "direct_phone_number", "person_zip_code", "revenue_in_000s_usd", "company_country"]
 
 
-@query("align_intersect", _ingest_sql("NULL"), ("drive_metadata",))
+@query("align_intersect", _ingest_sql("NULL", where=_CSV_FILES), ("drive_metadata",))
 def align_intersect(spark, sf_dir):
     """P-5: with an explicit column list only common columns are loaded; the rest stay NULL."""
     return _ingested(spark, sf_dir, columns=_INTERSECT).select(*_INGEST_COLS)
@@ -98,7 +106,8 @@ def _land(spark, sf_dir, fresh: bool = True):
 
     def make():
         files = fl.list_files(spark, _vendor_root(spark, sf_dir))
-        return land_files(spark, files, t.drive_metadata, t.nodes, scratch_path(spark, "landing"))
+        return land_files(spark, files, t.drive_metadata, t.nodes, scratch_path(spark, "landing"),
+                          workbooks=_xlsx_root(spark, sf_dir))
     return make() if fresh else derived_once(spark, sf_dir, "landing", make)
 
 
@@ -119,12 +128,14 @@ def land_csv(spark, sf_dir):
     return df.groupBy("file_type", "file_id").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-@query("landing_files", "SELECT DISTINCT 'id'||(o_orderkey//150) AS file_id FROM orders")
+@query("landing_files", """
+SELECT DISTINCT 'id'||(o_orderkey//150) AS file_id FROM orders JOIN drive_metadata d ON d.id='id'||(o_orderkey//150)
+WHERE d.name LIKE '%.csv'""", ("drive_metadata",))
 def landing_files(spark, sf_dir):
     return fl.list_files(spark, _vendor_root(spark, sf_dir)).select("file_id").distinct()
 
 
-@query("append_load", _ingest_sql(), ("drive_metadata",))
+@query("append_load", _ingest_sql(where=_CSV_FILES), ("drive_metadata",))
 def append_load(spark, sf_dir):
     """K-2: load the same files twice into a table partitioned by file: the replay replaces."""
     rows = _ingested(spark, sf_dir).select(*_INGEST_COLS)
@@ -352,17 +363,5 @@ def archive(spark, sf_dir):
 @query("ingest_xlsx", _ingest_sql() + " WHERE d.name LIKE '%.xlsx'", ("drive_metadata",))
 def ingest_xlsx(spark, sf_dir):
     """S-8: the .xlsx lead files as workbooks, read one task per workbook, loaded like CSV."""
-    from ..sources.xlsx import write_workbooks
-
-    def make():
-        root = scratch_path(spark, "xlsx")
-        t = Tables(spark, sf_dir)
-        xl = t.drive_metadata.where(F.col("name").endswith(".xlsx")).select(F.col("id").alias("_id"))
-        rows = fx.vendor_rows(spark, sf_dir).join(xl, F.col("file_id") == F.col("_id"), "left_semi")
-        rows = rows.withColumn("_stray", F.lit("WRONG"))
-        heads = fx.VENDOR_HEADINGS[0]
-        write_workbooks(rows.select("file_id", *[F.col(src).alias(h) for h, src in heads]), root).count()
-        return root
-    root = derived_once(spark, sf_dir, "xlsx", make)
     t = Tables(spark, sf_dir)
-    return ingest(spark, root, t.drive_metadata, "leads", fx.BATCH_TS, fmt="xlsx").select(*_INGEST_COLS)
+    return ingest(spark, _xlsx_root(spark, sf_dir), t.drive_metadata, "leads", fx.BATCH_TS, fmt="xlsx").select(*_INGEST_COLS)

@@ -312,11 +312,16 @@ VENDOR_HEADINGS = {
 }
 
 
+def _files_named(spark: SparkSession, sf_dir: str, ext: str) -> DataFrame:
+    return drive_metadata(spark, sf_dir).where(F.col("name").endswith(ext)).select(F.col("id").alias("_id"))
+
+
 def write_vendor_files(spark: SparkSession, sf_dir: str, root: str) -> str:
-    """Write the vendor lead files as CSV below ``root/file_id=<id>/`` (one header per part
-    file), one write per layout; returns ``root``."""
+    """Write the ``.csv``-named lead files as CSV below ``root/file_id=<id>/`` (one header per
+    part file), one write per layout; returns ``root``."""
     from ..sinks.writers import write_partitioned_csv
-    rows = vendor_rows(spark, sf_dir).withColumn("_stray", F.lit("WRONG"))
+    rows = vendor_rows(spark, sf_dir).join(_files_named(spark, sf_dir, ".csv"), F.col("file_id") == F.col("_id"),
+                                           "left_semi").withColumn("_stray", F.lit("WRONG"))
     for layout, heads in VENDOR_HEADINGS.items():
         part = rows.where(F.col("layout") == layout).select(
             "file_id", *[F.col(src).alias(head) for head, src in heads])
@@ -324,6 +329,17 @@ def write_vendor_files(spark: SparkSession, sf_dir: str, root: str) -> str:
     return root
 
 
+def write_vendor_workbooks(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """Write the ``.xlsx``-named lead files as workbooks below ``root/file_id=<id>/`` (S-8
+    input); each file is split into bounded workbooks. Returns ``root``."""
+    from .xlsx import write_workbooks
+    rows = vendor_rows(spark, sf_dir).join(_files_named(spark, sf_dir, ".xlsx"), F.col("file_id") == F.col("_id"),
+                                           "left_semi")
+    heads = VENDOR_HEADINGS[0]
+    write_workbooks(rows.select("file_id", *[F.col(src).alias(h) for h, src in heads]), root).count()
+    return root
+
+
 # City-search listings and enriched contacts as vendor files. Headings as the scraping and
 # enrichment tools export them; they clean (P-1) to the stored table's names.
 CITY_HEADINGS = [("type", "type"), ("phone", "phone"), ("title", "title"), ("dataId", "dataid"),

@@ -101,9 +101,9 @@ def read_rows(spark: SparkSession, root: str) -> DataFrame:
     return books.mapInPandas(_parse, "path string, row_no int, cells array<string>")
 
 
-def rows_by_header(spark: SparkSession, rows: DataFrame) -> list[DataFrame]:
-    """One DataFrame per distinct header (P-1 names, pandas missing markers NULL), like
-    ``files.read_header_groups``; the driver receives only the distinct headers."""
+def rows_by_header(spark: SparkSession, rows: DataFrame, clean: bool = True) -> list[DataFrame]:
+    """One DataFrame per distinct header (P-1 names unless ``clean=False``, pandas missing markers
+    NULL), like ``files.read_header_groups``; the driver receives only the distinct headers."""
     rows = rows.persist()
     heads = rows.where(F.col("row_no") == 0).select("path", F.to_json("cells").alias("header"))
     out = []
@@ -112,8 +112,9 @@ def rows_by_header(spark: SparkSession, rows: DataFrame) -> list[DataFrame]:
         paths = heads.where(F.col("header") == h["header"]).select(F.col("path").alias("_p"))
         body = rows.where(F.col("row_no") > 0).join(paths, F.col("path") == F.col("_p"), "left_semi")
         df = body.select(*[F.col("cells")[i].alias(n) for i, n in enumerate(raw)], "path")
-        df = df.toDF(*clean_names(raw), "path")
-        df = na_to_null(df, clean_names(raw)).withColumn("file_id", F.regexp_extract("path", FILE_ID_PATTERN, 1))
+        names = clean_names(raw) if clean else raw
+        df = df.toDF(*names, "path")
+        df = na_to_null(df, names).withColumn("file_id", F.regexp_extract("path", FILE_ID_PATTERN, 1))
         out.append(df)
     return out
 

@@ -17,7 +17,9 @@ CSV = {"header": "true", "multiLine": "true", "escape": '"'}
 def _setup(spark, sf):
     t = Tables(spark, sf)
     vendor = fx.write_vendor_files(spark, sf, scratch_path(spark, "vendor"))
-    landing = land_files(spark, fl.list_files(spark, vendor), t.drive_metadata, t.nodes, scratch_path(spark, "landing"))
+    books = fx.write_vendor_workbooks(spark, sf, scratch_path(spark, "xlsx"))
+    landing = land_files(spark, fl.list_files(spark, vendor), t.drive_metadata, t.nodes, scratch_path(spark, "landing"),
+                         workbooks=books)
     catalog = t.drive_metadata.withColumn("has_been_processed", F.lit(None).cast("boolean"))
     tracking = t.tracking.withColumn("lead_uuid", F.col("lead_uuid").cast("string")) \
                          .withColumn("city_search_lead_uuid", F.col("city_search_lead_uuid").cast("string"))
@@ -71,6 +73,7 @@ def test_batch_history_mode_equals_full_history(spark, sf_small):
     t, folder, catalog, tracking = _setup(spark, sf_small)
     files = fl.list_files(spark, folder).select("path", "file_id")
     ids = sorted(r.file_id for r in files.select("file_id").distinct().collect())
+    assert len(ids) >= 2
     first, second = ids[: len(ids) // 2], ids[len(ids) // 2:]
     outs = []
     for mode in ("all", "batch"):
