@@ -24,7 +24,8 @@ def coalesced_email(df: DataFrame):
     return F.coalesce(F.col("main_point_of_contact_email"), F.col("generic_contact_email"))
 
 
-def unseen_elsewhere(city: DataFrame, catalog: DataFrame, null_safe: bool = False) -> DataFrame:
+def unseen_elsewhere(city: DataFrame, catalog: DataFrame, null_safe: bool = False,
+                     file_ids: DataFrame | None = None) -> DataFrame:
     """J-12 for every file at once: listing rows of file f whose ``dataid`` is
     ``NOT IN (dataids of rows outside f)``, with SQL's NULL rules per file:
 
@@ -35,17 +36,26 @@ def unseen_elsewhere(city: DataFrame, catalog: DataFrame, null_safe: bool = Fals
     File f = catalog id; a row whose file uuid has no catalog row is outside every file.
     One aggregate per dataid and one per file replace a NOT IN per file; both aggregate
     map-side, so a hot dataid or a hot file costs one row per task in the shuffle.
+    ``file_ids`` (column ``file_id``) limits the output to those files; the per-dataid
+    aggregate then covers only their dataids (the two totals still count every row).
     """
     ids = catalog.select(F.col("uuid").alias("_fu"), F.col("id").alias("file_id"))
     c = city.join(ids, city["drive_metadata_uuid"] == ids["_fu"], "left").drop("_fu")
     total = c.select(F.count(F.lit(1))).scalar()
     total_nulls = c.select(F.count(F.when(F.col("dataid").isNull(), 1))).scalar()
-    per_file = c.where(F.col("file_id").isNotNull()).groupBy("file_id").agg(
+    mine = c.where(F.col("file_id").isNotNull())
+    ids_seen = c.where(F.col("dataid").isNotNull())
+    if file_ids is not None:
+        mine = mine.join(file_ids.select(F.col("file_id").alias("_sel")).distinct(),
+                         F.col("file_id") == F.col("_sel"), "left_semi")
+        ids_seen = ids_seen.join(mine.select(F.col("dataid").alias("_dd")).distinct(),
+                                 F.col("dataid") == F.col("_dd"), "left_semi")
+    per_file = mine.groupBy("file_id").agg(
         F.count(F.lit(1)).alias("_n_f"), F.count(F.when(F.col("dataid").isNull(), 1)).alias("_nulls_f"))
-    per_id = c.where(F.col("dataid").isNotNull()).groupBy(F.col("dataid").alias("_d")).agg(
+    per_id = ids_seen.groupBy(F.col("dataid").alias("_d")).agg(
         F.min("file_id").alias("_min_f"), F.max("file_id").alias("_max_f"),
         F.count(F.when(F.col("file_id").isNull(), 1)).alias("_orphans"))
-    rows = c.where(F.col("file_id").isNotNull()).join(per_file, "file_id") \
+    rows = mine.join(per_file, "file_id") \
             .join(per_id, F.col("dataid") == F.col("_d"), "left")
     others = total - F.col("_n_f")
     other_nulls = total_nulls - F.col("_nulls_f")
@@ -57,11 +67,12 @@ def unseen_elsewhere(city: DataFrame, catalog: DataFrame, null_safe: bool = Fals
     return rows.where(keep).drop("_n_f", "_nulls_f", "_d", "_min_f", "_max_f", "_orphans")
 
 
-def city_sheet(city: DataFrame, catalog: DataFrame, franchises: DataFrame, null_safe: bool = False) -> DataFrame:
-    """J-15: the city-search output rows of every file: NOT IN over other files (J-12), inner
-    join to the catalog (J-13), left join to franchises on the normalised domain (J-11),
-    constant and renamed columns (P-13). One row per matching franchise, as in SQL."""
-    rows = unseen_elsewhere(city, catalog, null_safe)
+def city_sheet(city: DataFrame, catalog: DataFrame, franchises: DataFrame, null_safe: bool = False,
+               file_ids: DataFrame | None = None) -> DataFrame:
+    """J-15: the city-search output rows of every file (or of ``file_ids``): NOT IN over other
+    files (J-12), inner join to the catalog (J-13), left join to franchises on the normalised
+    domain (J-11), constant and renamed columns (P-13). One row per matching franchise, as in SQL."""
+    rows = unseen_elsewhere(city, catalog, null_safe, file_ids)
     names = catalog.select(F.col("uuid").alias("_fu2"), F.col("name").alias("file_name"))
     rows = rows.join(names, rows["drive_metadata_uuid"] == names["_fu2"], "inner")
     out = domain_join(rows, "website", franchises.select("franchise_name", "domain_name"), "domain_name", "left")

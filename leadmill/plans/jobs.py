@@ -135,8 +135,8 @@ def city_batch(state: State, files: DataFrame, batch_id: int, batch_ts: dt.datet
     if city is None:
         city = new
     ids = files.select(F.col("file_id").alias("_fid")).distinct()
-    sheet = cy.city_sheet(city.drop("file_id"), catalog, franchises)
-    sheet = semi(sheet, ids, F.col("file_id") == F.col("_fid"))
+    sheet = cy.city_sheet(city.drop("file_id"), catalog, franchises,
+                          file_ids=ids.select(F.col("_fid").alias("file_id")))
     franchise_part, other_part = cy.city_sheet_parts(sheet)
     book = F.concat(F.lit(CITY_BOOK), X.week_label(X.ntz(batch_ts)))
     for part in (franchise_part, other_part):
@@ -158,7 +158,10 @@ def enriched_batch(state: State, files: DataFrame, batch_id: int, batch_ts: dt.d
         all_rows = new
     ids = files.select(F.col("file_id").alias("_fid")).distinct()
     batch_rows = semi(all_rows, ids, F.col("file_id") == F.col("_fid"))
-    fresh = cy.city_fresh_leads(all_rows.drop("file_id"), customers, tracking, catalog)
+    # only e-mails of the batch can rank in its files: prune the history to them first
+    batch_emails = batch_rows.select(cy.coalesced_email(batch_rows).alias("_e")).distinct()
+    pool = semi(all_rows.drop("file_id"), batch_emails, cy.coalesced_email(all_rows) == F.col("_e"))
+    fresh = cy.city_fresh_leads(pool, customers, tracking, catalog)
     fresh = semi(fresh, ids, F.col("file_id") == F.col("_fid"))
     frame = ld.output_frame(fresh)
     book = F.concat(F.lit(QUICK_MAIL_BOOK), X.week_label(X.ntz(batch_ts)))

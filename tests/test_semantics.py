@@ -275,3 +275,14 @@ def test_listing_bounds(spark):
     assert rec == [("a",), ("b",)]            # '…T00:00:00.000Z' > '…T00:00:00' as text; Processed never entered
     flat = rows(ls.recent_files_flat(nodes, now, 7), "id")
     assert flat == [("b",), ("c",)]           # the API compares strictly; folders and trash excluded
+
+
+@pytest.mark.parametrize("nulls", [False, True])
+def test_unseen_elsewhere_restricted_to_files_equals_filtered_full(spark, sf_small, nulls):
+    from leadmill.sources.tables import Tables
+    t = Tables(spark, sf_small)
+    city = t.city_search_nulls if nulls else t.city_search
+    ids = spark.createDataFrame([("id1",), ("id2",), ("id6",)], "file_id string")
+    full = cy.unseen_elsewhere(city, t.drive_metadata).where(F.col("file_id").isin("id1", "id2", "id6"))
+    part = cy.unseen_elsewhere(city, t.drive_metadata, file_ids=ids)
+    assert rows(part, "uuid", "file_id") == rows(full, "uuid", "file_id")
