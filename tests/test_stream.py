@@ -96,3 +96,4 @@ def test_backlog_in_small_micro_batches_sends_each_email_once(spark, sf_small):
     assert sheets.groupBy("Email").count().where("count > 1").count() == 0     # each e-mail goes out once
     last = s.read("catalog", n - 1).where("has_been_processed").count()
     assert last == files
+
