@@ -78,3 +78,17 @@ pur AS (SELECT host, template, (count(*) FILTER (label = 'bad') + 5 * 0.5) / (co
 SELECT page_id, host, path, rule, coalesce(v, CASE WHEN purity >= 0.7 THEN 'block' ELSE 'allow' END) AS verdict
 FROM t JOIN tmpl USING (host, segs) JOIN pur USING (host, template)
 """
+
+# Lengths of the template: 12 for the opening mark, 1 for the line end after the role, 11 for the closing mark.
+CHAT = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, length(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '[', '&#91;'))
+                + length(replace(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '[', '&#91;'), chr(10), '&#10;')) + 24 AS size FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(size)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
