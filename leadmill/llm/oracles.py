@@ -92,3 +92,26 @@ SELECT conv_id, count(*) AS n_turns,
        sum(size)::BIGINT AS formatted_chars
 FROM e GROUP BY conv_id
 """
+
+SUBSTRINGS = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r,
+                  list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT doc_id, r, unnest(range(1, len(ws) - 11)) AS i, ws FROM d WHERE len(ws) >= 13),
+win AS (SELECT doc_id, r, i, array_to_string(ws[i:i + 12], ' ') AS w FROM s),
+hit AS (SELECT r, i FROM (SELECT doc_id, r, i, min(doc_id) OVER (PARTITION BY w) AS first FROM win) WHERE first < doc_id),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 13)) AS p FROM hit),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS n
+         FROM (SELECT r, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM d) ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+DECONTAMINATION = r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+b AS (SELECT item_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM benchmark),
+ds AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS s FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM d WHERE len(ws) >= 5)),
+bs AS (SELECT DISTINCT item_id, array_to_string(ws[i:i + 4], ' ') AS s FROM (SELECT item_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM b WHERE len(ws) >= 5)),
+n AS (SELECT item_id, count(*) AS n_shingles FROM bs GROUP BY item_id)
+SELECT doc_id, item_id, n_shingles, count(*) AS n_shared, count(*) / n_shingles AS containment
+FROM ds JOIN bs USING (s) JOIN n USING (item_id) GROUP BY doc_id, item_id, n_shingles HAVING count(*) / n_shingles >= 0.8
+"""

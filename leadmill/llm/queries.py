@@ -9,13 +9,27 @@ from . import oracles
 from .bpe import encode_documents
 from .chat import format_conversations, read_back, reply_chains
 from .common import table
+from .decontaminate import find_leaks
+from .near_dups import duplicate_classes
 from .quality_rules import judge_documents
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 from .secrets import scan_documents
 from .sharding import shard_documents
+from .substrings import remove_repeats
 from .url_filters import judge_urls
 
 
+@query("op2_near_dups")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return duplicate_classes(table(spark, sf_dir, "documents"))
+
+
+@query("op3_substrings", oracles.SUBSTRINGS)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op4_quality_rules", oracles.QUALITY_RULES)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = judge_documents(table(spark, sf_dir, "documents"))
@@ -53,6 +67,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_documents(table(spark, sf_dir, "documents"))
 
 
+@query("op9_decontamination", oracles.DECONTAMINATION)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "item_id", "n_shingles", "n_shared", "containment")
+
+
 @query("op10_sharding")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), 8)
