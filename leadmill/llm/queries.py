@@ -11,6 +11,7 @@ from .chat import format_conversations, read_back, reply_chains
 from .common import table
 from .decontaminate import find_leaks
 from .near_dups import duplicate_classes
+from .quality_classifier import score_documents
 from .quality_rules import judge_documents
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 from .secrets import scan_documents
@@ -19,6 +20,11 @@ from .substrings import remove_repeats
 from .url_filters import judge_urls
 
 
+@query("op1_quality_classifier")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op2_near_dups")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_classes(table(spark, sf_dir, "documents"))
