@@ -119,8 +119,9 @@ def counted(docs: DataFrame, carry: list[str]) -> DataFrame:
     df = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), "text",
                      F.coalesce(F.col("lang"), F.lit("")).alias("lang_key"),
                      F.coalesce(F.col("source"), F.lit("")).alias("source_key"))
-    df = base_counts(df).drop("text")
-    return _metrics(df.withColumn("base_failed", F.expr(f"n_words < {MIN_WORDS} or 100 * n_repeat_words > 50 * n_words")))
+    df = base_counts(df).withColumn("base_failed", F.expr(f"n_words < {MIN_WORDS} or 100 * n_repeat_words > 50 * n_words"))
+    # unpacked from a struct, so that a later filter on the counts is not rewritten into a second computation of them
+    return _metrics(df.select("row", "lang_key", "source_key", F.inline(F.array(F.struct(*MADE)))))
 
 
 def verdicts(df: DataFrame, limits: DataFrame) -> DataFrame:
