@@ -6,8 +6,9 @@ the learning fold. With class prior p, loss l and model g, the risk (Kiryo et al
     p * E_pos[l(g)] + max(0, E_unl[l(-g)] - p * E_pos[l(-g)])
 
 and while the second term is negative, a step lowers its size instead. The prior is estimated: a
-first classifier tells positives from unlabelled text; over regions of high scores, the ratio of the
-unlabelled share to the positive share is at least the prior, and its least value estimates it.
+first classifier tells positives from unlabelled text; over regions of high scores, where
+few other texts lie, the ratio of the unlabelled share to the positive share is about the prior, and the
+median of the ratios estimates it (their least value would be drawn down by chance in small samples).
 
 The features are shares and lengths of a text (no vocabulary): they are computed in one pass over whole
 texts. Their means and spreads are taken over all documents; the fit uses bounded samples of
@@ -85,7 +86,7 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def fit_prior(pos: np.ndarray, unl: np.ndarray) -> float:
-    """Class prior of the unlabelled rows: the least ratio of shares over regions of high scores."""
+    """Class prior of the unlabelled rows: the median ratio of shares over regions of high scores."""
     w = np.zeros(pos.shape[1])
     for _ in range(STEPS):      # a classifier of positive against unlabelled rows, equally weighted
         grad = (-(_sigmoid(-pos @ w))[:, None] * pos).mean(0) + (_sigmoid(unl @ w)[:, None] * unl).mean(0) + L2 * w
@@ -94,7 +95,7 @@ def fit_prior(pos: np.ndarray, unl: np.ndarray) -> float:
     cuts = p[(len(p) * np.arange(0, 51) // 100)]                     # regions with half of the positives or more
     share_p = 1 - np.searchsorted(p, cuts, "left") / len(p)
     share_u = 1 - np.searchsorted(u, cuts, "left") / len(u)
-    return float(np.clip((share_u / share_p).min(), 0.05, 0.99))
+    return float(np.clip(np.median(share_u / share_p), 0.05, 0.99))
 
 
 def fit_nnpu(pos: np.ndarray, unl: np.ndarray, prior: float) -> np.ndarray:

@@ -44,7 +44,7 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     """The longest rule that fits, as struct(rule, verdict), else null."""
-    out = F.lit(None)
+    out = F.lit(None).cast("struct<rule:string,verdict:string>")
     for h, p, v in sorted(rules, key=lambda r: len(r[0]) + len(r[1])):      # the longest is tried first
         fits = ((host == h) | host.endswith("." + h)) & path.startswith(p)
         out = F.when(fits, F.struct(F.lit(h + p).alias("rule"), F.lit(v).alias("verdict"))).otherwise(out)
