@@ -112,8 +112,13 @@ def seconds_before(now: dt.datetime, seconds: int) -> Column:
 
 
 def det_uuid(*parts) -> Column:
-    """X-14: deterministic uuid text from md5 over the '|'-joined parts (NULL parts as '')."""
-    h = F.md5(F.concat_ws("|", *[F.coalesce(_c(p).cast("string"), F.lit("")) for p in parts]))
+    """X-14: deterministic uuid text from md5 over the parts, each with its length before it (``3:abc``); a
+    NULL part is ``n``. So no value can be taken for a separator, and NULL differs from ''."""
+    coded = []
+    for p in parts:
+        s = _c(p).cast("string")
+        coded.append(F.coalesce(F.concat(F.length(s).cast("string"), F.lit(":"), s), F.lit("n")))
+    h = F.md5(F.concat(*coded))
     return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4),
                        F.substring(h, 17, 4), F.substring(h, 21, 12))
 

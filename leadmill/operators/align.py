@@ -7,14 +7,14 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.scalar import det_uuid, ntz
+from ..schemas import CATALOG_NULL_ON_INSERT
 
 # Fixed values (must equal pandas' defaults): texts ``read_csv`` reads as missing.
 PANDAS_NA_VALUES = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
                     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
-CATALOG_NULL_ON_INSERT = ["config_file_uuid", "hubspot_owner", "zi_search", "has_posted_on_slack",
-                          "file_type", "has_been_processed"]
 
 
 def to_text(df: DataFrame) -> DataFrame:
@@ -67,13 +67,10 @@ def catalog_insert_shape(df: DataFrame) -> DataFrame:
                            for c in CATALOG_NULL_ON_INSERT})
 
 
-def ensure_columns(df: DataFrame, columns: list[str]) -> DataFrame:
-    """P-9: add missing columns as NULL."""
-    missing = {c: F.lit(None).cast("string") for c in columns if c not in df.columns}
-    return df.withColumns(missing) if missing else df
-
-
 def row_uuid(df: DataFrame, file_col: str, data_columns: list[str]) -> DataFrame:
-    """X-14 for raw rows: uuid from the file and the row's content (identical rows of one file
-    share it)."""
-    return df.withColumn("uuid", det_uuid(F.col(file_col), *[F.col(f"`{c}`") for c in data_columns]))
+    """X-14 for raw rows: uuid from the file and the row's content. Of identical rows of one file, the
+    second and later ones are numbered, so every row has a key of its own."""
+    keyed = df.withColumn("uuid", det_uuid(F.col(file_col), *[F.col(f"`{c}`") for c in data_columns]))
+    nth = F.row_number().over(Window.partitionBy("uuid").orderBy(F.lit(0)))
+    return keyed.withColumn("_nth", nth).withColumn(
+        "uuid", F.when(F.col("_nth") == 1, F.col("uuid")).otherwise(det_uuid(F.lit("repeat"), F.col("uuid"), F.col("_nth")))).drop("_nth")

@@ -15,8 +15,6 @@ from .joins import anti, semi
 
 # Fixed values (must equal the reference's): catalog columns left out of the listing insert, so
 # they stay NULL rather than ''.
-CATALOG_NULL_ON_INSERT = ["config_file_uuid", "hubspot_owner", "zi_search", "has_posted_on_slack",
-                          "file_type", "has_been_processed"]
 CONFIG_COLUMNS = ["filename", "hubspot_owner", "zi_search"]
 CITY_SEARCH = "city_search"
 

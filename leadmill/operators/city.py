@@ -15,7 +15,8 @@ from .leads import TRACKING_COLUMNS, blocked_emails, latest_per_key, status_metr
 # Fixed values (must equal the reference's): blank hand-fill columns of the city sheet, in order.
 CITY_BLANK_COLUMNS = ["first_name", "last_name", "Main Point of Contact Email", "Main Contact Linkedin",
                       "Generic Contact Email"]
-CITY_TAIL_COLUMNS = ["website", "phone", "address", "emails_0"]
+CITY_TAIL_COLUMNS = ["website", "phone", "position", "rating", "address", "reviews", "emails_0", "emails_1",
+                     "emails_2", "emails_3"]
 FRANCHISE_SUFFIX = "_franchise"
 NON_FRANCHISE_SUFFIX = "_non_franchise"
 
@@ -39,10 +40,12 @@ def unseen_elsewhere(city: DataFrame, catalog: DataFrame, null_safe: bool = Fals
     ``file_ids`` (column ``file_id``) limits the output to those files; the per-dataid
     aggregate then covers only their dataids (the two totals still count every row).
     """
-    ids = catalog.select(F.col("uuid").alias("_fu"), F.col("id").alias("file_id"))
+    carried = [F.col("name").alias("file_name")] if "name" in catalog.columns else []       # saves a second join
+    ids = catalog.select(F.col("uuid").alias("_fu"), F.col("id").alias("file_id"), *carried)
     c = city.join(ids, city["drive_metadata_uuid"] == ids["_fu"], "left").drop("_fu")
-    total = c.select(F.count(F.lit(1))).scalar()
-    total_nulls = c.select(F.count(F.when(F.col("dataid").isNull(), 1))).scalar()
+    per_file = c.groupBy("file_id").agg(
+        F.count(F.lit(1)).alias("_n_f"), F.count(F.when(F.col("dataid").isNull(), 1)).alias("_nulls_f"))
+    totals = per_file.select(F.struct(F.sum("_n_f").alias("n"), F.sum("_nulls_f").alias("nulls"))).scalar()
     mine = c.where(F.col("file_id").isNotNull())
     ids_seen = c.where(F.col("dataid").isNotNull())
     if file_ids is not None:
@@ -50,15 +53,13 @@ def unseen_elsewhere(city: DataFrame, catalog: DataFrame, null_safe: bool = Fals
                          F.col("file_id") == F.col("_sel"), "left_semi")
         ids_seen = ids_seen.join(mine.select(F.col("dataid").alias("_dd")).distinct(),
                                  F.col("dataid") == F.col("_dd"), "left_semi")
-    per_file = mine.groupBy("file_id").agg(
-        F.count(F.lit(1)).alias("_n_f"), F.count(F.when(F.col("dataid").isNull(), 1)).alias("_nulls_f"))
     per_id = ids_seen.groupBy(F.col("dataid").alias("_d")).agg(
         F.min("file_id").alias("_min_f"), F.max("file_id").alias("_max_f"),
         F.count(F.when(F.col("file_id").isNull(), 1)).alias("_orphans"))
     rows = mine.join(per_file, "file_id") \
             .join(per_id, F.col("dataid") == F.col("_d"), "left")
-    others = total - F.col("_n_f")
-    other_nulls = total_nulls - F.col("_nulls_f")
+    others = totals.getField("n") - F.col("_n_f")
+    other_nulls = totals.getField("nulls") - F.col("_nulls_f")
     only_here = F.col("dataid").isNotNull() & (F.col("_min_f") == F.col("_max_f")) & (F.col("_orphans") == 0)
     if null_safe:   # the set is the non-NULL dataids outside f
         keep = (others - other_nulls == 0) | only_here
@@ -73,8 +74,6 @@ def city_sheet(city: DataFrame, catalog: DataFrame, franchises: DataFrame, null_
     files (J-12), inner join to the catalog (J-13), left join to franchises on the normalised
     domain (J-11), constant and renamed columns (P-13). One row per matching franchise, as in SQL."""
     rows = unseen_elsewhere(city, catalog, null_safe, file_ids)
-    names = catalog.select(F.col("uuid").alias("_fu2"), F.col("name").alias("file_name"))
-    rows = rows.join(names, rows["drive_metadata_uuid"] == names["_fu2"], "inner")
     out = domain_join(rows, "website", franchises.select("franchise_name", "domain_name"), "domain_name", "left")
     return out.select(
         "uuid", "franchise_name", "domain_name", "type",

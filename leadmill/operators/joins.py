@@ -1,4 +1,4 @@
-"""Join helpers: anti/semi joins, size-checked broadcast, null-aware NOT IN, the domain join."""
+"""Join helpers: anti/semi joins, null-aware NOT IN, the domain join."""
 
 from __future__ import annotations
 
@@ -7,17 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import domain_key
 
-# A side is broadcast only when a bounded count proves it has at most this many rows; beyond it
-# the join stays a shuffle join (and AQE may still switch it to broadcast from runtime sizes).
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only after a bounded row count (``limit(n+1).count()``) proves the size."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def anti(left: DataFrame, right: DataFrame, on: Column | list | str) -> DataFrame:
     """Rows of ``left`` with no match in ``right`` (LEFT JOIN … WHERE right.key IS NULL).
 

@@ -98,7 +98,7 @@ def track_posted(leads: DataFrame, tracking: DataFrame, batch_ts: dt.datetime) -
     of the given files count, not only exported ones."""
     seen = tracking.where(F.col("city_search_lead_uuid").isNull() & F.col("lead_uuid").isNotNull()) \
                    .select(F.col("lead_uuid").alias("_seen"))
-    new = anti(leads.where(F.col("email_address").isNotNull()), seen, F.col("uuid") == F.col("_seen"))
+    new = anti(leads.where(F.col("email_address").isNotNull()), seen, F.col("uuid") == F.col("_seen")).dropDuplicates(["uuid"])
     new_rows = new.select(
         det_uuid(F.lit("posted"), F.col("uuid")).alias("uuid"),
         F.col("uuid").alias("lead_uuid"),
@@ -128,7 +128,7 @@ def track_customers(leads: DataFrame, customers: DataFrame, tracking: DataFrame,
                .join(cust, F.col("_email") == F.col("_cust"), "left_semi")
     t = tracking.select(*TRACKING_COLUMNS)
     # leads with a tracking row: update the 'posted' ones
-    hit_keys = hit.select(F.col("_lead").alias("_hk"))   # lead uuids are unique: no fan-out
+    hit_keys = hit.select(F.col("_lead").alias("_hk")).distinct()      # one change per lead, whatever its rows
     flagged = t.join(hit_keys, t[lead_key] == hit_keys["_hk"], "left")
     is_update = F.col("_hk").isNotNull() & (F.col("status") == "posted")
     updated = flagged.select(
@@ -137,7 +137,7 @@ def track_customers(leads: DataFrame, customers: DataFrame, tracking: DataFrame,
         "email_address",
         F.when(is_update, ntz(batch_ts)).otherwise(F.col("created_at")).alias("created_at"))
     # leads without any tracking row: insert
-    untracked = anti(hit, t.where(F.col(lead_key).isNotNull()).select(F.col(lead_key).alias("_tk")),
+    untracked = anti(hit.dropDuplicates(["_lead"]), t.where(F.col(lead_key).isNotNull()).select(F.col(lead_key).alias("_tk")),
                      F.col("_lead") == F.col("_tk"))
     key_type = t.schema[lead_key].dataType
     inserted = untracked.select(
@@ -162,7 +162,7 @@ def status_metrics(tracking: DataFrame, leads: DataFrame, catalog: DataFrame, le
                 .groupBy(F.col(lead_key).alias("_lead"))
                 .agg(F.sum(F.when(F.col("status") == "shopify_customer", 1).otherwise(0)).alias("_c"),
                      F.sum(F.when(F.col("status") == "posted", 1).otherwise(0)).alias("_p")))
-    l = leads.select(F.col("uuid").alias("_lead"), F.col("drive_metadata_uuid").alias("_file"))
+    l = leads.select(F.col("uuid").alias("_lead"), F.col("drive_metadata_uuid").alias("_file")).distinct()
     per_file = per_lead.join(l, "_lead").groupBy("_file").agg(F.sum("_c").alias("_c"), F.sum("_p").alias("_p"))
     d = catalog.select(F.col("uuid").alias("_file"), "name", "created_at")
     return per_file.join(d, "_file", "left").select(

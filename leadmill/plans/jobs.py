@@ -20,13 +20,14 @@ from pyspark.sql import functions as F
 
 
 from ..functions import scalar as X
+from ..session import path_exists
 from ..operators import catalog as cat
 from ..operators import city as cy
 from ..operators import franchises as fr
 from ..operators import leads as ld
 from ..operators import outbox as ob
 from ..operators.joins import anti, semi
-from ..schemas import ENRICHED_DATA_COLUMNS, insert_columns
+from ..schemas import CATALOG_NULL_ON_INSERT, ENRICHED_DATA_COLUMNS, insert_columns
 from ..sinks import writers as wr
 from .ingest import ingest
 
@@ -59,10 +60,15 @@ class State:
         return self
 
     def raw(self, table: str) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.path(f"raw_{table}"))
-        except Exception:  # noqa: BLE001 - no file loaded yet
-            return None
+        """The raw table, or None before the first file is loaded. A table that cannot be read is an error."""
+        path = self.path(f"raw_{table}")
+        return self.spark.read.parquet(path) if path_exists(self.spark, path) else None
+
+    def once(self, df: DataFrame, table: str, batch_id: int) -> DataFrame:
+        """Write a batch's intermediate rows once and read them back wherever they are needed."""
+        path = f"{self.path(table)}/batch={batch_id:010d}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
 
 
 def _unprocessed(files: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -84,15 +90,18 @@ def _batch_rows(state: State, table: str, files: DataFrame, catalog: DataFrame,
     return all_rows, semi(all_rows, ids, F.col("file_id") == F.col("_fid"))
 
 
-def lead_batch(state: State, files: DataFrame, batch_id: int, batch_ts: dt.datetime, customers: DataFrame,
-               history: str = "all") -> None:
-    """R-2 body for all files of one micro-batch (``files``: path, file_id).
+def _sent_files(rows: DataFrame, fresh: DataFrame) -> DataFrame:
+    """The rows of files that gave at least one fresh lead. Only these are tracked: a file without any
+    (no config, or nothing new) sent nothing, so its e-mails stay free."""
+    sent = fresh.select(F.col("drive_metadata_uuid").alias("_sent")).distinct()
+    return semi(rows, sent, F.col("drive_metadata_uuid") == F.col("_sent"))
+
+
+def lead_batch(state: State, files: DataFrame, batch_id: int, batch_ts: dt.datetime, customers: DataFrame) -> None:
+    """R-2 body for all files of one run (``files``: path, file_id).
 
-    ``history='all'`` ranks each e-mail of the batch over every raw row loaded so far (exact in
-    every state; a scan of the raw table pruned to the batch's e-mails by a semi join).
-    ``history='batch'`` ranks over the batch's rows only: exact whenever every e-mail of every
-    earlier processed file is tracked, which T-1 guarantees for files processed by this pipeline
-    (their e-mails then block all older copies), and O(batch) instead of O(history).
+    Each e-mail of the run is ranked over every raw row loaded so far (a scan of the raw table pruned to
+    the run's e-mails by a semi join): rows of files that sent nothing stay untracked and still rank.
     """
     catalog = state.read("catalog", batch_id - 1)
     tracking = state.read("tracking", batch_id - 1)
@@ -100,14 +109,15 @@ def lead_batch(state: State, files: DataFrame, batch_id: int, batch_ts: dt.datet
     all_leads, batch_leads = _batch_rows(state, "leads", files, catalog, batch_ts)
     # fresh leads (W-1) of this batch's files; only e-mails of the batch can rank there
     emails = batch_leads.select(F.col("email_address").alias("_e")).distinct()
-    pool = batch_leads if history == "batch" else all_leads
-    candidates = semi(pool.drop("file_id"), emails, F.col("email_address") == F.col("_e"))
+    candidates = semi(all_leads.drop("file_id"), emails, F.col("email_address") == F.col("_e"))
     fresh = ld.fresh_leads(candidates, customers, tracking, catalog)
     fresh = semi(fresh, batch_leads.select(F.col("drive_metadata_uuid").alias("_u")).distinct(),
                  F.col("drive_metadata_uuid") == F.col("_u"))
+    fresh = state.once(fresh, "fresh_leads", batch_id)      # selected on the old tracking rows, before they change
     book = F.concat(F.lit(QUICK_MAIL_BOOK), X.week_label(X.ntz(batch_ts)))
     sheet = ld.output_frame(fresh).withColumn("book", book).withColumn("sheet", F.col("file_name")).drop("file_name")
-    wr.sheet_output(sheet, state.path("sheets"))            # materialises the selection first
+    wr.sheet_output(sheet, state.path("sheets"))
+    batch_leads = _sent_files(batch_leads, fresh)
     t1 = ld.track_posted(batch_leads, tracking, batch_ts)   # T-1
     t2 = ld.track_customers(batch_leads, customers, t1, batch_ts)   # U-4
     state.write(t2, "tracking", batch_id)
@@ -163,12 +173,14 @@ def enriched_batch(state: State, files: DataFrame, batch_id: int, batch_ts: dt.d
     pool = semi(all_rows.drop("file_id"), batch_emails, cy.coalesced_email(all_rows) == F.col("_e"))
     fresh = cy.city_fresh_leads(pool, customers, tracking, catalog)
     fresh = semi(fresh, ids, F.col("file_id") == F.col("_fid"))
+    fresh = state.once(fresh, "fresh_enriched", batch_id)
     frame = ld.output_frame(fresh)
     book = F.concat(F.lit(QUICK_MAIL_BOOK), X.week_label(X.ntz(batch_ts)))
     personal = cy.split_personal(frame).withColumn("sheet", F.col("file_name"))
     generic = cy.split_generic(frame).withColumn("sheet", F.concat(F.lit("Generic of "), F.col("file_name")))
     for part in (personal, generic):
         wr.sheet_output(part.drop("file_name").withColumn("book", book), state.path("sheets"))
+    batch_rows = _sent_files(batch_rows, fresh)
     t1 = cy.city_track_posted(batch_rows, tracking, batch_ts)
     t2 = cy.city_track_customers(batch_rows, customers, t1, batch_ts)
     state.write(t2, "tracking", batch_id)
@@ -190,7 +202,7 @@ def sync(listing: DataFrame, nodes: DataFrame, catalog: DataFrame, config: DataF
     from ..operators import listing as ls
     flat = clean_headers(ls.flatten_records(listing))
     new = cat.new_files(flat, catalog)
-    target = [c for c in insert_columns("drive_metadata") if c not in cat.CATALOG_NULL_ON_INSERT + ["created_at"]]
+    target = [c for c in insert_columns("drive_metadata") if c not in CATALOG_NULL_ON_INSERT + ["created_at"]]
     rows = al.catalog_insert_shape(al.stamp(al.align_fill(new, target), batch_ts))
     rows = rows.withColumn("uuid", X.det_uuid(F.lit("file"), F.col("id")))
     c = catalog.unionByName(rows, allowMissingColumns=True)

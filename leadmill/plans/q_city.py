@@ -63,7 +63,8 @@ def split_personal(spark, sf_dir):
 CITY_SHEET_SQL = f"""
 SELECT city.uuid, f.franchise_name, f.domain_name, city.type, '' AS first_name, '' AS last_name,
   '' AS "Main Point of Contact Email", '' AS "Main Contact Linkedin", '' AS "Generic Contact Email",
-  city.title AS company_name, city.website, city.phone, city.address, city.emails_0, d.name AS file_name, d.id AS file_id
+  city.title AS company_name, city.website, city.phone, city.position, city.rating, city.address, city.reviews,
+  city.emails_0, city.emails_1, city.emails_2, city.emails_3, d.name AS file_name, d.id AS file_id
 FROM city_search city JOIN drive_metadata d ON d.uuid=city.drive_metadata_uuid
 LEFT JOIN city_search_franchises f ON {sql_domain_key('f.domain_name')} = {sql_domain_key('city.website')}
 WHERE city.dataid NOT IN (SELECT c2.dataid FROM city_search c2
@@ -79,7 +80,8 @@ def city_sheet(spark, sf_dir):
 query("city_sheet", CITY_SHEET_SQL, CITY_SHEET_VIEWS)(city_sheet)
 
 _PART_COLS = ("uuid, {fr}type, first_name, last_name, \"Main Point of Contact Email\", \"Main Contact Linkedin\", "
-              "\"Generic Contact Email\", company_name, website, '=\"'||coalesce(phone,'')||'\"' AS phone, address, emails_0, "
+              "\"Generic Contact Email\", company_name, website, '=\"'||coalesce(phone,'')||'\"' AS phone, position, rating, address, reviews, "
+              "emails_0, emails_1, emails_2, emails_3, "
               "file_id, substring(file_name, 1, 30)||'{suffix}' AS sheet")
 
 

@@ -14,7 +14,7 @@ from ..operators import align as al
 from ..operators import catalog as cat
 from ..operators import leads as ld
 from ..operators import listing as ls
-from ..schemas import ENRICHED_DATA_COLUMNS, insert_columns
+from ..schemas import CATALOG_NULL_ON_INSERT, ENRICHED_DATA_COLUMNS, insert_columns
 from ..session import scratch_path
 from ..sinks import writers as wr
 from ..sources import files as fl
@@ -160,7 +160,8 @@ def _profile_sql(view: str, cols: list[str]) -> str:
         f"SELECT '{c}' AS column_name, max(coalesce(length(CAST({c} AS VARCHAR)), 3)) AS max_length FROM {view}" for c in cols)
 
 
-_CITY_COLS = ["uuid", "drive_metadata_uuid", "type", "phone", "title", "dataid", "website", "address", "emails_0"]
+_CITY_COLS = ["uuid", "drive_metadata_uuid", "type", "phone", "title", "dataid", "website", "address", "emails_0", "position", "rating",
+              "reviews", "emails_1", "emails_2", "emails_3"]
 
 
 @query("max_lengths", _profile_sql("city_search", _CITY_COLS), ("city_search",))
@@ -181,10 +182,10 @@ def replace_load(spark, sf_dir):
 
 @query("sheet_output", """
 SELECT 'Quick Mail Output - Week 5' AS book, f.file_name AS sheet, coalesce(f."First Name", '') AS "First Name",
-  coalesce(f."Email", '') AS "Email", coalesce(f."Phone", '') AS "Phone", coalesce(f."ZI Search", '') AS "ZI Search"
+  coalesce(f."Email", '') AS "Email", coalesce(f."Phone", '') AS "Phone", coalesce(f."ZI Search", '') AS "ZI Search", f.file_id
 FROM (SELECT e.first_name AS "First Name", e.email_address AS "Email",
         '="'||coalesce(coalesce(e.mobile_phone, e.direct_phone_number),'')||'"' AS "Phone", d.zi_search AS "ZI Search",
-        d.name AS file_name
+        d.name AS file_name, d.id AS file_id
       FROM (SELECT s.*, row_number() OVER (PARTITION BY s.email_address ORDER BY s.created_at DESC NULLS FIRST, s.uuid) AS rn
             FROM leads s
             WHERE s.email_address IS NOT NULL AND s.company_country='United States'
@@ -194,17 +195,17 @@ FROM (SELECT e.first_name AS "First Name", e.email_address AS "Email",
       JOIN drive_metadata d ON d.uuid=e.drive_metadata_uuid WHERE e.rn=1 AND d.config_file_uuid IS NOT NULL) f""",
        ("leads", "sales_customer_view", "tracking", "drive_metadata"))
 def sheet_output(spark, sf_dir):
-    """K-4: output rows written to one folder per (book, sheet), read back."""
+    """K-4: output rows written to one folder per (book, sheet, file_id), read back."""
     t = Tables(spark, sf_dir)
     frame = ld.output_frame(ld.fresh_leads(t.leads, t.customers, t.tracking, t.drive_metadata))
     book = F.concat(F.lit("Quick Mail Output - "), X.week_label(X.ntz(fx.BATCH_TS)))
     rows = frame.select(book.alias("book"), F.col("file_name").alias("sheet"),
-                        "First Name", "Email", "Phone", "ZI Search")
+                        "First Name", "Email", "Phone", "ZI Search", "file_id")
     out = scratch_path(spark, "sheets")
     wr.sheet_output(rows, out)
     back = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(out)
     # a sheet cell is text: an empty cell reads as '' whether NULL or '' was written
-    return back.select("book", "sheet", *[F.coalesce(F.col(c), F.lit("")).alias(c)
+    return back.select("book", "sheet", "file_id", *[F.coalesce(F.col(c), F.lit("")).alias(c)
                                           for c in ("First Name", "Email", "Phone", "ZI Search")])
 
 
@@ -255,7 +256,7 @@ def catalog_append(spark, sf_dir):
     t = Tables(spark, sf_dir)
     rec = clean_headers(ls.flatten_records(fx.listing_records(spark, sf_dir, id_shift=5)))
     new = cat.new_files(rec, t.drive_metadata)
-    target = [c for c in insert_columns("drive_metadata") if c not in cat.CATALOG_NULL_ON_INSERT + ["created_at"]]
+    target = [c for c in insert_columns("drive_metadata") if c not in CATALOG_NULL_ON_INSERT + ["created_at"]]
     rows = al.catalog_insert_shape(al.stamp(al.align_fill(new, target), fx.BATCH_TS))
     return rows.select("id", "name", "parents", "lastmodifyinguser_me", "lastmodifyinguser_photolink", "createdtime",
                        "config_file_uuid", "file_type", "has_been_processed", "created_at")

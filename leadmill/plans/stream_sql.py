@@ -88,7 +88,7 @@ def stream_city_sql() -> str:
     from ..schemas import CITY_SEARCH_DATA_COLUMNS
     from .q_city import CITY_SHEET_SQL
     present = {"type": "c.type", "phone": "c.phone", "title": "c.title", "dataid": "c.dataid", "website": "c.website",
-               "address": "c.address", "emails_0": "c.emails_0"}
+               **{x: f"c.{x}" for x in ("address", "position", "rating", "reviews", "emails_0", "emails_1", "emails_2", "emails_3")}}
     cols = ",\n    ".join(f"{present.get(x, 'CAST(NULL AS VARCHAR)')} AS {x}" for x in CITY_SEARCH_DATA_COLUMNS)
     uid = sql_det_uuid("drive_metadata_uuid", *CITY_SEARCH_DATA_COLUMNS)
     ins = sql_det_uuid("'franchise'", "row_no", "franchise_name", "domain_name")
@@ -96,7 +96,7 @@ def stream_city_sql() -> str:
     blanks = ('CAST(NULL AS VARCHAR) AS first_name, CAST(NULL AS VARCHAR) AS last_name, '
               'CAST(NULL AS VARCHAR) AS "Main Point of Contact Email", CAST(NULL AS VARCHAR) AS "Main Contact Linkedin", '
               'CAST(NULL AS VARCHAR) AS "Generic Contact Email"')
-    tail = "company_name, website, '=\"'||coalesce(phone,'')||'\"' AS phone, address, emails_0, file_id, 'City Search Output - Week 5' AS book"
+    tail = "company_name, website, '=\"'||coalesce(phone,'')||'\"' AS phone, position, rating, address, reviews, emails_0, emails_1, emails_2, emails_3, file_id, 'City Search Output - Week 5' AS book"
     sql = f"""
 WITH src AS (SELECT row_no, franchise_name, domain_name FROM (
   SELECT row_no, "Franchise Name" AS franchise_name, "Domain Name" AS domain_name,

@@ -51,6 +51,10 @@ TRACKING_COLUMNS = ["uuid", "lead_uuid", "status", "email_address", "created_at"
 
 FRANCHISE_COLUMNS = ["uuid", "franchise_name", "domain_name", "created_at", "updated_at"]
 
+# the catalog columns that are NULL when a file is first listed
+CATALOG_NULL_ON_INSERT = ["config_file_uuid", "hubspot_owner", "zi_search", "has_posted_on_slack",
+                          "file_type", "has_been_processed"]
+
 _TIMESTAMPS = {"created_at", "updated_at"}
 _BOOLEANS = {"has_posted_on_slack", "has_been_processed"}
 

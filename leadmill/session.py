@@ -59,6 +59,12 @@ def work_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, asked of the path's own file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the work folder (never reused between runs)."""
     base = work_dir(spark)

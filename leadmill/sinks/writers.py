@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import ntz
@@ -40,9 +40,10 @@ def land_csv(files: DataFrame, path: str, rows_per_part: int = ROWS_PER_PART) ->
 
 
 def sheet_output(rows: DataFrame, path: str, mode: str = "overwrite", rows_per_part: int = ROWS_PER_PART) -> None:
-    """K-4: one folder per (book, sheet). ``overwrite`` = clear the sheet and write with header
-    (dynamic partition overwrite touches only these sheets); ``append`` = add parts below."""
-    write_partitioned_csv(rows, path, ["book", "sheet"], mode, rows_per_part)
+    """K-4: one folder per (book, sheet, file_id): two files whose names give one sheet name stay apart.
+    ``overwrite`` = clear the sheet and write with header (dynamic partition overwrite touches only these
+    sheets); ``append`` = add parts below."""
+    write_partitioned_csv(rows, path, ["book", "sheet", "file_id"], mode, rows_per_part)
 
 
 def replace_load(df: DataFrame, path: str, batch_ts: dt.datetime) -> DataFrame:
@@ -69,15 +70,3 @@ def append_load(df: DataFrame, path: str, partition_col: str = "file_id") -> Non
     dynamic partition overwrite, so loading a file twice replaces rather than duplicates."""
     (rebalanced(df, [partition_col]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
-
-
-def write_snapshot(df: DataFrame, base: str, batch_id: int) -> str:
-    """Row-changing operators produce a new table version: written to a fresh
-    ``<base>/snapshot=<batch_id>`` folder, never over the folder being read."""
-    path = f"{base}/snapshot={batch_id:010d}"
-    df.write.mode("overwrite").parquet(path)
-    return path
-
-
-def read_snapshot(spark: SparkSession, base: str, batch_id: int) -> DataFrame:
-    return spark.read.parquet(f"{base}/snapshot={batch_id:010d}")

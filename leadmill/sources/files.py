@@ -52,10 +52,11 @@ def _open(path: str):
     return filesystem.open_input_stream(p)
 
 
-def _first_record(path: str, chunk: int = 1 << 16) -> list[str]:
-    """Parse the header record (the first CSV record; quoted line breaks allowed), reading the
-    file head in chunks only until a line break outside quotes is seen."""
-    buf, end = "", -1
+def _first_record(path: str, chunk: int = 1 << 16) -> tuple[list[str], bool]:
+    """Parse the header record (the first CSV record that is not a blank line, as pandas and Spark take
+    it; quoted line breaks allowed), and whether blank lines come before it. Reads the file head in chunks
+    only until the record ends."""
+    buf, end, begin = "", -1, 0
     decoder = codecs.getincrementaldecoder("utf-8")(errors="replace")   # a character may span chunks
     with _open(path) as f:
         while True:
@@ -70,13 +71,16 @@ def _first_record(path: str, chunk: int = 1 << 16) -> list[str]:
                 if ch == '"':
                     quotes += 1
                 elif ch == "\n" and quotes % 2 == 0:
+                    if not buf[begin:i].strip("\ufeff \t\r"):
+                        begin = i + 1
+                        continue
                     end = i
                     break
             if end >= 0:
                 break
-    text = (buf if end < 0 else buf[:end]).lstrip("\ufeff")
+    text = (buf[begin:] if end < 0 else buf[begin:end]).lstrip("\ufeff")
     rows = list(csv.reader(io.StringIO(text), doublequote=True))
-    return rows[0] if rows else []
+    return (rows[0] if rows else []), begin > 0
 
 
 def _sniff(batches):
@@ -85,7 +89,7 @@ def _sniff(batches):
 
 
 def sniff_headers(files: DataFrame) -> DataFrame:
-    """(path, header as JSON text) per file, computed by executors (one open per file)."""
+    """(path, header and blank-lines flag as JSON text) per file, computed by executors (one open per file)."""
     return files.select("path").mapInPandas(_sniff, "path string, header string")
 
 
@@ -120,12 +124,15 @@ def read_header_groups(spark: SparkSession, files: DataFrame, clean: bool = True
         by_header.setdefault(r["header"], []).append(r["path"])
     out = []
     for header, paths in sorted(by_header.items()):
-        raw = pandas_names(json.loads(header))
+        names, blank_lines = json.loads(header)
+        raw = pandas_names(names)
         if not raw:
             continue
         schema = StructType([StructField(n, StringType(), True) for n in raw])
         opts = dict(CSV_OPTIONS, multiLine="true" if quoted_newlines else "false")
         df = spark.read.options(**opts).schema(schema).csv(sorted(paths))
+        if blank_lines:      # Spark drops a blank line as the header, so the header is still among the rows
+            df = df.where(~F.array(*[F.coalesce(F.col(f"`{n}`"), F.lit("")) for n in raw]).eqNullSafe(F.array(*map(F.lit, names))))
         if clean:
             df = df.toDF(*clean_names(raw))
         if na:
@@ -166,13 +173,14 @@ def _partition_value(path, name: str):
 
 def read_sheets(spark: SparkSession, root: str) -> DataFrame:
     """Read back a K-4 output folder: sheets differ in columns, so each header group is read on
-    its own and the groups are unioned by name (columns a sheet lacks are NULL); ``book`` and
-    ``sheet`` come from the folder names."""
+    its own and the groups are unioned by name (columns a sheet lacks are NULL); ``book``,
+    ``sheet`` and ``file_id`` come from the folder names."""
     parts = read_header_groups(spark, list_files(spark, root), clean=False, na=False, tag=False)
     if not parts:
-        return spark.createDataFrame([], "book string, sheet string")
+        return spark.createDataFrame([], "book string, sheet string, file_id string")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
     return (out.withColumn("book", _partition_value(F.col("path"), "book"))
-            .withColumn("sheet", _partition_value(F.col("path"), "sheet")).drop("path"))
+            .withColumn("sheet", _partition_value(F.col("path"), "sheet"))
+            .withColumn("file_id", _partition_value(F.col("path"), "file_id")).drop("path"))

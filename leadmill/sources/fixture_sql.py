@@ -51,7 +51,13 @@ SELECT page_id AS uuid, 'f'||(page_id%10) AS drive_metadata_uuid,
   CASE WHEN page_id%5<>0 THEN '+1-303-'||page_id END AS phone, 'Biz '||page_id AS title,
   CASE WHEN page_id%6=0 THEN 'd'||(page_id%37) ELSE 'u'||page_id END AS dataid,
   CASE WHEN page_id%13<>0 THEN url END AS website, 'addr '||page_id AS address,
-  CASE WHEN page_id%2=0 THEN 'hello'||page_id||'@biz.com' END AS emails_0
+  CASE WHEN page_id%2=0 THEN 'hello'||page_id||'@biz.com' END AS emails_0,
+  CAST(page_id%20+1 AS VARCHAR) AS position,
+  CASE WHEN page_id%3<>0 THEN '4.'||(page_id%10) END AS rating,
+  CASE WHEN page_id%3<>0 THEN CAST(page_id%300 AS VARCHAR) END AS reviews,
+  CASE WHEN page_id%4=0 THEN 'sales'||page_id||'@biz.com' END AS emails_1,
+  CASE WHEN page_id%8=0 THEN 'info'||page_id||'@biz.com' END AS emails_2,
+  CASE WHEN page_id%16=0 THEN 'desk'||page_id||'@biz.com' END AS emails_3
 FROM pages""",
     "city_search_nulls": """
 SELECT page_id AS uuid, 'f'||(page_id%10) AS drive_metadata_uuid,
@@ -116,8 +122,8 @@ def with_views(sql: str, *names: str) -> str:
 
 def sql_det_uuid(*exprs: str) -> str:
     """DuckDB text of ``functions.scalar.det_uuid`` over SQL expressions."""
-    parts = ", ".join(f"coalesce(CAST({e} AS VARCHAR), '')" for e in exprs)
-    h = f"md5(concat_ws('|', {parts}))"
+    parts = ", ".join(f"coalesce(length(CAST({e} AS VARCHAR))||':'||CAST({e} AS VARCHAR), 'n')" for e in exprs)
+    h = f"md5(concat({parts}))"
     return (f"(substr({h},1,8)||'-'||substr({h},9,4)||'-'||substr({h},13,4)||'-'||substr({h},17,4)"
             f"||'-'||substr({h},21,12))")
 

@@ -145,6 +145,12 @@ def city_search(spark: SparkSession, sf_dir: str, with_null_dataids: bool = Fals
         F.when(k % 13 != 0, F.col("url")).alias("website"),
         _s("addr ", k).alias("address"),
         F.when(k % 2 == 0, _s("hello", k, "@biz.com")).alias("emails_0"),
+        _s("", k % 20 + 1).alias("position"),
+        F.when(k % 3 != 0, _s("4.", k % 10)).alias("rating"),
+        F.when(k % 3 != 0, _s("", k % 300)).alias("reviews"),
+        F.when(k % 4 == 0, _s("sales", k, "@biz.com")).alias("emails_1"),
+        F.when(k % 8 == 0, _s("info", k, "@biz.com")).alias("emails_2"),
+        F.when(k % 16 == 0, _s("desk", k, "@biz.com")).alias("emails_3"),
     )
 
 
@@ -344,7 +350,8 @@ def write_vendor_workbooks(spark: SparkSession, sf_dir: str, root: str) -> str:
 # enrichment tools export them; they clean (P-1) to the stored table's names.
 CITY_HEADINGS = [("type", "type"), ("phone", "phone"), ("title", "title"), ("dataId", "dataid"),
                  ("website", "website"), ("address", "address"), ("emails.0", "emails_0"),
-                 ("keyword", "_keyword")]
+                 ("emails.1", "emails_1"), ("emails.2", "emails_2"), ("emails.3", "emails_3"), ("position", "position"),
+                 ("rating", "rating"), ("reviews", "reviews"), ("keyword", "_keyword")]
 ENRICHED_HEADINGS = [("First Name", "first_name"), ("Last Name", "last_name"),
                      ("Main Point of Contact Email", "main_point_of_contact_email"),
                      ("Main Contact Linkedin", "main_contact_linkedin"), ("Generic Contact Email", "generic_contact_email"),

@@ -1,11 +1,10 @@
 """R-2 … R-5: new-file triggers as Structured Streaming file sources.
 
 A stream watches a landing folder with the ``binaryFile`` source, selecting only ``path`` (no
-file content is read by the stream). Each micro-batch hands its paths to a set-based handler
-via ``foreachBatch``; all files of the batch are processed in one job. The checkpoint records
-which files were handed over, so a restart never hands a file twice (R-5); handlers write only
-batch-keyed outputs (overwrite of ``snapshot=<batch>`` folders, dynamic partition overwrite),
-so a retried batch replaces its own output.
+file content is read by the stream). Micro-batches record the paths via ``foreachBatch``; afterwards all
+new files are processed in one set-based job. Recorded runs tell which files were handled, so a
+restart never handles a file twice (R-5); handlers write only outputs keyed by the run (overwrite of
+``snapshot=<run>`` folders, dynamic partition overwrite), so a repeated run replaces its own output.
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType, TimestampType
 
+from ..session import path_exists
 from ..sources.files import FILE_ID_PATTERN
 
 BINARY_SCHEMA = StructType([StructField("path", StringType()), StructField("modificationTime", TimestampType()),
@@ -42,20 +42,35 @@ MAX_FILES_PER_TRIGGER = 10_000
 
 def run_available(spark: SparkSession, folder: str, checkpoint: str,
                   handler: Callable[[DataFrame, int], None], **source_options) -> int:
-    """Process every file present now (``trigger(availableNow=True)``) and stop; an outside
-    scheduler runs this on the reference's timer. A backlog is split into micro-batches of at
-    most ``max_files_per_trigger`` files (default 10,000), processed in arrival order.
-    Returns the number of micro-batches run."""
+    """Process every file present now and stop; an outside scheduler runs this on the reference's timer.
+
+    Two phases, so that the result does not depend on how files fall into micro-batches. First the stream
+    (``trigger(availableNow=True)``, at most ``max_files_per_trigger`` files a batch) only records the paths
+    that arrived. Then one call of ``handler(files, run)`` gets all files that no earlier run has handled,
+    so all part files of a file id come together. A run that fails is repeated under the same number by
+    the next call, on the files recorded so far. Returns the number of runs handled (0 or 1).
+    """
     source_options.setdefault("max_files_per_trigger", MAX_FILES_PER_TRIGGER)
-    batches = []
+    base = checkpoint.rstrip("/") + "_files"
+    arrived, handled = f"{base}/arrived", f"{base}/handled"
 
-    def each(df: DataFrame, batch_id: int) -> None:
-        batches.append(batch_id)
-        handler(df, batch_id)
+    def record(df: DataFrame, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{arrived}/batch={batch_id}")
 
-    q = (file_stream(spark, folder, **source_options).writeStream.foreachBatch(each)
+    q = (file_stream(spark, folder, **source_options).writeStream.foreachBatch(record)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return len(batches)
+    if not path_exists(spark, arrived):
+        return 0
+    files, run = spark.read.parquet(arrived).select("path", "file_id").distinct(), 0
+    if path_exists(spark, handled):
+        done = spark.read.parquet(handled)
+        files = files.join(done.select("path"), "path", "left_anti")
+        run = int(done.agg(F.max("run")).first()[0]) + 1
+    if files.isEmpty():
+        return 0
+    handler(files, run)
+    files.select("path").write.mode("overwrite").parquet(f"{handled}/run={run}")
+    return 1

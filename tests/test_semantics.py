@@ -286,3 +286,52 @@ def test_unseen_elsewhere_restricted_to_files_equals_filtered_full(spark, sf_sma
     full = cy.unseen_elsewhere(city, t.drive_metadata).where(F.col("file_id").isin("id1", "id2", "id6"))
     part = cy.unseen_elsewhere(city, t.drive_metadata, file_ids=ids)
     assert rows(part, "uuid", "file_id") == rows(full, "uuid", "file_id")
+
+
+def test_keys_tell_separators_nulls_and_repeats_apart(spark):
+    from leadmill.functions.scalar import det_uuid
+    from leadmill.operators.align import row_uuid
+    rows = spark.createDataFrame([("f", "a|b", "c"), ("f", "a", "b|c"), ("f", None, "x"), ("f", "", "x"), ("f", "r", "r"), ("f", "r", "r")],
+                                 "file string, p string, q string")
+    assert rows.select(det_uuid("file", "p", "q").alias("u")).distinct().count() == 5
+    assert row_uuid(rows, "file", ["p", "q"]).select("uuid").distinct().count() == 6
+
+
+def test_repeated_rows_are_tracked_once_each(spark):
+    import datetime as dt
+    from leadmill.operators import leads as ld
+    from leadmill.operators.align import row_uuid
+    ts = dt.datetime(2024, 2, 1)
+    raw = spark.createDataFrame([("f1", "a@x.com"), ("f1", "a@x.com")], "drive_metadata_uuid string, email_address string")
+    leads = row_uuid(raw, "drive_metadata_uuid", ["email_address"])
+    tracking = spark.createDataFrame([], "uuid string, lead_uuid string, city_search_lead_uuid string, status string, "
+                                         "email_address string, created_at timestamp_ntz")
+    customers = spark.createDataFrame([("a@x.com",), ("a@x.com",)], "email string")
+    catalog = spark.createDataFrame([("f1", "n", ts)], "uuid string, name string, created_at timestamp_ntz")
+    out = ld.track_customers(leads, customers, ld.track_posted(leads, tracking, ts), ts)
+    assert out.count() == 2 and out.select("uuid").distinct().count() == 2
+    assert ld.status_metrics(out, leads, catalog).first()["number_of_shopify_customers"] == 2
+
+
+def test_blank_first_line_does_not_hide_a_file(spark, tmp_path):
+    from leadmill.sources import files as fl
+    folder = tmp_path / "file_id=id7"
+    folder.mkdir()
+    (folder / "a.csv").write_text('\n  \nFirst Name,"Last\nName"\nx,y\n')
+    rows = [r for g in fl.read_header_groups(spark, fl.list_files(spark, str(tmp_path))) for r in g.drop("path").collect()]
+    assert [tuple(r) for r in rows] == [("x", "y", "id7")]
+
+
+def test_sheets_of_files_with_one_name_stay_apart(spark, tmp_path):
+    from leadmill.sinks import writers as wr
+    from leadmill.sources import files as fl
+    for i in ("id1", "id2"):
+        wr.sheet_output(spark.createDataFrame([("b", "s", i, "x" + i)], "book string, sheet string, file_id string, c string"), str(tmp_path / "s"))
+    assert sorted((r["file_id"], r["c"]) for r in fl.read_sheets(spark, str(tmp_path / "s")).collect()) == [("id1", "xid1"), ("id2", "xid2")]
+
+
+def test_files_without_fresh_leads_are_not_tracked(spark, sf_small):
+    from pyspark.sql import functions as F
+    from leadmill.plans import jobs as pl
+    rows = spark.createDataFrame([("f1", "a"), ("f2", "b")], "drive_metadata_uuid string, email_address string")
+    assert [r["email_address"] for r in pl._sent_files(rows, rows.where(F.col("email_address") == "a")).collect()] == ["a"]
