@@ -6,7 +6,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import (FILE_TYPE_VALUES, det_uuid, file_type_from_folder, in_enum, ntz,
@@ -110,22 +110,24 @@ def apply_file_types(catalog: DataFrame, derived: DataFrame, batch_ts: dt.dateti
     """U-2: set ``file_type`` (and ``updated_at``) where it is NULL, from valid derived types.
     Invalid types are not applied (see ``split_enum`` for the quarantine side)."""
     valid, _ = split_enum(derived, "file_type", FILE_TYPE_VALUES)
-    d = valid.select(F.col("uuid").alias("_u"), F.col("file_type").alias("_t")).dropDuplicates(["_u"])
+    d = valid.groupBy(F.col("uuid").alias("_u")).agg(F.min("file_type").alias("_t"), F.max("file_type").alias("_t2"))
     out = catalog.join(d, catalog["uuid"] == d["_u"], "left")
     hit = F.col("file_type").isNull() & F.col("_t").isNotNull()
+    refused = F.raise_error(F.concat(F.lit("two types for one file: "), F.col("_u")))       # V-2
+    hit = F.when(hit & (F.col("_t") != F.col("_t2")), refused.cast("boolean")).otherwise(hit)
     out = out.withColumn("file_type", F.when(hit, F.col("_t")).otherwise(F.col("file_type")))
     if "updated_at" in catalog.columns:
         out = out.withColumn("updated_at", F.when(hit, ntz(batch_ts)).otherwise(F.col("updated_at")))
-    return out.drop("_u", "_t")
+    return out.drop("_u", "_t", "_t2")
 
 
 def checked_config(config: DataFrame) -> DataFrame:
     """K-7 + V-2 for the config sheet: columns renamed by position (filename, owner, search), one
     row per file name (the smallest owner/search), with ``_n`` = how many rows named the file."""
     c = config.toDF(*CONFIG_COLUMNS) if len(config.columns) == 3 else config.select(*CONFIG_COLUMNS)
-    w = Window.partitionBy("filename")
-    first = F.row_number().over(w.orderBy(F.col("hubspot_owner").asc_nulls_last(), F.col("zi_search").asc_nulls_last()))
-    return c.withColumn("_n", F.count(F.lit(1)).over(w)).withColumn("_rk", first).where(F.col("_rk") == 1).drop("_rk")
+    least = F.min(F.struct(F.col("hubspot_owner").isNull(), "hubspot_owner", F.col("zi_search").isNull(), "zi_search"))
+    return c.groupBy("filename").agg(least.alias("_m"), F.count(F.lit(1)).alias("_n")).select(
+        "filename", "_m.hubspot_owner", "_m.zi_search", "_n")
 
 
 def apply_config(catalog: DataFrame, config: DataFrame, batch_ts: dt.datetime, on_duplicate: str = "error") -> DataFrame:

@@ -4,21 +4,21 @@ created_time, modified_time, file_extension)``: the recursive recent-file walk (
 the one-level flatten of API records (P-14) and the union of differing listings (O-1).
 
 Tree walks are level-by-level joins (breadth first, like the reference's queue); each level is
-one distributed join, the loop ends on an empty frontier, and a depth limit guards cycles.
+one distributed join and is checkpointed; the loop ends when a level reaches nothing new, so trees may
+be of any depth and cycles end by themselves.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import day_floor_minus, seconds_before
+from ..session import work_dir
 
 PROCESSED = "Processed"
-MAX_DEPTH = 100
 
 
 def _visible(nodes: DataFrame) -> Column:
@@ -31,22 +31,19 @@ def children(nodes: DataFrame) -> DataFrame:
     return nodes.where(F.col("parent").isNotNull() & _visible(nodes))
 
 
-def _walk(frontier: DataFrame, step, max_depth: int) -> list[DataFrame]:
-    """Breadth-first expansion: ``step(frontier)`` gives the next level. Each level is persisted
-    while the next is computed (recomputed from lineage if an executor is lost)."""
-    levels, held = [frontier], []
-    for _ in range(max_depth):
-        nxt = step(frontier).persist(StorageLevel.MEMORY_AND_DISK)
-        held.append(nxt)
-        if nxt.isEmpty():
+def _walk(frontier: DataFrame, step, key: list[str]) -> list[DataFrame]:
+    """Breadth-first expansion: ``step(frontier)`` gives the next level; pairs ``key`` already reached are left out."""
+    work_dir(frontier.sparkSession)
+    levels, seen = [frontier], frontier.select(*key)
+    while True:
+        frontier = step(frontier).join(seen, key, "left_anti").checkpoint()
+        if frontier.isEmpty():
             return levels
-        levels.append(nxt)
-        frontier = nxt
-    raise RecursionError(f"tree deeper than {max_depth} levels (cycle?)")
+        levels.append(frontier)
+        seen = seen.union(frontier.select(*key))
 
 
-def recent_files_recursive(nodes: DataFrame, roots: DataFrame, now: dt.datetime, delta_days: int = 7,
-                           max_depth: int = MAX_DEPTH) -> DataFrame:
+def recent_files_recursive(nodes: DataFrame, roots: DataFrame, now: dt.datetime, delta_days: int = 7) -> DataFrame:
     """S-1: files below each root (column ``root``) modified or created on/after today − n days.
 
     The reference compares ISO texts: the API's '…T00:00:00.000Z' sorts above the bound
@@ -60,7 +57,7 @@ def recent_files_recursive(nodes: DataFrame, roots: DataFrame, now: dt.datetime,
     def step(front: DataFrame) -> DataFrame:
         return front.join(folders, front["folder"] == folders["_p"]).select("root", F.col("_cid").alias("folder"))
 
-    walked = _union(_walk(start, step, max_depth))
+    walked = _union(_walk(start, step, ["root", "folder"]))
     files = vis.where((F.col("kind") == "file") & ((F.col("modified_time") >= d) | (F.col("created_time") >= d)))
     return walked.join(files, walked["folder"] == files["parent"]).select(
         "root", "id", "name", "parent", "created_time", "modified_time", "file_extension")
@@ -105,7 +102,7 @@ def folder_parents(nodes: DataFrame) -> DataFrame:
     return live.join(par, live["parent"] == par["_pid"]).select("id", "name", "parent", "parent_name").distinct()
 
 
-def ancestors(nodes: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def ancestors(nodes: DataFrame) -> DataFrame:
     """J-10 for every node: (id, lvl, name) of each ancestor, nearest first (lvl 1 = parent)."""
     edges = nodes.where(F.col("parent").isNotNull()).select(F.col("id").alias("_eid"), F.col("parent").alias("_ep"))
     start = nodes.where(F.col("parent").isNotNull()).select("id", F.col("parent").alias("anc"), F.lit(1).alias("lvl"))
@@ -114,7 +111,7 @@ def ancestors(nodes: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
         return front.join(edges, front["anc"] == edges["_eid"]).select("id", F.col("_ep").alias("anc"),
                                                                         (F.col("lvl") + 1).alias("lvl"))
 
-    up = _union(_walk(start, step, max_depth))
+    up = _union(_walk(start, step, ["id", "anc"]))
     names = nodes.select(F.col("id").alias("_nid"), "name")
     return up.join(names, up["anc"] == names["_nid"]).select("id", "lvl", "name")
 

@@ -154,13 +154,14 @@ def read_config(spark: SparkSession, path: str) -> DataFrame:
 def read_franchises(spark: SparkSession, files: DataFrame, title: str = "FRANCHISE Master List") -> DataFrame:
     """S-11: the franchise list, read only from the file (a folder of CSV parts) whose trimmed
     name equals the expected title; every other file yields nothing. All columns as text."""
-    named = files.withColumn("_folder", F.element_at(F.split(F.col("path"), "/"), -2))
-    hit = [r["path"] for r in named.where(F.trim(F.col("_folder")) == title).select("path").collect()]
-    if not hit:
+    named = files.where(F.trim(F.element_at(F.split(F.col("path"), "/"), -2)) == title)
+    groups = read_header_groups(spark, named, clean=False, na=False, tag=False)       # each file by its own header
+    if not groups:
         return spark.createDataFrame([], "franchise_name string, domain_name string")
-    header = pandas_names(_first_record(hit[0]))
-    schema = StructType([StructField(n, StringType(), True) for n in header])
-    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(sorted(hit))
+    out = groups[0].drop("path")
+    for g in groups[1:]:
+        out = out.unionByName(g.drop("path"), allowMissingColumns=True)
+    return out
 
 
 def _partition_value(path, name: str):
