@@ -2,7 +2,7 @@
 
 Each query derives its landing files from the driver tables, starts from the fixture state,
 processes every available file (``availableNow``) and returns what the pipeline wrote.
-No oracle: these are checked for rows only, and by the batch = stream unit tests.
+Each has a DuckDB oracle over the driver's tables.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from ..sources.tables import Tables
 from ..streaming.file_stream import run_available
 from . import jobs as pl
 from .registry import query
-from .stream_sql import stream_city_sql, stream_enriched_sql, sync_sql
+from .stream_sql import stream_city_sql, stream_enriched_sql, sync_sql, tracking_after
 
 CSV_READ = {"header": "true", "multiLine": "true", "escape": '"'}
 
@@ -41,11 +41,11 @@ def _sheets(spark, state: pl.State):
     return fl.read_sheets(spark, state.path("sheets"))
 
 
-def _stream_leads_sql() -> str:
+def _stream_leads_sql(tracking: bool = False) -> str:
     """Oracle of ``stream_leads``: the raw rows the landing zone's zi_search files load to (same
     values as ``ingest_csv``, content uuids), ranked per e-mail on the fixture's tracking."""
     from ..schemas import LEADS_DATA_COLUMNS
-    from ..sources.fixture_sql import sql_det_uuid, with_views
+    from ..sources.fixture_sql import sql_det_uuid, sql_keyed_rows, with_views
     lay = "((o_orderkey//150)%3)"
     values = {
         "zoominfo_contact_id": "CAST(o_orderkey AS VARCHAR)",
@@ -72,7 +72,7 @@ WITH raw0 AS (
   FROM orders JOIN drive_metadata d ON d.id='id'||(o_orderkey//150)
   JOIN nodes f ON f.id=d.id AND f.kind='file' JOIN nodes p ON p.id=f.parent
   WHERE trim(lower(replace(p.name, ' ', '_')))='zi_search'),
-raw AS (SELECT *, {uid} AS uuid FROM raw0),
+raw AS ({sql_keyed_rows("raw0", uid)}),
 e AS (SELECT r.*, row_number() OVER (PARTITION BY r.email_address ORDER BY r.uuid) AS rn
       FROM raw r
       WHERE r.email_address IS NOT NULL AND r.company_country='United States'
@@ -86,19 +86,31 @@ SELECT e.first_name AS "First Name", e.last_name AS "Last Name", e.job_title AS
   'Quick Mail Output - Week 5' AS book, d.name AS sheet
 FROM e JOIN drive_metadata d ON d.uuid=e.drive_metadata_uuid
 WHERE e.rn=1 AND d.config_file_uuid IS NOT NULL"""
+    if tracking:
+        sql = tracking_after(sql[:sql.index("SELECT e.first_name")], "r.email_address", "lead_uuid", ("'posted'", "r.uuid"))
     return with_views(sql, "drive_metadata", "nodes", "sales_customer_view", "tracking")
 
 
-@query("stream_leads", _stream_leads_sql())
-def stream_leads(spark, sf_dir):
-    """R-2 + R-5 + R-6: lead files arriving in the zi_search landing folder."""
+def _run_leads(spark, sf_dir) -> pl.State:
     t = Tables(spark, sf_dir)
     landing = _landed(spark, sf_dir)
     state = pl.State(spark, scratch_path(spark, "state")).init(catalog=_fresh_catalog(t.drive_metadata), tracking=_text_keys(t.tracking))
     customers = t.customers
     run_available(spark, f"{landing}/file_type=zi_search", state.path("_checkpoint"),
                   lambda df, bid: pl.lead_batch(state, df, bid, fx.BATCH_TS, customers))
-    return _sheets(spark, state)
+    return state
+
+
+@query("stream_leads", _stream_leads_sql())
+def stream_leads(spark, sf_dir):
+    """R-2 + R-5 + R-6: lead files arriving in the zi_search landing folder."""
+    return _sheets(spark, _run_leads(spark, sf_dir))
+
+
+@query("stream_leads_tracking", _stream_leads_sql(tracking=True))
+def stream_leads_tracking(spark, sf_dir):
+    """T-1 and U-4 of the lead stream: the tracking rows it leaves, only for files that sent something."""
+    return _run_leads(spark, sf_dir).read("tracking", 0).select("uuid", "lead_uuid", "status", "email_address")
 
 
 @query("stream_city", stream_city_sql())
@@ -115,9 +127,7 @@ def stream_city(spark, sf_dir):
     return _sheets(spark, state)
 
 
-@query("stream_enriched", stream_enriched_sql())
-def stream_enriched(spark, sf_dir):
-    """R-4: enriched contact files; personal and generic sheets, tracking and metrics."""
+def _run_enriched(spark, sf_dir) -> pl.State:
     t = Tables(spark, sf_dir)
     from .q_ingest import derived_once
     root = derived_once(spark, sf_dir, "enriched_files",
@@ -126,7 +136,19 @@ def stream_enriched(spark, sf_dir):
     customers = t.customers
     run_available(spark, root, state.path("_checkpoint"),
                   lambda df, bid: pl.enriched_batch(state, df, bid, fx.BATCH_TS, customers))
-    return _sheets(spark, state)
+    return state
+
+
+@query("stream_enriched", stream_enriched_sql())
+def stream_enriched(spark, sf_dir):
+    """R-4: enriched contact files; personal and generic sheets."""
+    return _sheets(spark, _run_enriched(spark, sf_dir))
+
+
+@query("stream_enriched_tracking", stream_enriched_sql(tracking=True))
+def stream_enriched_tracking(spark, sf_dir):
+    """T-2 and U-5 of the enriched stream: the tracking rows it leaves."""
+    return _run_enriched(spark, sf_dir).read("tracking", 0).select("uuid", "city_search_lead_uuid", "status", "email_address")
 
 
 @query("timer_sync", sync_sql())

@@ -4,7 +4,7 @@ derived independently from the driver tables."""
 from __future__ import annotations
 
 from ..schemas import ENRICHED_DATA_COLUMNS
-from ..sources.fixture_sql import sql_det_uuid, with_views
+from ..sources.fixture_sql import sql_det_uuid, sql_keyed_rows, with_views
 
 _EXT = "CASE WHEN s_suppkey%3=0 THEN '.xlsx' ELSE '.csv' END"
 
@@ -37,7 +37,23 @@ FROM c2"""
     return with_views(sql, "drive_metadata", "nodes", "config_sheet")
 
 
-def stream_enriched_sql() -> str:
+def tracking_after(ctes: str, email: str, key: str, new_key: tuple[str, ...]) -> str:
+    """Tracking rows after a run, from the CTEs ``raw`` (all rows) and ``e`` (ranked): old rows, a 'posted' row
+    for each untracked row of a file that sent something, and customers marked among them."""
+    return f"""{ctes.rstrip().rstrip(",")},
+sent AS (SELECT DISTINCT e.drive_metadata_uuid AS f FROM e JOIN drive_metadata d ON d.uuid=e.drive_metadata_uuid
+         WHERE e.rn=1 AND d.config_file_uuid IS NOT NULL),
+r AS (SELECT raw.* FROM raw JOIN sent ON sent.f=raw.drive_metadata_uuid),
+t AS (SELECT uuid, CAST({key} AS VARCHAR) AS {key}, status, email_address FROM tracking
+      UNION ALL
+      SELECT {sql_det_uuid(*new_key)}, r.uuid, 'posted', {email} FROM r
+      WHERE {email} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM tracking o WHERE CAST(o.{key} AS VARCHAR)=r.uuid)),
+hit AS (SELECT r.uuid FROM r WHERE EXISTS (SELECT 1 FROM sales_customer_view c WHERE c.email={email}))
+SELECT uuid, {key}, CASE WHEN status='posted' AND {key} IN (SELECT uuid FROM hit) THEN 'shopify_customer' ELSE status END AS status,
+  email_address FROM t"""
+
+
+def stream_enriched_sql(tracking: bool = False) -> str:
     """R-4: enriched files (every catalogued file), raw rows with content uuids; latest contact
     per coalesced e-mail on the fixture tracking; personal and generic sheets."""
     values = {
@@ -58,7 +74,7 @@ WITH raw0 AS (
   SELECT d.uuid AS drive_metadata_uuid,
     {cols}
   FROM orders JOIN drive_metadata d ON d.id='id'||(o_orderkey//150)),
-raw AS (SELECT *, {uid} AS uuid FROM raw0),
+raw AS ({sql_keyed_rows("raw0", uid)}),
 e AS (SELECT r.*, {email} AS email_address,
         row_number() OVER (PARTITION BY {email} ORDER BY r.uuid) AS rn
       FROM raw r
@@ -79,6 +95,9 @@ UNION ALL
 SELECT "First Name", "Last Name", NULL, NULL, "Email", "Linkedin", "Company", "Phone", "Hubspot Owner", "ZI Search",
   file_id, 'Quick Mail Output - Week 5', 'Generic of '||file_name
 FROM f WHERE "First Name" IS NULL AND "Last Name" IS NULL"""
+    if tracking:
+        sql = tracking_after(sql[:sql.index("f AS (SELECT e.first_name")], email, "city_search_lead_uuid",
+                             ("'posted'", "'city'", "r.uuid", "NULL"))
     return with_views(sql, "drive_metadata", "sales_customer_view", "tracking")
 
 
@@ -109,7 +128,7 @@ fr AS (SELECT uuid, franchise_name, domain_name FROM city_search_franchises
 raw0 AS (SELECT d.uuid AS drive_metadata_uuid,
     {cols}
   FROM city_search c JOIN drive_metadata d ON d.id='id'||(c.uuid%10)),
-raw AS (SELECT *, {uid} AS uuid FROM raw0),
+raw AS ({sql_keyed_rows("raw0", uid)}),
 s AS ({sheet})
 SELECT uuid, franchise_name, domain_name, type, {blanks}, {tail}, substring(file_name,1,30)||'_franchise' AS sheet
 FROM s WHERE franchise_name IS NOT NULL

@@ -128,6 +128,12 @@ def sql_det_uuid(*exprs: str) -> str:
             f"||'-'||substr({h},21,12))")
 
 
+def sql_keyed_rows(rows: str, uid: str) -> str:
+    """DuckDB text of ``operators.align.row_uuid``: ``rows`` with ``uuid``, equal rows numbered from the second on."""
+    return (f"SELECT * EXCLUDE (u0, nth), CASE WHEN nth=1 THEN u0 ELSE {sql_det_uuid(chr(39) + 'repeat' + chr(39), 'u0', 'nth')} END AS uuid "
+            f"FROM (SELECT *, row_number() OVER (PARTITION BY u0) AS nth FROM (SELECT *, {uid} AS u0 FROM {rows}) x) y")
+
+
 def sql_domain_key(col: str) -> str:
     """DuckDB text of ``functions.scalar.domain_key``."""
     return (f"replace(coalesce(CASE WHEN regexp_matches({col}, 'https?://([^/]*)') "
