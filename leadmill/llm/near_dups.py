@@ -9,11 +9,13 @@
    b ~ U(0, 1); t = floor(ln w / r + b); a = ln c - r (t - b + 1); the least a wins. Two documents draw the
    same (shingle, t) with a probability equal to their weighted Jaccard similarity. The draws come from
    one fixed table of triples, at the place a hash of (shingle, k) says.
-4. Bands of ``ROWS`` samples are hashed; documents with an equal band form a bucket. A bucket elects a
-   random centre, and every member is paired with it: as many pairs as members, never all pairs. Members
-   that are not similar to the centre elect a new one among themselves, until none are left over.
-   From the third round on such leftovers must also agree in a further band, so that crowds of
-   unlike documents fall apart; a similar pair has its other shared bands besides.
+4. Bands of ``ROWS`` samples are hashed; documents with an equal band form a bucket. A bucket elects
+   the member that shares most buckets as its centre (the original of a group of copies shares more than
+   a copy does), and every member is paired with it: as many pairs as members, never all pairs. Members
+   without any link meet a new centre of their buckets in further rounds, until they have a link or no
+   one is left to meet. From the third round on, members of a bucket must also agree in more and more
+   further bands, so that crowds of unlike documents fall apart; a similar pair has its other shared
+   bands besides.
 5. Pairs are verified by exact weighted Jaccard similarity >= ``SIMILAR``; links form classes.
 """
 
@@ -201,8 +203,10 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     places = texts.select("fp", "bands", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("pos")).where(F.size("bands") > 0)
     # only members of buckets with two or more are kept, without the long rows
     left = places.select("fp", "pos", key(0).alias("key"))
-    shared = left.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    left = settle(left.join(shared, "key").select("fp", "pos", "key"))
+    shared = left.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    left = settle(left.join(shared, "key").select("fp", "pos", "key", "n"))
+    degree = left.groupBy("fp").agg((-F.sum("n")).alias("rank"))        # the most shared come first
+    left = settle(left.join(degree, "fp").select("fp", "pos", "key", "rank"))
     wanted = build_filter(left.select(F.xxhash64("fp").alias("k")).distinct(), "k")
     vectors = rows.select("fp", "text", F.xxhash64("fp").alias("key")).mapInArrow(
         _vector_batches(idf, wanted), "fp binary, ids binary, lvs binary").groupBy("fp").agg(
@@ -210,24 +214,26 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     vectors = settle(vectors)
     a_side = vectors.select(F.col("fp").alias("a"), F.col("ids").alias("a_ids"), F.col("lvs").alias("a_lvs"))
     b_side = vectors.select(F.col("fp").alias("b"), F.col("ids").alias("b_ids"), F.col("lvs").alias("b_lvs"))
-    links, turn = None, 0
+    none = texts.select(F.col("fp").alias("a"), F.col("fp").alias("b"), F.lit(1.0).alias("sim")).where("false")
+    links, linked, turn, further = none, texts.select("fp").where("false"), 0, 0
     while not left.isEmpty():
-        order = F.struct(F.xxhash64("key", "fp", F.lit(turn)), F.col("fp"))
-        centre = left.groupBy("key").agg(F.min(order).alias("c"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        pairs = settle(left.join(centre.select("key", F.col("c.fp").alias("b")), "key").where("fp <> b")
-                       .select("key", "pos", F.col("fp").alias("a"), "b"))
-        sims = settle(pairs.select("a", "b").distinct().join(a_side, "a").join(b_side, "b").mapInArrow(
+        order = F.struct(F.col("rank"), F.xxhash64("key", "fp"), F.col("fp"))
+        centres = left.groupBy("key").agg(F.min(order).alias("c")).select("key", F.col("c.fp").alias("c"))
+        pairs = left.join(linked, "fp", "left_anti").join(centres, "key").where("fp <> c").select(
+            F.greatest("fp", "c").alias("a"), F.least("fp", "c").alias("b")).distinct()
+        sims = settle(pairs.join(a_side, "a").join(b_side, "b").mapInArrow(
             _verify, "a binary, b binary, sim double").where(F.col("sim") >= SIMILAR))
-        links = sims if links is None else links.union(sims)
-        left = pairs.join(sims.select("a", "b"), ["a", "b"], "left_anti").select(F.col("a").alias("fp"), "pos", "key")
+        links = links.union(sims)
+        linked = settle(links.select(F.explode(F.array("a", "b")).alias("fp")).distinct())
+        left = left.join(centres, "key").where("fp <> c").select("fp", "pos", "key", "rank")
         turn += 1
         if turn >= 2:
-            further = texts.select("fp", "bands")
-            left = left.join(further, "fp").select("fp", "pos", F.xxhash64("key", key(turn - 1)).alias("key"))
-        crowd = left.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-        left = settle(left.join(crowd, "key").select("fp", "pos", "key"))
-    if links is None:
-        links = texts.select(F.col("fp").alias("a"), F.col("fp").alias("b"), F.lit(1.0).alias("sim")).where("false")
+            more = [key(i) for i in range(further + 1, further + turn)]     # 1, 2, 3 … bands more in each round
+            further += len(more)
+            left = left.join(texts.select("fp", "bands"), "fp").select("fp", "pos", F.xxhash64("key", *more).alias("key"), "rank")
+        alone = left.join(linked.withColumn("done", F.lit(1)), "fp", "left")
+        undone = alone.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count("done").alias("m")).where("n > 1 and m < n")
+        left = settle(left.join(undone.select("key"), "key").select("fp", "pos", "key", "rank"))
     return texts.select("fp", "rep"), links
 
 
