@@ -38,13 +38,11 @@ from .tokens import Words, mix, odd
 SEED = 13
 GRAM = 6
 TEXTS_AT_ONCE = 2_048
-_KIND = np.uint64(3)        # the lowest bits of an anchor tell the kind of its row
-ALONE, TOKEN, SHARED = 0, 1, 2
 
 
 def anchors(w: Words, h: np.ndarray, places: np.ndarray) -> np.ndarray:
     """The anchor of the seed at each place."""
-    g = w.grams(h, GRAM) & ~_KIND
+    g = w.grams(h, GRAM)
     span = SEED - GRAM + 1                              # 8 sequences: minima over 1, 2, 4, 8
     d = 1
     while d < span:
@@ -67,23 +65,39 @@ def _slices(batches):
             yield whole.slice(at, TEXTS_AT_ONCE)
 
 
+def _per_text(values: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(texts that occur, list offsets, values in their order)."""
+    order = np.argsort(texts, kind="stable")
+    used, sizes = np.unique(texts, return_counts=True)
+    return used, np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), values[order]
+
+
+def _lists(offsets: np.ndarray, values: np.ndarray, before: int) -> pa.Array:
+    """``before`` nulls, then a list for each range of the offsets."""
+    starts = np.concatenate([np.zeros(before, np.int32), offsets])
+    missing = np.arange(len(starts)) < before
+    return pa.ListArray.from_arrays(pa.array(starts, pa.int32(), mask=missing if before else None), pa.array(values, pa.int64()))
+
+
 def _anchor_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (anchor with kind, doc). ALONE: one text of the batch has it; TOKEN: stands for several texts, doc null;
-    SHARED: one of these texts."""
+    """Rows (anchor, doc_id, decided). An anchor that one text of the batch has gives (anchor, doc, null); one that
+    several have gives (anchor, null, null) once, and each of these texts a row (spread, doc, its such anchors)."""
     for batch in _slices(batches):
         w = Words(batch.column("text"))
         places = w.whole(SEED)
         keys, texts = _distinct_pairs(anchors(w, w.hashes(), places), w.text_of[places])
-        docs = batch.column("doc_id").to_numpy(zero_copy_only=False)[texts] if len(texts) else np.zeros(0, np.int64)
+        docs = batch.column("doc_id").to_numpy()
         same = np.zeros(len(keys), bool)
         same[1:] = keys[1:] == keys[:-1]
         several = same.copy()
         several[:-1] |= same[1:]
-        kind = np.where(several, np.uint64(SHARED), np.uint64(ALONE))
         token = several & ~same                        # the first of several
-        out = np.concatenate([keys | kind, keys[token] | np.uint64(TOKEN)])
-        ids = pa.concat_arrays([pa.array(docs, pa.int64()), pa.nulls(int(token.sum()), pa.int64())])
-        yield pa.RecordBatch.from_arrays([pa.array(out.view(np.int64)), ids], ["anchor", "doc_id"])
+        used, offsets, values = _per_text(keys[several].view(np.int64), texts[several])
+        spread = mix(docs[used].astype(np.uint64) * odd(1, 11)[0])
+        n_alone, n_token = int((~several).sum()), int(token.sum())
+        key = np.concatenate([keys[~several], keys[token], spread]).view(np.int64)
+        ids = pa.concat_arrays([pa.array(docs[texts[~several]], pa.int64()), pa.nulls(n_token, pa.int64()), pa.array(docs[used], pa.int64())])
+        yield pa.RecordBatch.from_arrays([pa.array(key), ids, _lists(offsets, values, n_alone + n_token)], ["anchor", "doc_id", "decided"])
 
 
 def _in_lists(values: np.ndarray, text_of: np.ndarray, column: pa.Array, n: int) -> np.ndarray:
@@ -106,26 +120,34 @@ def _in_lists(values: np.ndarray, text_of: np.ndarray, column: pa.Array, n: int)
 
 
 def _seed_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (h1, h2, doc, ref) of the seeds whose anchor is shared. ref is null for the batch's smallest document with
-    the seed; it goes to the index. The others are decided: ref is a smaller document."""
+    """Rows (h1, h2, doc_id, hits, refs) of the seeds whose anchor is shared. The batch's smallest document with a seed
+    gives (h1, h2, doc, null, null) for the index. Each document whose seeds are in a smaller document of the
+    batch has a row with lists of these seeds and documents."""
     for batch in _slices(batches):
         w = Words(batch.column("text"))
         h, h2 = w.hashes(), w.hashes(1)
         places = w.whole(SEED)
         hit = _in_lists(anchors(w, h, places), w.text_of[places], batch.column("shared"), batch.num_rows) >= 0
         places = places[hit]
-        s1, s2 = w.grams(h, SEED, 7)[places], w.grams(h2, SEED, 9)[places]
-        docs = batch.column("doc_id").to_numpy()[w.text_of[places]] if len(places) else np.zeros(0, np.int64)
-        order = np.lexsort((docs, s2, s1))
-        s1, s2, docs = s1[order], s2[order], docs[order]
+        s1, s2, texts = w.grams(h, SEED, 7)[places], w.grams(h2, SEED, 9)[places], w.text_of[places]
+        ids = batch.column("doc_id").to_numpy()
+        docs = ids[texts]
+        order = np.lexsort((texts, docs, s2, s1))
+        s1, s2, docs, texts = s1[order], s2[order], docs[order], texts[order]
         new_seed = np.ones(len(s1), bool)
         new_seed[1:] = (s1[1:] != s1[:-1]) | (s2[1:] != s2[:-1])
         new_pair = new_seed.copy()
-        new_pair[1:] |= docs[1:] != docs[:-1]
+        new_pair[1:] |= texts[1:] != texts[:-1]
         least = docs[np.flatnonzero(new_seed)][np.cumsum(new_seed) - 1] if len(docs) else docs
-        ref = pa.array(least[new_pair], pa.int64(), mask=(docs == least)[new_pair])
-        yield pa.RecordBatch.from_arrays([pa.array(s1[new_pair].view(np.int64)), pa.array(s2[new_pair].view(np.int64)),
-                                          pa.array(docs[new_pair], pa.int64()), ref], ["h1", "h2", "doc_id", "ref"])
+        late = new_pair & (docs != least)
+        used, offsets, hits = _per_text(s1[late].view(np.int64), texts[late])
+        _, _, refs = _per_text(least[late], texts[late])
+        spread = mix(ids[used].astype(np.uint64) * odd(1, 13)[0])
+        n = int(new_seed.sum())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([s1[new_seed], spread]).view(np.int64)), pa.array(np.concatenate([s2[new_seed], spread]).view(np.int64)),
+             pa.array(np.concatenate([docs[new_seed], ids[used]]), pa.int64()), _lists(offsets, hits, n), _lists(offsets, refs, n)],
+            ["h1", "h2", "doc_id", "hits", "refs"])
 
 
 def greedy_factors(found: np.ndarray, ref: np.ndarray) -> list[tuple[int, int, int]]:
@@ -189,36 +211,33 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     no words and are kept as the empty string. Texts under 13 words lose nothing. Very long texts are
     parsed whole. An empty table gives an empty result. Other columns are not read.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    # without a needless alias, under which Spark would not see that both joins can read one exchange of the texts
+    ident = F.col("doc_id") if docs.schema["doc_id"].dataType.typeName() == "long" else F.col("doc_id").cast("long").alias("doc_id")
+    rows = docs.select(ident, F.coalesce(F.col("text"), F.lit("")).alias("text"))
     known = rows.where("doc_id is not null")
     # equal texts: all but the smallest id are copies
     ids = settle(known.where("text <> ''").select("doc_id", fingerprint(F.col("text")).alias("fp")))
     several = ids.groupBy("fp").agg(F.min("doc_id").alias("copy_of"), F.max("doc_id").alias("last")).where("copy_of < last")
     copies = ids.join(several.select("fp", "copy_of"), "fp").where("doc_id > copy_of").select("doc_id", "copy_of")
 
-    found = known.mapInArrow(_anchor_batches, "anchor long, doc_id long")
-    kind = F.col("anchor").bitwiseAND(F.lit(3))
-    key = F.shiftright("anchor", 2)
-    deal = F.when(kind == SHARED, F.xxhash64("anchor", "doc_id")).otherwise(key)        # decided rows are spread
-    found = found.withColumn("deal", deal)
-    counted = found.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("deal")))
-    shared = counted.where((F.col("doc_id").isNotNull()) & ((kind == SHARED) | (F.col("n") > 1))).groupBy("doc_id").agg(
-        F.collect_list(F.shiftleft(key, 2)).alias("shared"))
+    found = known.mapInArrow(_anchor_batches, "anchor long, doc_id long, decided array<long>")
+    found = found.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("anchor")))
+    shared = found.where("doc_id is not null and (decided is not null or n > 1)").groupBy("doc_id").agg(
+        F.flatten(F.collect_list(F.coalesce("decided", F.array("anchor")))).alias("shared"))
     # a repeated id with two texts: copies are settled by id and text, so only ids with one text count as copies
     one_text = ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n = 1").select("doc_id")
     copies = settle(copies.join(one_text, "doc_id"))
     shared = shared.join(copies, "doc_id", "left_anti")
     seeds = known.join(shared, "doc_id").select("doc_id", "text", "shared").mapInArrow(
-        _seed_batches, "h1 long, h2 long, doc_id long, ref long")
-    # rows that are decided are spread by document; the others meet at their seed
-    seeds = seeds.withColumn("deal", F.when(F.col("ref").isNull(), F.xxhash64("h1", "h2")).otherwise(F.xxhash64("h1", "doc_id")))
-    at_seed = Window.partitionBy("deal", "h1", "h2", F.col("ref").isNull())
-    seeds = seeds.withColumn("least", F.min("doc_id").over(at_seed))
-    seeds = seeds.withColumn("ref", F.coalesce("ref", F.when(F.col("least") < F.col("doc_id"), F.col("least")))).where("ref is not null")
-    hits = seeds.groupBy("doc_id").agg(F.collect_list(F.struct("h1", "ref")).alias("s")).select(
-        "doc_id", F.col("s.h1").alias("hits"), F.col("s.ref").alias("refs"))
+        _seed_batches, "h1 long, h2 long, doc_id long, hits array<long>, refs array<long>")
+    seeds = seeds.withColumn("least", F.min("doc_id").over(Window.partitionBy("h1", "h2"))).where("hits is not null or least < doc_id")
+    hits = seeds.groupBy("doc_id").agg(
+        F.flatten(F.collect_list(F.coalesce("hits", F.array("h1")))).alias("hits"),
+        F.flatten(F.collect_list(F.coalesce("refs", F.array("least")))).alias("refs"))
     decided = hits.join(copies, "doc_id", "full")
     empty = F.expr("cast(array() as array<bigint>)")
-    return rows.join(decided, "doc_id", "left").select(
+    # the join reads the same exchange of texts as the one for the seeds
+    parsed = known.join(decided, "doc_id", "left").unionByName(rows.where("doc_id is null"), allowMissingColumns=True)
+    return parsed.select(
         "doc_id", "text", F.coalesce("hits", empty).alias("hits"), F.coalesce("refs", empty).alias("refs"), "copy_of").mapInArrow(
         _parse_batches, "doc_id long, n_words long, n_removed long, kept string, factors array<struct<start:int,end:int,ref:long>>")
