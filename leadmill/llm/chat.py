@@ -92,29 +92,29 @@ def best_paths(messages: DataFrame, top: int = 1) -> DataFrame:
     Messages whose parent does not exist count as roots. Messages on a cycle have no root and no path.
     """
     key = ["conv", "id"]
-    nodes = messages.select("conv", "id", "parent", F.coalesce("score", F.lit(0.0)).cast("double").alias("score"))
-    known = messages.select("conv", F.col("id").alias("parent"))
-    nodes = nodes.where("parent is null").union(nodes.where("parent is not null").join(known, ["conv", "parent"], "left_anti")
-                                               .select("conv", "id", F.lit(None).alias("parent"), "score")).union(
-        nodes.join(known, ["conv", "parent"], "left_semi").select("conv", "id", "parent", "score"))
-    jump = settle(nodes.select(*key, F.col("parent").alias("up"), F.lit(1).alias("steps"), F.col("score").alias("total")))
+    base = settle(messages.select("conv", "id", "parent", F.coalesce("score", F.lit(0.0)).cast("double").alias("score")))
+    known = base.select("conv", F.col("id").alias("parent"), F.lit(True).alias("there"))
+    jump = settle(base.join(known, ["conv", "parent"], "left").select(
+        *key, F.when(F.col("there"), F.col("parent")).alias("up"), F.lit(1).alias("steps"), F.col("score").alias("total")))
     n = jump.count()
     levels = []
     while not jump.where("up is not null").isEmpty() and (1 << len(levels)) <= max(1, n):
-        levels.append(jump.where("up is not null").select(*key, "up"))
+        going = jump.where("up is not null")           # messages that have reached their root are only carried on
+        levels.append(going.select(*key, "up"))
         above = jump.select("conv", F.col("id").alias("up"), F.col("up").alias("up2"),
                             F.col("steps").alias("steps2"), F.col("total").alias("total2"))
-        jump = settle(jump.join(above, ["conv", "up"], "left").select(
-            *key, F.col("up2").alias("up"), (F.col("steps") + F.coalesce("steps2", F.lit(0))).alias("steps"),
-            (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total")))
-    parents = messages.where("parent is not null").select("conv", F.col("parent").alias("id"))
+        moved = going.join(above, ["conv", "up"]).select(
+            *key, F.col("up2").alias("up"), (F.col("steps") + F.col("steps2")).alias("steps"),
+            (F.col("total") + F.col("total2")).alias("total"))
+        jump = settle(jump.where("up is null").union(moved))
+    parents = base.where("parent is not null").select("conv", F.col("parent").alias("id"))
     leaves = jump.where("up is null").join(parents, key, "left_anti")
     rank = Window.partitionBy("conv").orderBy((F.col("total") / F.col("steps")).desc(), "id")
     chosen = leaves.withColumn("path", F.row_number().over(rank)).where(F.col("path") <= top)
-    on_path = chosen.select("conv", "path", "id", F.lit(0).alias("pos"))
+    on_path = settle(chosen.select("conv", "path", "id", F.lit(0).alias("pos")))
     for k in reversed(range(len(levels))):
         up = on_path.join(levels[k], key).select("conv", "path", F.col("up").alias("id"), (F.col("pos") + (1 << k)).alias("pos"))
-        on_path = on_path.union(up)
+        on_path = settle(on_path.union(up))        # else each step would double the plan
     return on_path.join(messages.select(*key, "role", "text"), key).select("conv", "path", "pos", "role", "text")
 
 
