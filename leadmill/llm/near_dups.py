@@ -11,9 +11,10 @@
    one fixed table of triples, at the place a hash of (shingle, k) says.
 4. Bands of ``ROWS`` samples are hashed; documents with an equal band form a bucket. A bucket elects
    the member that shares most buckets as its centre (the original of a group of copies shares more than
-   a copy does), and every member is paired with it: as many pairs as members, never all pairs. Members
-   without any link meet a new centre of their buckets in further rounds, until they have a link or no
-   one is left to meet. From the third round on, members of a bucket must also agree in more and more
+   a copy does), and every member is paired with it: as many pairs as members, never all pairs. After
+   each round the classes of the links so far are computed. Members meet a new centre of their buckets in
+   further rounds, linked or not, until all members of a bucket are in one class; only a pair within one
+   class is not compared. From the third round on, members of a bucket must also agree in more and more
    further bands, so that crowds of unlike documents fall apart; a similar pair has its other shared
    bands besides.
 5. Pairs are verified by exact weighted Jaccard similarity >= ``SIMILAR``; links form classes.
@@ -192,8 +193,21 @@ def fingerprint(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
 
-def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(texts, links): the distinct texts as (fp, rep: smallest doc_id), and the verified links (a, b, sim) between them."""
+def _open_buckets(left: DataFrame, roots: DataFrame) -> DataFrame:
+    """The members of buckets whose members are not yet all in one class, each with the root of its class."""
+    known = left.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    still = known.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
+    return settle(known.join(still, "key"))
+
+
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, root) after further links (a, b)."""
+    return settle(components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links.select("a", "b"))))
+
+
+def near_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(texts, roots): the distinct texts as (fp, rep: smallest doc_id), and (node, root) for each text that is linked
+    to another, by verified links; root is one text of its class."""
     rows = docs.select("doc_id", "text", fingerprint(F.col("text")).alias("fp")).where("text is not null")
     id_type = rows.schema["doc_id"].dataType.simpleString()
     idf = idf_table(rows)
@@ -214,27 +228,24 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     vectors = settle(vectors)
     a_side = vectors.select(F.col("fp").alias("a"), F.col("ids").alias("a_ids"), F.col("lvs").alias("a_lvs"))
     b_side = vectors.select(F.col("fp").alias("b"), F.col("ids").alias("b_ids"), F.col("lvs").alias("b_lvs"))
-    none = texts.select(F.col("fp").alias("a"), F.col("fp").alias("b"), F.lit(1.0).alias("sim")).where("false")
-    links, linked, turn, further = none, texts.select("fp").where("false"), 0, 0
+    roots, turn, further = texts.select(F.col("fp").alias("node"), F.col("fp").alias("root")).where("false"), 0, 0
+    left = _open_buckets(left, roots)
     while not left.isEmpty():
-        order = F.struct(F.col("rank"), F.xxhash64("key", "fp"), F.col("fp"))
-        centres = left.groupBy("key").agg(F.min(order).alias("c")).select("key", F.col("c.fp").alias("c"))
-        pairs = left.join(linked, "fp", "left_anti").join(centres, "key").where("fp <> c").select(
-            F.greatest("fp", "c").alias("a"), F.least("fp", "c").alias("b")).distinct()
-        sims = settle(pairs.join(a_side, "a").join(b_side, "b").mapInArrow(
-            _verify, "a binary, b binary, sim double").where(F.col("sim") >= SIMILAR))
-        links = links.union(sims)
-        linked = settle(links.select(F.explode(F.array("a", "b")).alias("fp")).distinct())
-        left = left.join(centres, "key").where("fp <> c").select("fp", "pos", "key", "rank")
+        order = F.struct(F.col("rank"), F.xxhash64("key", "fp"), F.col("fp"), F.col("root"))
+        centres = left.groupBy("key").agg(F.min(order).alias("c")).select("key", F.col("c.fp").alias("c"), F.col("c.root").alias("c_root"))
+        met = left.join(centres, "key").where("fp <> c")
+        pairs = met.where("root <> c_root").select(F.greatest("fp", "c").alias("a"), F.least("fp", "c").alias("b")).distinct()
+        sims = pairs.join(a_side, "a").join(b_side, "b").mapInArrow(
+            _verify, "a binary, b binary, sim double").where(F.col("sim") >= SIMILAR)
+        roots = _joined(roots, sims)
+        left = met.select("fp", "pos", "key", "rank")       # a centre has met all others of its bucket
         turn += 1
         if turn >= 2:
             more = [key(i) for i in range(further + 1, further + turn)]     # 1, 2, 3 … bands more in each round
             further += len(more)
             left = left.join(texts.select("fp", "bands"), "fp").select("fp", "pos", F.xxhash64("key", *more).alias("key"), "rank")
-        alone = left.join(linked.withColumn("done", F.lit(1)), "fp", "left")
-        undone = alone.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count("done").alias("m")).where("n > 1 and m < n")
-        left = settle(left.join(undone.select("key"), "key").select("fp", "pos", "key", "rank"))
-    return texts.select("fp", "rep"), links
+        left = _open_buckets(left, roots)
+    return texts.select("fp", "rep"), roots
 
 
 def duplicate_classes(docs: DataFrame) -> DataFrame:
@@ -247,8 +258,7 @@ def duplicate_classes(docs: DataFrame) -> DataFrame:
     Other columns are not read. Vectors hold 32-bit shingle ids, so a similarity may err by about
     n / 2**32 for n shingles.
     """
-    texts, links = near_links(docs)
-    roots = settle(components(links.select("a", "b")))
+    texts, roots = near_classes(docs)
     of_text = texts.join(roots, texts.fp == roots.node, "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
     names = of_text.groupBy("root").agg(F.min("rep").alias("class_id"))
     classes = settle(of_text.join(names, "root").select("fp", "class_id"))

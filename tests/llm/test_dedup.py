@@ -94,6 +94,27 @@ def test_classes_match_brute_force(spark, docs):
     assert got[400] == {400} and got[401] == {401} and got[None] == {3}
 
 
+def test_families_without_a_common_original_are_one_class(docs):
+    """Versions that drift: next ones share 0.9 or 0.8 of their shingles, further ones less. And two groups of copies
+    whose originals share 0.73; only one text of either, linked to its original besides, reaches 0.82."""
+    families = []
+    for n in [2000, 20, 20]:
+        ws = prose(200 + 10 * n).split()
+        families.append([" ".join(ws[10 * i:10 * i + 200]) for i in range(n)])
+    for _ in range(12):
+        common, family = prose(170), []
+        for _ in range(2):
+            bridge = common + " " + prose(17)
+            original = bridge + " " + prose(14)
+            family += [bridge, original] + [edited(original, 1) for _ in range(30)]
+        families.append(family)
+    rows = [(10_000 * k + i, t) for k, family in enumerate(families) for i, t in enumerate(family)]
+    classes = {}
+    for r in duplicate_classes(docs(rows)).collect():
+        classes.setdefault(r["doc_id"] // 10_000, set()).add(r["class_id"])
+    assert len(classes) == len(families) and all(len(c) == 1 for c in classes.values()), {k: len(c) for k, c in classes.items()}
+
+
 def test_one_of_each_class_stays(docs):
     t = prose(80)
     rows = [(5, t), (3, t), (3, t), (9, edited(t, 1)), (1, prose(60)), (2, None), (2, None), (None, t), (6, "")]
