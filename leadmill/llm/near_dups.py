@@ -12,11 +12,10 @@
 4. Bands of ``ROWS`` samples are hashed; documents with an equal band form a bucket. A bucket elects
    the member that shares most buckets as its centre (the original of a group of copies shares more than
    a copy does), and every member is paired with it: as many pairs as members, never all pairs. After
-   each round the classes of the links so far are computed. Members meet a new centre of their buckets in
-   further rounds, linked or not, until all members of a bucket are in one class; only a pair within one
-   class is not compared. From the third round on, members of a bucket must also agree in more and more
-   further bands, so that crowds of unlike documents fall apart; a similar pair has its other shared
-   bands besides.
+   each round the classes of the links so far are computed, and buckets whose members are all in one class
+   are done. Members of the others meet a new centre, linked or not, in ``CENTRES`` rounds; what is
+   still open then is compared in pairs of blocks of ``BLOCK`` members, all pairs of unlike classes. So every
+   pair with an equal band is either compared or in one class.
 5. Pairs are verified by exact weighted Jaccard similarity >= ``SIMILAR``; links form classes.
 """
 
@@ -41,6 +40,9 @@ IDF_GAIN = 0.1
 STEP = 0.05
 TRIPLES = 1 << 16
 TEXTS_AT_ONCE = 256
+CENTRES = 3             # rounds with one centre per bucket before the blocks
+BLOCK = 512             # members of a block
+COLUMNS = 8192          # shingles of a block's table at once
 
 
 def shingles(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -188,6 +190,52 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(sims, pa.float64())], ["a", "b", "sim"])
 
 
+def _likely_pairs(ids: list[np.ndarray], weights: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """(i, j) for all pairs of ``left`` x ``right`` that may reach ``SIMILAR``: sqrt(x * y) >= min(x, y) bounds what they share."""
+    shared = np.zeros((len(left), len(right)))
+    total = np.array([w.sum() for w in weights])
+    sides = []
+    for members in (left, right):
+        at = np.concatenate([ids[m] for m in members])
+        order = np.argsort(at, kind="stable")
+        sides.append((at[order], np.repeat(np.arange(len(members)), [len(ids[m]) for m in members])[order],
+                      np.sqrt(np.concatenate([weights[m] for m in members]))[order]))
+    common = np.intersect1d(sides[0][0], sides[1][0])
+    for k in range(0, len(common), COLUMNS):
+        some, tables = common[k:k + COLUMNS], []
+        for (at, row, root_w), members in zip(sides, (left, right)):
+            a, b = np.searchsorted(at, some[0]), np.searchsorted(at, some[-1], "right")
+            column = np.searchsorted(some, at[a:b])
+            hit = some[column] == at[a:b]
+            table = np.zeros((len(members), len(some)), np.float32)
+            np.add.at(table, (row[a:b][hit], column[hit]), root_w[a:b][hit])
+            tables.append(table)
+        shared += tables[0] @ tables[1].T
+    return np.argwhere(shared * (1 + SIMILAR) >= SIMILAR * (total[left][:, None] + total[right][None, :]) * 0.999)
+
+
+def _verify_blocks(block: pa.Table) -> pa.Table:
+    """Links that join all classes of two blocks (or one) of a bucket: each pair of texts of unlike classes is compared,
+    but for those that links found before have joined."""
+    key = block.column("i")[0].as_py(), block.column("j")[0].as_py()
+    fps, p = block.column("fp").to_pylist(), block.column("p").to_numpy()
+    _, part = np.unique(np.array([r.hex() for r in block.column("root").to_pylist()]), return_inverse=True)
+    ids = [np.frombuffer(x, np.uint32) for x in block.column("ids").to_pylist()]
+    lvs = [np.frombuffer(x, np.uint8) for x in block.column("lvs").to_pylist()]
+    left, right = np.flatnonzero(p == key[0]), np.flatnonzero(p == key[1])
+    out = []
+    if len(left) and len(right):
+        for i, j in _likely_pairs(ids, [np.exp(x * STEP) for x in lvs], left, right):
+            a, b = int(left[i]), int(right[j])
+            if part[a] == part[b]:
+                continue
+            sim = weighted_jaccard(ids[a], lvs[a], ids[b], lvs[b])
+            if sim >= SIMILAR:
+                part[part == part[b]] = part[a]
+                out.append((fps[a], fps[b], sim))
+    return pa.table([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.binary(), pa.binary(), pa.float64()))], ["a", "b", "sim"])
+
+
 def fingerprint(text: Column) -> Column:
     """128 bits that stand for a text; null for a null text."""
     return F.unhex(F.md5(text.cast("binary")))
@@ -213,14 +261,14 @@ def near_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     idf = idf_table(rows)
     signed = rows.select("fp", "doc_id", "text").mapInArrow(_band_batches(idf), f"fp binary, doc_id {id_type}, bands array<long>")
     texts = settle(signed.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.max("bands").alias("bands")))
-    key = lambda i: F.xxhash64(F.lit("band"), F.expr(f"(pos + {i}) % {BANDS}"), F.expr(f"get(bands, (pos + {i}) % {BANDS})"))
+    key = F.xxhash64(F.lit("band"), "pos", F.expr("get(bands, pos)"))
     places = texts.select("fp", "bands", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("pos")).where(F.size("bands") > 0)
     # only members of buckets with two or more are kept, without the long rows
-    left = places.select("fp", "pos", key(0).alias("key"))
+    left = places.select("fp", key.alias("key"))
     shared = left.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    left = settle(left.join(shared, "key").select("fp", "pos", "key", "n"))
+    left = settle(left.join(shared, "key").select("fp", "key", "n"))
     degree = left.groupBy("fp").agg((-F.sum("n")).alias("rank"))        # the most shared come first
-    left = settle(left.join(degree, "fp").select("fp", "pos", "key", "rank"))
+    left = settle(left.join(degree, "fp").select("fp", "key", "rank"))
     wanted = build_filter(left.select(F.xxhash64("fp").alias("k")).distinct(), "k")
     vectors = rows.select("fp", "text", F.xxhash64("fp").alias("key")).mapInArrow(
         _vector_batches(idf, wanted), "fp binary, ids binary, lvs binary").groupBy("fp").agg(
@@ -228,9 +276,11 @@ def near_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     vectors = settle(vectors)
     a_side = vectors.select(F.col("fp").alias("a"), F.col("ids").alias("a_ids"), F.col("lvs").alias("a_lvs"))
     b_side = vectors.select(F.col("fp").alias("b"), F.col("ids").alias("b_ids"), F.col("lvs").alias("b_lvs"))
-    roots, turn, further = texts.select(F.col("fp").alias("node"), F.col("fp").alias("root")).where("false"), 0, 0
+    roots = texts.select(F.col("fp").alias("node"), F.col("fp").alias("root")).where("false")
     left = _open_buckets(left, roots)
-    while not left.isEmpty():
+    for _ in range(CENTRES):
+        if left.isEmpty():
+            break
         order = F.struct(F.col("rank"), F.xxhash64("key", "fp"), F.col("fp"), F.col("root"))
         centres = left.groupBy("key").agg(F.min(order).alias("c")).select("key", F.col("c.fp").alias("c"), F.col("c.root").alias("c_root"))
         met = left.join(centres, "key").where("fp <> c")
@@ -238,13 +288,17 @@ def near_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         sims = pairs.join(a_side, "a").join(b_side, "b").mapInArrow(
             _verify, "a binary, b binary, sim double").where(F.col("sim") >= SIMILAR)
         roots = _joined(roots, sims)
-        left = met.select("fp", "pos", "key", "rank")       # a centre has met all others of its bucket
-        turn += 1
-        if turn >= 2:
-            more = [key(i) for i in range(further + 1, further + turn)]     # 1, 2, 3 … bands more in each round
-            further += len(more)
-            left = left.join(texts.select("fp", "bands"), "fp").select("fp", "pos", F.xxhash64("key", *more).alias("key"), "rank")
-        left = _open_buckets(left, roots)
+        left = _open_buckets(met.select("fp", "key", "rank"), roots)      # a centre has met all others of its bucket
+    if not left.isEmpty():
+        parts = left.groupBy("key").agg(F.expr(f"cast(ceil(count(1) / {BLOCK}) as int)").alias("parts"))
+        places = left.join(parts, "key").select(
+            "key", "fp", "root", F.expr("cast(pmod(xxhash64(fp, key), parts) as int)").alias("p"),
+            F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("q"))
+        places = places.select("key", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "p", "fp", "root")
+        several = places.groupBy("key", "i", "j").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
+        places = places.join(several.select("key", "i", "j"), ["key", "i", "j"])
+        found = places.join(vectors, "fp").groupBy("key", "i", "j").applyInArrow(_verify_blocks, "a binary, b binary, sim double")
+        roots = _joined(roots, found)
     return texts.select("fp", "rep"), roots
 
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 
 from leadmill.llm.components import components
 from leadmill.llm.decontaminate import drop_leaks, find_leaks, window_keys
-from leadmill.llm.near_dups import STEP, Sampler, duplicate_classes, keep_one_of_each, weighted_jaccard
+from leadmill.llm.near_dups import STEP, Sampler, _likely_pairs, duplicate_classes, keep_one_of_each, weighted_jaccard
 from leadmill.llm.substrings import greedy_factors, remove_repeats
 from leadmill.llm.tokens import Words
 
@@ -115,6 +115,29 @@ def test_families_without_a_common_original_are_one_class(docs):
     assert len(classes) == len(families) and all(len(c) == 1 for c in classes.values()), {k: len(c) for k, c in classes.items()}
 
 
+def test_pairs_in_crowded_buckets_are_found(docs):
+    """A page template of 0.7 to each other with few true pairs at 0.83."""
+    common = prose(180)
+    rows = [(i, common + " " + prose(20)) for i in range(400)]
+    rows += [(1000 + i, edited(rows[i][1][:len(common)], 3) + rows[i][1][len(common):]) for i in range(100)]
+    got = {r["doc_id"]: r["class_id"] for r in duplicate_classes(docs(rows)).collect()}
+    assert got == {i: i % 1000 for i, _ in rows}
+
+
+def test_block_bound_misses_no_pair():
+    rng = np.random.default_rng(2)
+    base = np.unique(rng.integers(0, 1 << 32, 300, dtype=np.uint32))
+    ids, lvs = [], []
+    for _ in range(60):
+        x = np.unique(np.concatenate([rng.choice(base, 290, replace=False), rng.integers(0, 1 << 32, rng.integers(1, 40), dtype=np.uint32)]))
+        ids.append(x)
+        lvs.append(np.where(rng.random(len(x)) < 0.02, 20, 5).astype(np.uint8))
+    a, b = np.arange(30), np.arange(30, 60)
+    likely = {tuple(x) for x in _likely_pairs(ids, [np.exp(v * STEP) for v in lvs], a, b).tolist()}
+    real = {(i, j) for i in range(30) for j in range(30) if weighted_jaccard(ids[i], lvs[i], ids[30 + j], lvs[30 + j]) >= 0.8}
+    assert real and real <= likely and len(likely) < 900
+
+
 def test_one_of_each_class_stays(docs):
     t = prose(80)
     rows = [(5, t), (3, t), (3, t), (9, edited(t, 1)), (1, prose(60)), (2, None), (2, None), (None, t), (6, "")]
