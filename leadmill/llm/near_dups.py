@@ -302,6 +302,10 @@ def near_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return texts.select("fp", "rep"), roots
 
 
+def _rooted(texts: DataFrame, roots: DataFrame) -> DataFrame:
+    return texts.join(roots, texts.fp == roots.node, "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
+
+
 def duplicate_classes(docs: DataFrame) -> DataFrame:
     """Per document: doc_id and class_id, the smallest doc_id of its class.
 
@@ -312,8 +316,7 @@ def duplicate_classes(docs: DataFrame) -> DataFrame:
     Other columns are not read. Vectors hold 32-bit shingle ids, so a similarity may err by about
     n / 2**32 for n shingles.
     """
-    texts, roots = near_classes(docs)
-    of_text = texts.join(roots, texts.fp == roots.node, "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
+    of_text = _rooted(*near_classes(docs))
     names = of_text.groupBy("root").agg(F.min("rep").alias("class_id"))
     classes = settle(of_text.join(names, "root").select("fp", "class_id"))
     ids = docs.select("doc_id", fingerprint(F.col("text")).alias("fp"))
@@ -324,14 +327,15 @@ def duplicate_classes(docs: DataFrame) -> DataFrame:
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """One document of each class stays, the one with the smallest doc_id, with all columns of ``docs``.
 
-    Rows with a null text or a null doc_id are no part of a class and stay. Repeated rows of the document that
-    stays leave one.
+    Rows with a null text or a null doc_id are no part of a class and stay. A document is a pair of doc_id and
+    text: unlike texts under one doc_id are judged each. Of texts of one class under its smallest doc_id
+    the one with the least fingerprint stays; of repeated rows the one whose JSON has the least MD5.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    gone = duplicate_classes(docs.where("doc_id is not null").select("doc_id", "text")).where("doc_id <> class_id").select("doc_id").distinct()
-    packed = docs.select(row.alias("row"), "doc_id", F.col("text").isNotNull().alias("has_text"))
-    kept = packed.join(gone, "doc_id", "left_anti")
-    # repeated rows share their id, by which the join has already placed them
-    whole = kept.where("doc_id is null or not has_text").select("row")
-    once = kept.where("doc_id is not null and has_text").groupBy("doc_id").agg(F.first("row").alias("row")).select("row")
+    of_text = _rooted(*near_classes(docs.where("doc_id is not null").select("doc_id", "text")))
+    stay = of_text.groupBy("root").agg(F.min(F.struct("rep", "fp")).alias("k")).select(F.col("k.rep").alias("doc_id"), "k.fp")
+    packed = docs.select(row.alias("row"), "doc_id", fingerprint(F.col("text")).alias("fp"))
+    whole = packed.where("doc_id is null or fp is null").select("row")
+    once = packed.join(stay, ["doc_id", "fp"], "left_semi").groupBy("doc_id", "fp").agg(
+        F.min_by("row", F.md5(F.to_json("row"))).alias("row")).select("row")
     return whole.union(once).select("row.*")

@@ -148,6 +148,13 @@ def test_one_of_each_class_stays(docs):
     assert keep_one_of_each(docs([])).count() == 0 and duplicate_classes(docs([])).count() == 0
 
 
+def test_unlike_texts_of_one_id_are_judged_each(docs):
+    t, u = prose(80), prose(80)
+    rows = [(7, edited(t, 1)), (7, u), (1, t), (8, prose(60)), (8, prose(60)), (9, u)]
+    got = Counter((r["doc_id"], r["text"]) for r in keep_one_of_each(docs(rows)).collect())
+    assert got == Counter(rows[i] for i in (1, 2, 3, 4))
+
+
 def test_components(spark):
     pairs = [(i, i + 1) for i in range(1, 40)] + [(50, 60), (60, 50), (70, 71), (71, 72), (90, 72)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
