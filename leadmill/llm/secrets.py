@@ -92,7 +92,7 @@ def with_spans(df: DataFrame) -> DataFrame:
     """From a frame with a text column ``t``: adds ``base`` and ``spans``, sorted arrays of struct(s, k, e): start, kind
     (position in KINDS) and end (exclusive), in code points.
 
-    ``spans`` holds the base spans and those entropy spans that do not touch a base span.
+    ``spans`` holds the base spans and the parts of entropy spans outside of them.
     """
     for name, pattern in (("assign", ASSIGN), ("access", ACCESS), ("hex", HEX), ("cand", CANDIDATE)):
         df = df.withColumn(f"m_{name}", F.regexp_extract_all("t", F.lit(pattern), F.lit(0)))
@@ -104,7 +104,9 @@ def with_spans(df: DataFrame) -> DataFrame:
     df = df.withColumn("cand", F.expr(_spans("m_cand", CANDIDATE, "entropy", "true")))
     df = df.withColumn("extra", F.expr(f"if(size(cand) = 0, cand, {_entropy_matches()})"))
     df = df.withColumn("spans", F.expr(
-        "sort_array(concat(base, filter(extra, x -> not exists(base, b -> b.s < x.e and x.s < b.e))))"))
+        "sort_array(concat(base, flatten(transform(extra, x -> aggregate(base, array(x), (a, b) -> flatten(transform(a, p ->"
+        " filter(array(struct(p.s as s, p.k as k, least(p.e, b.s) as e), struct(greatest(p.s, b.e) as s, p.k as k, p.e as e)),"
+        " y -> y.s < y.e))))))))"))
     return df.drop("m_assign", "m_access", "m_hex", "m_cand", "cand", "extra")
 
 

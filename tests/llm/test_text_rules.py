@@ -83,6 +83,14 @@ def test_entropy_adds_random_strings_only(docs):
     assert spans[4] == "entropy:8:32" and spans[5] == "entropy:30002:30026" and spans[2] == spans[3] == ""
 
 
+def test_entropy_around_a_base_span_is_kept(docs):
+    before, middle, after = "Zk3JxQ9mB7rT2vWpL5nH8cYdZ", "0f1e2d3c4b5a6978" * 2, "Q9mB7rT2vWpL5nH8cYdZk3JxZ"
+    df = docs([(1, f"see {before}{middle}{after} end"), (2, f"see {middle} end")])
+    spans = {r["doc_id"]: r["spans"] for r in scan_documents(df).collect()}
+    assert spans == {1: "entropy:4:29,hex:29:61,entropy:61:86", 2: "hex:4:36"}
+    assert [r["text"] for r in redact_documents(df).collect()] == ["see [SECRET] end"] * 2
+
+
 def test_redaction_keeps_rows_and_other_columns(docs):
     df = docs(SECRETS + [(1, SECRETS[0][1])])
     out = redact_documents(df)
