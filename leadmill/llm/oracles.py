@@ -115,3 +115,70 @@ n AS (SELECT item_id, count(*) AS n_shingles FROM bs GROUP BY item_id)
 SELECT doc_id, item_id, n_shingles, count(*) AS n_shared, count(*) / n_shingles AS containment
 FROM ds JOIN bs USING (s) JOIN n USING (item_id) GROUP BY doc_id, item_id, n_shingles HAVING count(*) / n_shingles >= 0.8
 """
+
+COLLOCATIONS = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+g AS (SELECT lang, m, array_to_string(ws[i:i + m - 1], ' ') AS phrase
+      FROM (SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM w, (VALUES (1), (2), (3), (4)) AS sizes(m) WHERE len(ws) >= m)),
+f AS (SELECT lang, m, phrase, count(*) AS f FROM g GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE m > 1 AND f >= 30),
+cuts AS (SELECT lang, phrase, a, k, array_to_string(ws[1:k], ' ') AS lp, array_to_string(ws[k + 1:m], ' ') AS rp
+         FROM (SELECT *, unnest(range(1, m)) AS k FROM c)),
+s AS (SELECT cuts.lang, cuts.phrase, a, x.f AS l, y.f AS r, ((2000000::HUGEINT * a) // (x.f + y.f))::BIGINT AS score, k
+      FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = lp JOIN f y ON y.lang = cuts.lang AND y.phrase = rp
+      QUALIFY row_number() OVER (PARTITION BY cuts.lang, cuts.phrase ORDER BY score, k) = 1),
+gone AS (SELECT DISTINCT s.lang, s.phrase FROM s JOIN c ON c.lang = s.lang AND c.phrase <> s.phrase AND 100 * c.a >= 80 * s.a
+         AND contains(' ' || c.phrase || ' ', ' ' || s.phrase || ' '))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM s ANTI JOIN gone USING (lang, phrase) JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
+# crc32 bit by bit; the automaton as a recursion over the rows that carries, for each state, the cheapest edits with their
+# letters and the repaired text (c, a, t), so that the least of equal costs is the least text.
+REPAIR = r"""
+WITH RECURSIVE
+raw AS (SELECT conv_id, coalesce('c' || conv_id, '') AS conv, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+crc AS (SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(k, ''), lambda x:
+               list_transform(range(8), lambda b: (ascii(x) >> b::INTEGER) & 1)))),
+               lambda a, b: xor(a >> 1, 3988292384 * (xor(a, b) & 1))), 4294967295) % 20 AS fault FROM raw),
+hurt AS (SELECT conv, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+                CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                unnest(CASE WHEN fault = 3 THEN [1, 2] ELSE [1] END) AS copy FROM crc WHERE fault <> 0),
+num AS (SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, sha256(text)) AS i FROM hurt),
+seen AS (SELECT *, row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 AS again, left(role, 1) AS r,
+                lag(left(role, 1)) OVER (PARTITION BY conv ORDER BY i) AS before,
+                NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, regexp_matches(text, '[^\x20\x09-\x0D.!?][\x20\x09-\x0D]*$') AS cut FROM num),
+rows_ AS (SELECT *, blank OR again AS must, cut::INTEGER AS u, 1000000000 AS far FROM seen),
+stat AS (SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+                count(*) FILTER (again AND NOT blank) AS duplicate, count(*) FILTER (cut AND NOT must) AS truncated,
+                count(*) FILTER (before IS NOT NULL AND before || r NOT IN ('su', 'ua', 'au')) AS illegal FROM rows_ GROUP BY conv),
+dp AS (
+  SELECT conv, 0::BIGINT AS i, {'c': 0, 'a': '', 't': ''} AS v0, {'c': 1000000000, 'a': '', 't': ''} AS v1,
+         {'c': 1000000000, 'a': '', 't': ''} AS v2, {'c': 1000000000, 'a': '', 't': ''} AS v3 FROM stat
+  UNION ALL
+  SELECT conv, i + 1, {'c': v0.c + 3, 'a': v0.a || 'D', 't': v0.t},
+    list_min([{'c': v1.c + 3, 'a': v1.a || 'D', 't': v1.t},
+              {'c': CASE WHEN must OR r <> 's' THEN far ELSE v0.c + u END, 'a': v0.a || 'K', 't': v0.t || kept}]),
+    list_min(list_concat([{'c': w2.c + 3, 'a': w2.a || 'D', 't': w2.t}], flatten(list_transform([v0, v1, w3], lambda s: [
+              {'c': CASE WHEN must OR r <> 'u' THEN far ELSE s.c + u END, 'a': s.a || 'K', 't': s.t || kept},
+              {'c': CASE WHEN must THEN far ELSE s.c + u + 2 END, 'a': s.a || 'R', 't': s.t || 'user:' || line}])))),
+    list_min([{'c': w3.c + 3, 'a': w3.a || 'D', 't': w3.t},
+              {'c': CASE WHEN must OR r <> 'a' THEN far ELSE w2.c + u END, 'a': w2.a || 'K', 't': w2.t || kept},
+              {'c': CASE WHEN must THEN far ELSE w2.c + u + 2 END, 'a': w2.a || 'R', 't': w2.t || 'assistant:' || line}])
+  FROM (SELECT dp.*, x.must, x.u, x.r, x.far, x.role || ':' || x.text || chr(10) AS kept, x.text || chr(10) AS line,
+          list_min(list_concat([v2], list_transform([v0, v1, v3], lambda s: {'c': s.c + 2, 'a': s.a || 'I', 't': s.t || 'user:' || chr(10)}))) AS w2,
+          list_min(list_concat([v3, {'c': v2.c + 2, 'a': v2.a || 'I', 't': v2.t || 'assistant:' || chr(10)}], list_transform([v0, v1], lambda s:
+              {'c': s.c + 4, 'a': s.a || 'II', 't': s.t || 'user:' || chr(10) || 'assistant:' || chr(10)}))) AS w3
+        FROM dp JOIN rows_ x ON x.conv = dp.conv AND x.i = dp.i + 1)),
+done AS (SELECT conv, list_min([v0, v3, {'c': v2.c + 2, 'a': v2.a || 'I', 't': v2.t || 'assistant:' || chr(10)},
+                                {'c': v1.c + 4, 'a': v1.a || 'II', 't': v1.t || 'user:' || chr(10) || 'assistant:' || chr(10)}]) AS e
+         FROM dp JOIN (SELECT conv, max(i) AS i FROM rows_ GROUP BY conv) USING (conv, i))
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(e.c, 0)::BIGINT AS cost, coalesce(e.a, '') AS audit,
+       sha256(coalesce(left(e.t, greatest(length(e.t) - 1, 0)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, conv FROM raw) LEFT JOIN stat USING (conv) LEFT JOIN done USING (conv)
+"""

@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from . import oracles
 from .bpe import encode_documents
 from .chat import format_conversations, read_back, reply_chains
+from .collocations import collocations
 from .common import table
 from .decontaminate import find_leaks
 from .near_dups import duplicate_classes
 from .quality_classifier import score_documents
 from .quality_rules import judge_documents
 from .registry import ORACLES, QUERIES, query  # noqa: F401
+from .repair import repair_report
 from .secrets import scan_documents
 from .sharding import shard_documents
 from .substrings import remove_repeats
@@ -82,3 +84,13 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_sharding")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), 8)
+
+
+@query("op12_collocations", oracles.COLLOCATIONS)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op13_conversation_repair", oracles.REPAIR)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_report(table(spark, sf_dir, "conversations"))

@@ -46,9 +46,10 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Words:
-    """The words of a column of texts: byte ``starts`` and ``ends`` in ``data``; words of text i are ``first[i]:first[i + 1]``."""
+    """The words of a column of texts: byte ``starts`` and ``ends`` in ``data``; words of text i are ``first[i]:first[i + 1]``.
+    ``blank`` says of each byte whether it stands between words."""
 
-    def __init__(self, column: pa.Array):
+    def __init__(self, column: pa.Array, blank: np.ndarray = _BLANK):
         if pa.types.is_large_string(column.type):
             column = column.cast(pa.string())
         _, offsets, data = column.buffers()
@@ -57,7 +58,7 @@ class Words:
         lo, hi = int(off[0]), int(off[-1])
         self.data = np.frombuffer(data, np.uint8)[lo:hi] if data is not None else np.zeros(0, np.uint8)
         off = off - lo
-        letter = ~_BLANK[self.data]
+        letter = ~blank[self.data]
         begins, stops = letter.copy(), letter.copy()
         begins[1:] &= ~letter[:-1]
         stops[:-1] &= ~letter[1:]
