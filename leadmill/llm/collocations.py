@@ -33,7 +33,7 @@ LONGEST = 4
 COVERED = 80                # per cent of a phrase's occurrences in one longer candidate from which it goes
 SCALE = 2_000_000
 TOP = 2000
-TEXT_BYTES = 8 << 20        # texts worked on at once; a longer text is worked on alone
+TEXT_BYTES = 2 << 20        # texts worked on at once; a longer text is worked on alone
 WORD_BASE, CHECK_BASE = 0x9E3779B97F4A7C55, 0xD6E8FEB86659FD93
 _BREAK = np.zeros(256, bool)
 _BREAK[[ord(c) for c in ".,;:!?\n\v\f\r"]] = True
@@ -41,11 +41,6 @@ _GAP = _BREAK.copy()
 _GAP[[0x20, 0x09]] = True
 
 
-def lower_ascii(text: Column) -> Column:
-    """A-Z in lower case, all else unchanged."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches in slices of about ``TEXT_BYTES``."""
     for batch in batches:
@@ -62,7 +57,7 @@ class Phrases:
     """The phrases of a batch (key: hash of the document, lang, text) by their first word."""
 
     def __init__(self, batch: pa.RecordBatch, bits: int):
-        self.words = w = Words(batch.column("text"), _GAP)
+        self.words = w = Words(batch.column("text"), _GAP, lower=True)
         self.bits = bits
         self.keys = batch.column("key").to_numpy().view(np.uint64)
         langs = batch.column("lang").dictionary_encode()
@@ -201,7 +196,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, bits: int = 64) -> tup
     """(phrases, totals): (lang, phrase, size, f) of all phrases of 1 to 4 words with f >= ``least`` occurrences in their
     language, and (lang, n): all word occurrences of each language. ``bits`` is the fingerprints' length (tests)."""
     rows = docs.select(F.xxhash64("doc_id").alias("key"), F.coalesce("lang", F.lit("und")).alias("lang"),
-                       lower_ascii(F.coalesce("text", F.lit(""))).alias("text"))
+                       F.coalesce("text", F.lit("")).alias("text"))
     counted = settle(rows.mapInArrow(_count_words(bits), "fp long, n long, lang string")
                      .groupBy("fp", "lang").agg(F.sum("n").alias("n")).where(f"lang is not null or n >= {least}"))
     totals = counted.where("lang is not null").select("lang", "n")

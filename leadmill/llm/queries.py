@@ -12,6 +12,7 @@ from .collocations import collocations
 from .common import table
 from .decontaminate import find_leaks
 from .near_dups import duplicate_classes
+from .pitman_yor import score_documents as score_texts
 from .quality_classifier import score_documents
 from .quality_rules import judge_documents
 from .registry import ORACLES, QUERIES, query  # noqa: F401
@@ -86,6 +87,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), 8)
 
 
+@query("op11_pitman_yor")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 @query("op12_collocations", oracles.COLLOCATIONS)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))

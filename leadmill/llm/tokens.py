@@ -47,9 +47,9 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 class Words:
     """The words of a column of texts: byte ``starts`` and ``ends`` in ``data``; words of text i are ``first[i]:first[i + 1]``.
-    ``blank`` says of each byte whether it stands between words."""
+    ``blank`` says of each byte whether it stands between words; ``lower`` takes A-Z as a-z."""
 
-    def __init__(self, column: pa.Array, blank: np.ndarray = _BLANK):
+    def __init__(self, column: pa.Array, blank: np.ndarray = _BLANK, lower: bool = False):
         if pa.types.is_large_string(column.type):
             column = column.cast(pa.string())
         _, offsets, data = column.buffers()
@@ -57,6 +57,8 @@ class Words:
         off = np.frombuffer(offsets, np.int32)[column.offset:column.offset + n + 1].astype(np.int64) if n else np.zeros(1, np.int64)
         lo, hi = int(off[0]), int(off[-1])
         self.data = np.frombuffer(data, np.uint8)[lo:hi] if data is not None else np.zeros(0, np.uint8)
+        if lower:
+            self.data = self.data + ((self.data - np.uint8(65)) < 26).astype(np.uint8) * np.uint8(32)
         off = off - lo
         letter = ~blank[self.data]
         begins, stops = letter.copy(), letter.copy()
