@@ -6,11 +6,12 @@
    its words are, and a longer one only if the phrases in it are: so phrases of 2 words are counted where
    both words may be frequent, those of 3 and 4 words where all phrases of 2 words in them may be. "May be" is a filter
    of fixed size (``bits``) that never misses a key; what it lets through too much costs work, not results.
-3. The shuffle sums, for each fingerprint, its occurrences, and keeps an occurrence pointer (the least hash of document
-   and word position) and the least and greatest of a second, independent fingerprint.
-4. Frequent fingerprints are read back from the text: of each the occurrence that its pointer names. Where the
-   second fingerprints differ, unlike phrases share a fingerprint; then all its occurrences are read from
-   the text and counted by text.
+   These shuffles carry a fingerprint and a count only.
+3. For frequent fingerprints a further shuffle sums the occurrences by size, and keeps an occurrence pointer (the least hash of
+   document and word position) and the least and greatest of a second, independent fingerprint.
+4. Each frequent phrase is read back from the text: the occurrence that its pointer names. Where the second
+   fingerprints differ, unlike phrases share a fingerprint; then all its occurrences are read from the text and
+   counted by text.
 5. Scores come from joins of the frequent phrases with each other; every part of a frequent phrase is one.
 """
 
@@ -67,17 +68,18 @@ class Phrases:
         self.lang_hash = names.hashes()[self.lang_of][w.text_of] if len(w.text_of) else np.zeros(0, np.uint64)
         breaks = np.cumsum(_BREAK[w.data])
         self.piece = breaks[w.starts] if len(w.starts) else np.zeros(0, np.int64)
-        self.sums = [self._sums(w.hashes(i), base) for i, base in enumerate((WORD_BASE, CHECK_BASE))]
-
-    @staticmethod
-    def _sums(hashes: np.ndarray, base: int) -> tuple[np.ndarray, int]:
-        """Prefix polynomials of the words' hashes, in Horner's form by blocks: sums of hash * base**i."""
-        power = np.full(len(hashes) + 1, base, np.uint64)
-        power[0] = 1
-        np.cumprod(power, out=power)
-        sums = np.zeros(len(hashes) + 1, np.uint64)
-        np.cumsum(hashes * power[:-1], out=sums[1:])
-        return sums, pow(base, -1, 1 << 64)
+        self._sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def sums(self, which: int) -> tuple[np.ndarray, np.ndarray]:
+        """Prefix polynomials of the words' hashes (sums of hash * base**i), and base**-i."""
+        if which not in self._sums:
+            hashes, base = self.words.hashes(which), (WORD_BASE, CHECK_BASE)[which]
+            power, back = (np.full(len(hashes) + 1, x, np.uint64) for x in (base, pow(base, -1, 1 << 64)))
+            power[0] = back[0] = 1
+            sums = np.zeros(len(hashes) + 1, np.uint64)
+            np.cumsum(hashes * np.cumprod(power)[:-1], out=sums[1:])
+            self._sums[which] = sums, np.cumprod(back)
+        return self._sums[which]
 
     def whole(self, n: int) -> np.ndarray:
         """Words at which n words of one piece begin."""
@@ -87,14 +89,8 @@ class Phrases:
 
     def hashes(self, at: np.ndarray, n: int, which: int = 0) -> np.ndarray:
         """Fingerprints of the n words from each place (language and n mixed in)."""
-        sums, inverse = self.sums[which]
-        if not hasattr(self, "_inverse"):
-            self._inverse = [None, None]
-        if self._inverse[which] is None:
-            back = np.full(len(sums), inverse, np.uint64)
-            back[0] = 1
-            self._inverse[which] = np.cumprod(back)
-        own = (sums[at + n] - sums[at]) * self._inverse[which][at]
+        sums, back = self.sums(which)
+        own = (sums[at + n] - sums[at]) * back[at]
         out = mix(mix(own + np.uint64(n)) + self.lang_hash[at])     # well mixed, as the filters ask
         return out & np.uint64((1 << self.bits) - 1) if which == 0 and self.bits < 64 else out
 
@@ -147,22 +143,36 @@ def _count_words(bits: int):
 
 
 def _count_phrases(bits: int, sizes, words, pairs):
-    """Occurrences of the phrases of the given sizes: fp, size, n, pointer, least and greatest second fingerprint."""
+    """Occurrences of the phrases of the given sizes by fingerprint."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
             p = Phrases(batch, bits)
-            for size in sizes:
-                at = p.places(size, words.value if words else None, pairs.value if pairs else None)
-                if not len(at):
+            keys = [p.hashes(p.places(n, words.value if words else None, pairs.value if pairs else None), n) for n in sizes]
+            keys, counts = np.unique(np.concatenate(keys), return_counts=True)
+            yield pa.RecordBatch.from_arrays([_long(keys), pa.array(counts)], ["fp", "n"])
+    return run
+
+
+def _point(bits: int, words, pairs, frequent):
+    """Of phrases that may be frequent: fp, size, occurrences, least pointer, least and greatest second fingerprint."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            p = Phrases(batch, bits)
+            for size in range(1, LONGEST + 1):
+                at = p.places(size, words.value, pairs.value)
+                keys = p.hashes(at, size)
+                hit = may_hold(frequent.value, keys)
+                if not hit.any():
                     continue
-                keys, check, pointer = p.hashes(at, size), p.hashes(at, size, 1), p.pointers(at)
-                order = np.lexsort((pointer, keys))
-                keys, check, pointer = keys[order], check[order].view(np.int64), pointer[order]
+                at, keys = at[hit], keys[hit]
+                order = np.argsort(keys)
+                at, keys = at[order], keys[order]
+                check, pointer = p.hashes(at, size, 1).view(np.int64), p.pointers(at)
                 first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
                 yield pa.RecordBatch.from_arrays([
                     _long(keys[first]), pa.array(np.full(len(first), size, np.int32)), pa.array(np.diff(np.append(first, len(keys)))),
-                    _long(pointer[first]), pa.array(np.minimum.reduceat(check, first)), pa.array(np.maximum.reduceat(check, first))],
-                    ["fp", "size", "n", "pointer", "low", "high"])
+                    _long(np.minimum.reduceat(pointer, first)), pa.array(np.minimum.reduceat(check, first)),
+                    pa.array(np.maximum.reduceat(check, first))], ["fp", "size", "n", "pointer", "low", "high"])
     return run
 
 
@@ -175,7 +185,7 @@ def _read_back(bits: int, words, pairs, named, unclear):
         for batch in _slices(batches):
             p = Phrases(batch, bits)
             for size in range(1, LONGEST + 1):
-                at = p.places(size, words.value if size <= 2 else None, pairs.value if size >= 3 else None)
+                at = p.places(size, words.value, pairs.value)
                 keys, pointer = p.hashes(at, size), p.pointers(at)
                 hit = may_hold(named.value, keys ^ pointer)
                 if unclear is not None:
@@ -203,13 +213,15 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, bits: int = 64) -> tup
     words = _filter(counted.where("lang is null"), F.col("fp"))
 
     def count(sizes, some, pairs):
-        return settle(rows.mapInArrow(_count_phrases(bits, sizes, some, pairs), _FOUND).groupBy("fp", "size").agg(
-            F.sum("n").alias("n"), F.min("pointer").alias("pointer"), F.min("low").alias("low"), F.max("high").alias("high"))
-            .where(F.col("n") >= least))
-
-    short = count((1, 2), words, None)
-    pairs = _filter(short, F.col("fp"))
-    found = short.union(count((3, 4), None, pairs))
+        counts = rows.mapInArrow(_count_phrases(bits, sizes, some, pairs), "fp long, n long").groupBy("fp").agg(F.sum("n").alias("n"))
+        return settle(counts.where(F.col("n") >= least).select("fp"))
+
+    two = count((2,), words, None)
+    pairs = _filter(two, F.col("fp"))
+    frequent = _filter(counted.where("lang is null").select("fp").union(two).union(count((3, 4), None, pairs)), F.col("fp"))
+    found = settle(rows.mapInArrow(_point(bits, words, pairs, frequent), _FOUND).groupBy("fp", "size").agg(
+        F.sum("n").alias("n"), F.min("pointer").alias("pointer"), F.min("low").alias("low"), F.max("high").alias("high"))
+        .where(F.col("n") >= least))
     clear = found.where("low = high")
     mixed_up = found.where("low <> high").select("fp", "size")
     named = _filter(clear, F.col("fp").bitwiseXOR(F.col("pointer")))
