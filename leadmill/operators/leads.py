@@ -95,10 +95,10 @@ def output_frame(fresh: DataFrame) -> DataFrame:
 def track_posted(leads: DataFrame, tracking: DataFrame, batch_ts: dt.datetime) -> DataFrame:
     """T-1: new tracking snapshot = old rows + one 'posted' row for every lead with an e-mail and
     no tracking row (``lead_uuid`` match with ``city_search_lead_uuid IS NULL``, J-5). All leads
-    of the given files count, not only exported ones."""
+    of the given files count, not only exported ones. Lead keys are unique (X-14), so no row repeats."""
     seen = tracking.where(F.col("city_search_lead_uuid").isNull() & F.col("lead_uuid").isNotNull()) \
                    .select(F.col("lead_uuid").alias("_seen"))
-    new = anti(leads.where(F.col("email_address").isNotNull()), seen, F.col("uuid") == F.col("_seen")).dropDuplicates(["uuid"])
+    new = anti(leads.where(F.col("email_address").isNotNull()), seen, F.col("uuid") == F.col("_seen"))
     new_rows = new.select(
         det_uuid(F.lit("posted"), F.col("uuid")).alias("uuid"),
         F.col("uuid").alias("lead_uuid"),
@@ -156,13 +156,13 @@ def status_metrics(tracking: DataFrame, leads: DataFrame, catalog: DataFrame, le
 
     Grouped by file uuid as well as name and created_at, so two files with one name stay apart
     (Q10). Tracking is pre-aggregated per lead before the join, so the join and the shuffle
-    carry one row per tracked lead.
+    carry one row per tracked lead. Lead keys are unique (X-14).
     """
     per_lead = (tracking.where(F.col(lead_key).isNotNull())
                 .groupBy(F.col(lead_key).alias("_lead"))
                 .agg(F.sum(F.when(F.col("status") == "shopify_customer", 1).otherwise(0)).alias("_c"),
                      F.sum(F.when(F.col("status") == "posted", 1).otherwise(0)).alias("_p")))
-    l = leads.select(F.col("uuid").alias("_lead"), F.col("drive_metadata_uuid").alias("_file")).distinct()
+    l = leads.select(F.col("uuid").alias("_lead"), F.col("drive_metadata_uuid").alias("_file"))
     per_file = per_lead.join(l, "_lead").groupBy("_file").agg(F.sum("_c").alias("_c"), F.sum("_p").alias("_p"))
     d = catalog.select(F.col("uuid").alias("_file"), "name", "created_at")
     return per_file.join(d, "_file", "left").select(

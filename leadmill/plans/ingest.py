@@ -12,7 +12,7 @@ from ..functions.scalar import landing_folder
 from ..operators.align import align_fill, align_intersect, row_uuid, stamp
 from ..sinks.writers import land_csv
 from ..schemas import insert_columns
-from ..sources.files import list_files, read_header_groups
+from ..sources.files import list_files, read_checked, read_header_groups
 
 
 def file_uuids(catalog: DataFrame) -> DataFrame:
@@ -20,23 +20,36 @@ def file_uuids(catalog: DataFrame) -> DataFrame:
     return catalog.groupBy(F.col("id").alias("file_id")).agg(F.min("uuid").alias("drive_metadata_uuid"))
 
 
-def ingest(spark: SparkSession, root: str, catalog: DataFrame, table: str, batch_ts: dt.datetime,
-           columns: list[str] | None = None, files: DataFrame | None = None,
-           required: list[str] | None = None, fmt: str = "csv") -> DataFrame:
-    """Raw rows of every file below ``root`` in the shape of ``table``.
+def ingest(spark: SparkSession, root: str | None, catalog: DataFrame, table: str, batch_ts: dt.datetime, **options) -> DataFrame:
+    """The rows of ``ingest_checked`` alone."""
+    return ingest_checked(spark, root, catalog, table, batch_ts, **options)[0]
+
+
+def ingest_checked(spark: SparkSession, root: str | None, catalog: DataFrame, table: str, batch_ts: dt.datetime,
+                   columns: list[str] | None = None, files: DataFrame | None = None,
+                   required: list[str] | None = None, fmt: str = "csv") -> tuple[DataFrame, DataFrame]:
+    """(rows, quarantine): raw rows of every file below ``root`` in the shape of ``table``, and what is not among them.
 
     ``columns=None``: P-6 (all target columns, missing ones as ''); a list: P-5 (only the
     columns both sides have, the rest NULL). A ``drive_metadata_uuid`` column in a file is
-    dropped and replaced by the catalog's (P-8); files unknown to the catalog are skipped.
+    dropped and replaced by the catalog's (P-8).
     Every row gets ``created_at`` = ``batch_ts`` (P-4) and a content uuid (X-14).
     ``required``: columns every file must have after cleaning (P-12's strict selection).
     ``fmt='xlsx'``: the files are workbooks (S-8), read with ``sources.xlsx``.
+
+    ``quarantine`` (path, file_id, reason, record): ragged records and files without a header (``files.read_checked``),
+    and files whose id the catalog does not know (one row each).
     """
+    files = files if files is not None else list_files(spark, root, "*.csv" if fmt == "csv" else "*.xlsx")
     if fmt == "xlsx":
         from ..sources.xlsx import read_rows, rows_by_header
-        groups = rows_by_header(spark, read_rows(spark, root))
+        groups, bad = rows_by_header(spark, read_rows(spark, root)), None
     else:
-        groups = read_header_groups(spark, files if files is not None else list_files(spark, root))
+        groups, bad = read_checked(spark, files)
+    known = file_uuids(catalog)
+    strange = files.select("path", "file_id").join(known.select("file_id"), "file_id", "left_anti").select(
+        "path", "file_id", F.lit("file unknown to the catalog").alias("reason"), F.lit(None).cast("string").alias("record"))
+    bad = strange if bad is None else bad.join(strange.select("path"), "path", "left_anti").unionByName(strange)
     target = [c for c in insert_columns(table) if c not in ("drive_metadata_uuid", "created_at")]
     parts = []
     for g in groups:
@@ -49,15 +62,15 @@ def ingest(spark: SparkSession, root: str, catalog: DataFrame, table: str, batch
             keep = align_intersect(g, [c for c in columns if c in target] + ["file_id"])
             parts.append(align_fill(keep, target + ["file_id"], fill=None))
     if not parts:
-        schema = ", ".join(f"`{c}` string" for c in ["uuid", "drive_metadata_uuid", *target, "file_id"])
-        return spark.createDataFrame([], schema + ", created_at timestamp_ntz")
+        schema = ", ".join(f"`{c}` string" for c in ["uuid", "drive_metadata_uuid", *target])
+        return spark.createDataFrame([], schema + ", created_at timestamp_ntz, file_id string"), bad
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
-    rows = rows.join(file_uuids(catalog), "file_id", "inner")
+    rows = rows.join(known, "file_id", "inner")         # rows of unknown files: see ``strange``
     rows = stamp(rows, batch_ts)
     rows = row_uuid(rows, "drive_metadata_uuid", target)
-    return rows.select("uuid", "drive_metadata_uuid", *target, "created_at", "file_id")
+    return rows.select("uuid", "drive_metadata_uuid", *target, "created_at", "file_id"), bad
 
 
 def enriched_select(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -1,9 +1,13 @@
 """Whole pipelines (R-1 … R-6) assembled from the operators.
 
-State lives in a folder of the shared work area: raw tables partitioned by ``file_id`` (append
-by dynamic partition overwrite) and per-batch snapshots of the row-changing tables
-(``catalog``, ``tracking``, ``franchises``). Batch N reads snapshot N−1 (or ``initial``) and
-writes snapshot N, so a retried batch recomputes the same result.
+State lives in a folder of the shared work area. ``tracking`` (by e-mail), ``catalog`` (by file id) and the raw contact
+tables (by e-mail) are keyed tables (``sinks.keyed_table``): run N reads, of version N−1, only the buckets that hold its
+own keys, and writes only these, so its cost does not follow the history. The raw city table is
+partitioned by ``file_id`` (append by dynamic partition overwrite); ``franchises`` are snapshots. A retried run
+recomputes the same result under the same number.
+
+Keys: a raw row's uuid is made from its content (X-14), e-mail included, and its tracking row carries that e-mail.
+So all tracking rows that can match a row of a run, by lead or by e-mail, are in the buckets of the run's e-mails.
 
 Order inside a lead batch follows the reference: fresh leads are selected on the old tracking
 snapshot and written out (which materialises them) before tracking changes; tracking inserts
@@ -29,14 +33,18 @@ from ..operators import outbox as ob
 from ..operators.joins import anti, semi
 from ..schemas import CATALOG_NULL_ON_INSERT, ENRICHED_DATA_COLUMNS, insert_columns
 from ..sinks import writers as wr
-from .ingest import ingest
+from ..sinks.keyed_table import KeyedTable
+from .ingest import ingest_checked
 
 QUICK_MAIL_BOOK = "Quick Mail Output - "
 CITY_BOOK = "City Search Output - "
 
 
+KEYED = {"tracking": "email_address", "catalog": "id"}
+
+
 class State:
-    """Paths of the pipeline's tables below one root folder."""
+    """The pipeline's tables below one root folder."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -44,19 +52,34 @@ class State:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def snap(self, table: str, batch_id: int) -> str:
+    def keyed(self, table: str) -> KeyedTable:
+        return KeyedTable(self.spark, self.path(table), KEYED[table])
+
+    def raw_keyed(self, table: str, key) -> KeyedTable:
+        """A raw contact table by e-mail; each run appends its rows."""
+        return KeyedTable(self.spark, self.path(f"raw_{table}"), key, append=True)
+
+    def _snap(self, table: str, batch_id: int) -> str:
         tag = "initial" if batch_id < 0 else f"{batch_id:010d}"
         return f"{self.root}/{table}/snapshot={tag}"
 
-    def read(self, table: str, batch_id: int) -> DataFrame:
-        return self.spark.read.parquet(self.snap(table, batch_id))
+    def read(self, table: str, batch_id: int, buckets: list[int] | None = None) -> DataFrame:
+        if table in KEYED:
+            return self.keyed(table).read(batch_id, buckets)
+        return self.spark.read.parquet(self._snap(table, batch_id))
 
     def write(self, df: DataFrame, table: str, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(self.snap(table, batch_id))
+        if table in KEYED:
+            self.keyed(table).write(df, batch_id)
+        else:
+            df.write.mode("overwrite").parquet(self._snap(table, batch_id))
 
     def init(self, **tables: DataFrame) -> "State":
         for name, df in tables.items():
-            self.write(df, name, -1)
+            if name in KEYED:
+                self.keyed(name).create(df)
+            else:
+                self.write(df, name, -1)
         return self
 
     def raw(self, table: str) -> DataFrame | None:
@@ -71,25 +94,40 @@ class State:
         return self.spark.read.parquet(path)
 
 
+def _catalog_of(state: State, files: DataFrame, batch_id: int) -> DataFrame:
+    """The catalog's buckets that hold the run's files."""
+    table = state.keyed("catalog")
+    return table.before(batch_id, table.buckets_of(files, "file_id", batch_id))
+
+
+def _gate(state: State, files: DataFrame, catalog: DataFrame, batch_id: int) -> DataFrame:
+    """F-6: the files not yet processed. Parts that arrive after their file was processed are not loaded; they are
+    reported in ``late/batch=<run>`` (path, file_id)."""
+    todo = _unprocessed(files, catalog)
+    late = anti(files, todo.select(F.col("path").alias("_todo")), F.col("path") == F.col("_todo"))
+    late.select("path", "file_id").write.mode("overwrite").parquet(state.path(f"late/batch={batch_id:010d}"))
+    return todo
+
+
+def _load(state: State, table: str, key, files: DataFrame, catalog: DataFrame, batch_id: int, batch_ts: dt.datetime,
+          required: list[str] | None = None) -> tuple[KeyedTable, DataFrame]:
+    """Ingest the run's files and append them to the raw table by e-mail: (the table, the run's rows). What
+    could not be loaded goes to ``quarantine/batch=<run>``."""
+    new, bad = ingest_checked(state.spark, None, catalog, table, batch_ts, files=files, required=required)
+    raw = state.raw_keyed(table, key)
+    if not raw.exists():
+        raw.create(new.limit(0))
+    raw.write(new, batch_id)
+    bad.write.mode("overwrite").parquet(state.path(f"quarantine/batch={batch_id:010d}"))
+    return raw, raw.written(batch_id)
+
+
 def _unprocessed(files: DataFrame, catalog: DataFrame) -> DataFrame:
     """F-6 gate: drop files the catalog already flags as processed."""
     done = catalog.where(F.coalesce(F.col("has_been_processed"), F.lit(False))).select(F.col("id").alias("_done"))
     return anti(files, done, F.col("file_id") == F.col("_done"))
 
 
-def _batch_rows(state: State, table: str, files: DataFrame, catalog: DataFrame, batch_ts: dt.datetime,
-                columns: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Ingest the batch's files, append them to the raw table (replay-safe), and return
-    (all raw rows, the batch's raw rows)."""
-    new = ingest(state.spark, None, catalog, table, batch_ts, columns=columns, files=files)
-    wr.append_load(new, state.path(f"raw_{table}"))
-    all_rows = state.raw(table)
-    if all_rows is None:          # nothing loaded yet (an empty first batch)
-        all_rows = new
-    ids = files.select(F.col("file_id").alias("_fid")).distinct()
-    return all_rows, semi(all_rows, ids, F.col("file_id") == F.col("_fid"))
-
-
 def _sent_files(rows: DataFrame, fresh: DataFrame) -> DataFrame:
     """The rows of files that gave at least one fresh lead. Only these are tracked: a file without any
     (no config, or nothing new) sent nothing, so its e-mails stay free."""
@@ -100,13 +138,15 @@ def _sent_files(rows: DataFrame, fresh: DataFrame) -> DataFrame:
 def lead_batch(state: State, files: DataFrame, batch_id: int, batch_ts: dt.datetime, customers: DataFrame) -> None:
     """R-2 body for all files of one run (``files``: path, file_id).
 
-    Each e-mail of the run is ranked over every raw row loaded so far (a scan of the raw table pruned to
-    the run's e-mails by a semi join): rows of files that sent nothing stay untracked and still rank.
+    Each e-mail of the run is ranked over every raw row loaded so far that has it: the buckets of the run's
+    e-mails hold them all. Rows of files that sent nothing stay untracked and still rank.
     """
-    catalog = state.read("catalog", batch_id - 1)
-    tracking = state.read("tracking", batch_id - 1)
-    files = _unprocessed(files, catalog)
-    all_leads, batch_leads = _batch_rows(state, "leads", files, catalog, batch_ts)
+    catalog = _catalog_of(state, files, batch_id)
+    files = _gate(state, files, catalog, batch_id)
+    raw, batch_leads = _load(state, "leads", "email_address", files, catalog, batch_id, batch_ts)
+    all_leads = raw.after(batch_id, raw.buckets_of(batch_leads, "email_address", batch_id))
+    known = state.keyed("tracking")
+    tracking = known.before(batch_id, known.buckets_of(batch_leads, "email_address", batch_id))
     # fresh leads (W-1) of this batch's files; only e-mails of the batch can rank there
     emails = batch_leads.select(F.col("email_address").alias("_e")).distinct()
     candidates = semi(all_leads.drop("file_id"), emails, F.col("email_address") == F.col("_e"))
@@ -121,17 +161,25 @@ def lead_batch(state: State, files: DataFrame, batch_id: int, batch_ts: dt.datet
     t1 = ld.track_posted(batch_leads, tracking, batch_ts)   # T-1
     t2 = ld.track_customers(batch_leads, customers, t1, batch_ts)   # U-4
     state.write(t2, "tracking", batch_id)
-    tracking_new = state.read("tracking", batch_id)
+    tracking_new = known.written(batch_id)
     metrics = ld.status_metrics(tracking_new, batch_leads, catalog)  # A-1
     ob.metrics_messages(metrics).write.mode("overwrite").parquet(state.path(f"outbox/batch={batch_id:010d}"))
+    _finish(state, raw, catalog, files, batch_id)
+
+
+def _finish(state: State, raw: KeyedTable | None, catalog: DataFrame, files: DataFrame, batch_id: int) -> None:
+    """The processed flags, last (Q12); then tables whose buckets have grown get more of them."""
     state.write(cat.mark_processed(catalog, files.select(F.col("file_id").alias("id"))), "catalog", batch_id)
+    for table in (state.keyed("catalog"), *((state.keyed("tracking"), raw) if raw is not None else ())):
+        table.settle_size(batch_id)
 
 
 def city_batch(state: State, files: DataFrame, batch_id: int, batch_ts: dt.datetime,
                franchise_source: DataFrame | None = None) -> None:
     """R-3 body: franchises upserted first (U-3); raw rows appended only for unprocessed files
     (P-5 with the table's columns); the output sheets are always recomputed (J-16)."""
-    catalog = state.read("catalog", batch_id - 1)
+    catalog = state.read("catalog", batch_id - 1)         # J-12 compares with the files of the whole history
+    touched = _catalog_of(state, files, batch_id)
     franchises = state.read("franchises", batch_id - 1)
     if franchise_source is not None:
         franchises = fr.upsert_franchises(franchises, franchise_source, batch_ts)
@@ -139,36 +187,38 @@ def city_batch(state: State, files: DataFrame, batch_id: int, batch_ts: dt.datet
     franchises = state.read("franchises", batch_id)
     todo = _unprocessed(files, catalog)
     cols = [c for c in insert_columns("city_search")]
-    new = ingest(state.spark, None, catalog, "city_search", batch_ts, columns=cols, files=todo)
+    new, bad = ingest_checked(state.spark, None, catalog, "city_search", batch_ts, columns=cols, files=todo)
     wr.append_load(new, state.path("raw_city_search"))
+    bad.write.mode("overwrite").parquet(state.path(f"quarantine/batch={batch_id:010d}"))
     city = state.raw("city_search")
     if city is None:
         city = new
     ids = files.select(F.col("file_id").alias("_fid")).distinct()
     sheet = cy.city_sheet(city.drop("file_id"), catalog, franchises,
                           file_ids=ids.select(F.col("_fid").alias("file_id")))
-    franchise_part, other_part = cy.city_sheet_parts(sheet)
+    franchise_part, other_part = cy.city_sheet_parts(state.once(sheet, "city_sheet", batch_id))
     book = F.concat(F.lit(CITY_BOOK), X.week_label(X.ntz(batch_ts)))
     for part in (franchise_part, other_part):
         wr.sheet_output(part.withColumn("book", book), state.path("sheets"))
-    state.write(cat.mark_processed(catalog, files.select(F.col("file_id").alias("id"))), "catalog", batch_id)
+    _finish(state, None, touched, files, batch_id)
 
 
 def enriched_batch(state: State, files: DataFrame, batch_id: int, batch_ts: dt.datetime, customers: DataFrame) -> None:
     """R-4 body: strict column selection (P-12), append, W-2 for the batch's files, output frame
     split into personal / generic sheets (F-9), T-2, U-5, A-2, notices."""
-    catalog = state.read("catalog", batch_id - 1)
-    tracking = state.read("tracking", batch_id - 1)
+    catalog = _catalog_of(state, files, batch_id)
     todo = _unprocessed(files, catalog)
-    new = ingest(state.spark, None, catalog, "city_search_enriched", batch_ts, files=todo,
-                 required=ENRICHED_DATA_COLUMNS)   # P-12: a file without these columns fails
-    wr.append_load(new, state.path("raw_city_search_enriched"))
-    all_rows = state.raw("city_search_enriched")
-    if all_rows is None:
-        all_rows = new
+    email = F.coalesce(F.col("main_point_of_contact_email"), F.col("generic_contact_email"))
+    raw, batch_rows = _load(state, "city_search_enriched", email, todo, catalog, batch_id, batch_ts,
+                            required=ENRICHED_DATA_COLUMNS)   # P-12: a file without these columns fails
     ids = files.select(F.col("file_id").alias("_fid")).distinct()
-    batch_rows = semi(all_rows, ids, F.col("file_id") == F.col("_fid"))
-    # only e-mails of the batch can rank in its files: prune the history to them first
+    again = anti(ids, todo.select(F.col("file_id").alias("_new")), F.col("_fid") == F.col("_new"))
+    if not again.isEmpty():       # files that came again: their rows lie in any bucket
+        batch_rows = batch_rows.unionByName(semi(raw.before(batch_id), again, F.col("file_id") == F.col("_fid")))
+    all_rows = raw.after(batch_id, raw.buckets_of(batch_rows, email, batch_id))
+    known = state.keyed("tracking")
+    tracking = known.before(batch_id, known.buckets_of(batch_rows, email, batch_id))
+    # only e-mails of the batch can rank in its files: prune the buckets to them first
     batch_emails = batch_rows.select(cy.coalesced_email(batch_rows).alias("_e")).distinct()
     pool = semi(all_rows.drop("file_id"), batch_emails, cy.coalesced_email(all_rows) == F.col("_e"))
     fresh = cy.city_fresh_leads(pool, customers, tracking, catalog)
@@ -184,9 +234,9 @@ def enriched_batch(state: State, files: DataFrame, batch_id: int, batch_ts: dt.d
     t1 = cy.city_track_posted(batch_rows, tracking, batch_ts)
     t2 = cy.city_track_customers(batch_rows, customers, t1, batch_ts)
     state.write(t2, "tracking", batch_id)
-    metrics = cy.city_metrics(state.read("tracking", batch_id), batch_rows, catalog)
+    metrics = cy.city_metrics(known.written(batch_id), batch_rows, catalog)
     ob.metrics_messages(metrics).write.mode("overwrite").parquet(state.path(f"outbox/batch={batch_id:010d}"))
-    state.write(cat.mark_processed(catalog, files.select(F.col("file_id").alias("id"))), "catalog", batch_id)
+    _finish(state, raw, catalog, files, batch_id)
 
 
 def sync(listing: DataFrame, nodes: DataFrame, catalog: DataFrame, config: DataFrame, batch_ts: dt.datetime
@@ -195,7 +245,7 @@ def sync(listing: DataFrame, nodes: DataFrame, catalog: DataFrame, config: DataF
     derived from parent folders (P-15, U-2), config applied (U-1), missing-config notices
     produced (F-1, K-8) and flagged (D-1); the files first seen in this run and ready (F-2).
 
-    Returns (new catalog, notices, ready files). Landing the ready files is ``land_ready``.
+    Returns (new catalog, notices, ready files); the ready files' rows are landed by ``ingest.land_files``.
     """
     from ..functions.headers import clean_headers
     from ..operators import align as al

@@ -20,7 +20,7 @@ from ..sinks import writers as wr
 from ..sources import files as fl
 from ..sources import fixtures as fx
 from ..sources.tables import Tables
-from .ingest import enriched_select, ingest, land_files
+from .ingest import enriched_select, ingest, ingest_checked, land_files
 from .registry import query
 
 _BATCH = "TIMESTAMP '2024-01-29 12:00:00'"
@@ -100,6 +100,39 @@ def align_intersect(spark, sf_dir):
     return _ingested(spark, sf_dir, columns=_INTERSECT).select(*_INGEST_COLS)
 
 
+_DAMAGED = """
+WITH l AS (SELECT o_orderkey AS k, o_orderkey//150 AS f, CASE WHEN (o_orderkey//150)%7=3 THEN 'new' ELSE 'id' END||(o_orderkey//150) AS fid,
+             email_address, coalesce(email_address, '')||','||o_orderkey AS two, '"'||coalesce(job_title, '')||', line"' AS title, job_title
+           FROM orders JOIN leads ON leads.uuid=o_orderkey),
+known AS (SELECT l.*, d.uuid AS fu FROM l LEFT JOIN drive_metadata d ON d.id=l.fid)"""
+
+
+def _damaged(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    root = derived_once(spark, sf_dir, "damaged", lambda: fx.write_damaged_files(spark, sf_dir, scratch_path(spark, "damaged")))
+    return ingest_checked(spark, None, t.drive_metadata, "leads", fx.BATCH_TS, files=fl.list_files(spark, root, "*.txt"))
+
+
+@query("ingest_ragged", _DAMAGED + """
+SELECT fu AS drive_metadata_uuid, CAST(k AS VARCHAR) AS zoominfo_contact_id, nullif(email_address, '') AS email_address,
+  CASE WHEN k%17<>0 THEN coalesce(job_title, '')||', line' END AS job_title
+FROM known WHERE fu IS NOT NULL AND (k%13<>0 OR k%17=0)""", ("leads", "drive_metadata"))
+def ingest_ragged(spark, sf_dir):
+    """S-6: of damaged files the records that fit the header; records with fewer cells are filled with NULL."""
+    return _damaged(spark, sf_dir)[0].select("drive_metadata_uuid", "zoominfo_contact_id", "email_address", "job_title")
+
+
+@query("ingest_quarantine", _DAMAGED + """
+SELECT fid AS file_id, 'more cells than the header' AS reason, two||','||title||',one more' AS record
+FROM known WHERE fu IS NOT NULL AND k%13=0 AND k%17<>0
+UNION ALL SELECT DISTINCT fid, 'file without a header', CAST(NULL AS VARCHAR) FROM known WHERE f%5=2 AND fu IS NOT NULL
+UNION ALL SELECT DISTINCT fid, 'file unknown to the catalog', NULL FROM known WHERE fu IS NULL
+UNION ALL SELECT DISTINCT fid, 'file unknown to the catalog', NULL FROM known WHERE fu IS NULL AND f%5=2""", ("leads", "drive_metadata"))
+def ingest_quarantine(spark, sf_dir):
+    """S-6 / S-7: what ingestion refuses, with the reason: ragged records, files without a header, unknown files."""
+    return _damaged(spark, sf_dir)[1].select("file_id", "reason", "record")
+
+
 def _land(spark, sf_dir, fresh: bool = True):
     """K-3: land every catalogued vendor file under file_type=<landing folder>/file_id=<id>."""
     t = Tables(spark, sf_dir)

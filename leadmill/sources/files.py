@@ -16,7 +16,7 @@ import io
 import json
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -25,6 +25,7 @@ from ..functions.scalar import last_path_segment
 from ..operators.align import na_to_null
 
 FILE_ID_PATTERN = r"file_id=([^/]+)"
+RECORD = "__record__"          # the text of a record whose number of cells is not the header's
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"', "mode": "PERMISSIVE"}
 
 
@@ -93,6 +94,16 @@ def sniff_headers(files: DataFrame) -> DataFrame:
     return files.select("path").mapInPandas(_sniff, "path string, header string")
 
 
+def quoted_newline_files(spark: SparkSession, paths: list[str]) -> set[str]:
+    """The files with a line break inside quotes: some line of theirs has an odd number of quotes. One scan of the
+    lines, which Spark splits as it likes; the driver gets the names of such files only."""
+    if not paths:
+        return set()
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"))
+    odd = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2 == 1
+    return {r.path for r in lines.where(odd).select("path").distinct().collect()}
+
+
 def pandas_names(header: list[str]) -> list[str]:
     """Duplicate headings get pandas' '.1', '.2' suffixes; blank headings 'Unnamed: i'."""
     seen: dict[str, int] = {}
@@ -108,40 +119,75 @@ def pandas_names(header: list[str]) -> list[str]:
     return out
 
 
+def _cells(record: Column) -> Column:
+    """Number of cells of a CSV record: its commas outside quotes, and one."""
+    plain = F.regexp_replace(record, r'"([^"]|"")*"', "")
+    return F.length(plain) - F.length(F.replace(plain, F.lit(","), F.lit(""))) + 1
+
+
 def read_header_groups(spark: SparkSession, files: DataFrame, clean: bool = True, na: bool = True,
-                       tag: bool = True, quoted_newlines: bool = True) -> list[DataFrame]:
-    """One all-text DataFrame per distinct header, columns cleaned (P-1) unless ``clean=False``,
+                       tag: bool = True, quoted_newlines: bool | None = None) -> list[DataFrame]:
+    """The groups of ``read_checked`` alone."""
+    return read_checked(spark, files, clean, na, tag, quoted_newlines)[0]
+
+
+def read_checked(spark: SparkSession, files: DataFrame, clean: bool = True, na: bool = True, tag: bool = True,
+                 quoted_newlines: bool | None = None) -> tuple[list[DataFrame], DataFrame]:
+    """(groups, quarantine). One all-text DataFrame per distinct header, columns cleaned (P-1) unless ``clean=False``,
     pandas missing markers nulled, plus ``file_id`` and ``path``. The driver receives one row
     pair (header, path) per file (file metadata only).
 
-    ``quoted_newlines=True`` (default, like pandas) accepts line breaks inside quoted fields; such
-    a CSV is read by one task per file. With ``False`` large files are split across tasks, for
-    sources known to have no quoted line breaks."""
+    ``quarantine`` (path, file_id, reason, record): records with more cells than the header (pandas stops at them; they
+    are in no group), and files without a header. Records with fewer cells are filled with NULL.
+
+    ``quoted_newlines``: ``None`` probes the files; those with line breaks inside quotes are read by one task each, all
+    others can be split. ``True`` / ``False`` say so for all files.
+    """
     # (header, path) pairs come straight from the sniffing tasks (no single task gathers a
     # group's paths); the driver keeps the path lists, as Spark's file index does anyway
     by_header: dict[str, list[str]] = {}
     for r in sniff_headers(files).collect():
         by_header.setdefault(r["header"], []).append(r["path"])
+    full = [p for h, paths in by_header.items() if json.loads(h)[0] for p in paths]
+    whole = set(full) if quoted_newlines else set() if quoted_newlines is False else quoted_newline_files(spark, full)
     out = []
+    empty = [(p,) for h, paths in by_header.items() if not json.loads(h)[0] for p in paths]
+    file_id = F.regexp_extract("path", FILE_ID_PATTERN, 1).alias("file_id")
+    bad = [spark.createDataFrame(empty, "path string").select(
+        "path", file_id, F.lit("file without a header").alias("reason"), F.lit(None).cast("string").alias("record"))]
     for header, paths in sorted(by_header.items()):
         names, blank_lines = json.loads(header)
         raw = pandas_names(names)
         if not raw:
             continue
-        schema = StructType([StructField(n, StringType(), True) for n in raw])
-        opts = dict(CSV_OPTIONS, multiLine="true" if quoted_newlines else "false")
-        df = spark.read.options(**opts).schema(schema).csv(sorted(paths))
-        if blank_lines:      # Spark drops a blank line as the header, so the header is still among the rows
-            df = df.where(~F.array(*[F.coalesce(F.col(f"`{n}`"), F.lit("")) for n in raw]).eqNullSafe(F.array(*map(F.lit, names))))
-        if clean:
-            df = df.toDF(*clean_names(raw))
-        if na:
-            df = na_to_null(df)
-        df = df.select("*", F.col("_metadata.file_path").alias("path"))
-        if tag:
-            df = df.withColumn("file_id", F.regexp_extract("path", FILE_ID_PATTERN, 1))
-        out.append(df)
-    return out
+        schema = StructType([StructField(n, StringType(), True) for n in [*raw, RECORD]])
+        for one_task in (True, False):
+            some = sorted(p for p in paths if (p in whole) == one_task)
+            if not some:
+                continue
+            opts = dict(CSV_OPTIONS, multiLine=str(one_task).lower(), columnNameOfCorruptRecord=RECORD)
+            df = spark.read.options(**opts).schema(schema).csv(some)
+            if blank_lines:      # Spark drops a blank line as the header, so the header is still among the rows
+                df = df.where(~F.array(*[F.coalesce(F.col(f"`{n}`"), F.lit("")) for n in raw]).eqNullSafe(F.array(*map(F.lit, names))))
+            df = df.select("*", F.col("_metadata.file_path").alias("__path__"))
+            ragged = F.col(RECORD).isNotNull() & (_cells(F.col(RECORD)) > len(raw))
+            # the reader counts a record's cells only if all columns are asked for, so the reason looks at them all
+            reason = F.when(F.concat_ws("", *[F.col(f"`{n}`") for n in raw]) == RECORD, F.lit("")).otherwise(F.lit("more cells than the header"))
+            bad.append(df.where(ragged).select(F.col("__path__").alias("path"), F.col(RECORD).alias("record"), reason.alias("reason"))
+                       .select("path", file_id, "reason", "record"))
+            df = df.where(~ragged).drop(RECORD)
+            if clean:
+                df = df.toDF(*clean_names(raw), "__path__")
+            if na:
+                df = na_to_null(df, [c for c in df.columns if c != "__path__"])
+            df = df.withColumnRenamed("__path__", "path")
+            if tag:
+                df = df.withColumn("file_id", F.regexp_extract("path", FILE_ID_PATTERN, 1))
+            out.append(df)
+    quarantine = bad[0]
+    for b in bad[1:]:
+        quarantine = quarantine.unionByName(b)
+    return out, quarantine
 
 
 def read_config(spark: SparkSession, path: str) -> DataFrame:

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType, TimestampType
 
-from ..session import path_exists
 from ..sources.files import FILE_ID_PATTERN
 
 BINARY_SCHEMA = StructType([StructField("path", StringType()), StructField("modificationTime", TimestampType()),
@@ -62,15 +61,25 @@ def run_available(spark: SparkSession, folder: str, checkpoint: str,
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    if not path_exists(spark, arrived):
+    batches = folder_numbers(spark, arrived, "batch")
+    runs = folder_numbers(spark, handled, "run", complete=True)
+    # a handled run names the last micro-batch that it took; earlier ones are never read again
+    last = spark.read.parquet(f"{handled}/run={runs[-1]}").first()[0] if runs else -1
+    new = [b for b in batches if b > last]
+    if not new:
         return 0
-    files, run = spark.read.parquet(arrived).select("path", "file_id").distinct(), 0
-    if path_exists(spark, handled):
-        done = spark.read.parquet(handled)
-        files = files.join(done.select("path"), "path", "left_anti")
-        run = int(done.agg(F.max("run")).first()[0]) + 1
+    files = spark.read.parquet(*[f"{arrived}/batch={b}" for b in new]).select("path", "file_id").distinct()
     if files.isEmpty():
         return 0
+    run = runs[-1] + 1 if runs else 0
     handler(files, run)
-    files.select("path").write.mode("overwrite").parquet(f"{handled}/run={run}")
+    spark.createDataFrame([(new[-1],)], "last_batch long").write.mode("overwrite").parquet(f"{handled}/run={run}")
     return 1
+
+
+def folder_numbers(spark: SparkSession, root: str, name: str, complete: bool = False) -> list[int]:
+    """The numbers n of the folders ``root/<name>=<n>``, in order; ``complete``: only those with ``_SUCCESS``."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}=*" + ("/_SUCCESS" if complete else ""))
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p) or []
+    names = [(s.getPath().getParent() if complete else s.getPath()).getName() for s in found]
+    return sorted(int(n[len(name) + 1:]) for n in names)

@@ -335,3 +335,21 @@ def test_files_without_fresh_leads_are_not_tracked(spark, sf_small):
     from leadmill.plans import jobs as pl
     rows = spark.createDataFrame([("f1", "a"), ("f2", "b")], "drive_metadata_uuid string, email_address string")
     assert [r["email_address"] for r in pl._sent_files(rows, rows.where(F.col("email_address") == "a")).collect()] == ["a"]
+
+
+def test_reader_reports_what_it_refuses(spark, tmp_path):
+    """S-6: ragged records, files without a header and line breaks in quotes; short records are filled."""
+    files = {"a": 'x,y\n1,2\n3,4,5\n6\n"q,1","a ""b"""\n', "b": "", "c": "\n \n", "d": 'x,y\n"two\nlines",1\n7,8,"9\n9"\n'}
+    for name, text in files.items():
+        (tmp_path / f"file_id={name}").mkdir()
+        (tmp_path / f"file_id={name}" / "part.csv").write_text(text)
+    from leadmill.sources import files as fl
+    listed = fl.list_files(spark, str(tmp_path))
+    paths = {r.path for r in listed.collect()}
+    assert {p.split("file_id=")[1][0] for p in fl.quoted_newline_files(spark, sorted(paths))} == {"d"}
+    groups, bad = fl.read_checked(spark, listed)
+    rows = {(r.file_id, r.x, r.y) for g in groups for r in g.collect()}
+    assert rows == {("a", "1", "2"), ("a", "6", None), ("a", "q,1", 'a "b"'), ("d", "two\nlines", "1")}
+    assert {(r.file_id, r.reason, r.record) for r in bad.collect()} == {
+        ("a", "more cells than the header", "3,4,5"), ("b", "file without a header", None), ("c", "file without a header", None),
+        ("d", "more cells than the header", '7,8,"9\n9"')}

@@ -80,9 +80,11 @@ def test_backlog_in_small_micro_batches_sends_each_email_once(spark, sf_small):
     whole = pl.State(spark, scratch_path(spark, "state")).init(catalog=catalog, tracking=tracking)
     run_available(spark, folder, whole.path("_ck"), lambda df, b: pl.lead_batch(whole, df, b, fx.BATCH_TS, t.customers))
     assert _sheet_rows(spark, s) == _sheet_rows(spark, whole)
-    for path in ("raw_leads", "tracking/snapshot=0000000000", "outbox/batch=0000000000", "catalog/snapshot=0000000000"):
-        a, b = (spark.read.parquet(x.path(path)) for x in (s, whole))
-        assert a.count() == b.count() and a.exceptAll(b.select(a.columns)).isEmpty(), path
+    reads = {"raw_leads": lambda x: x.raw_keyed("leads", "email_address").read(0), "tracking": lambda x: x.read("tracking", 0),
+             "outbox": lambda x: spark.read.parquet(x.path("outbox/batch=0000000000")), "catalog": lambda x: x.read("catalog", 0)}
+    for name, read in reads.items():
+        a, b = read(s), read(whole)
+        assert a.count() == b.count() and a.exceptAll(b.select(a.columns)).isEmpty(), name
     sheets = spark.read.options(**CSV).csv(s.path("sheets"))
     assert sheets.count() > 0
     assert sheets.groupBy("Email").count().where("count > 1").count() == 0     # each e-mail goes out once
