@@ -12,7 +12,7 @@ from ..functions.scalar import landing_folder
 from ..operators.align import align_fill, align_intersect, row_uuid, stamp
 from ..sinks.writers import land_csv
 from ..schemas import insert_columns
-from ..sources.files import list_files, read_checked, read_header_groups
+from ..sources.files import empty_files, list_files, read_checked, read_header_groups
 
 
 def file_uuids(catalog: DataFrame) -> DataFrame:
@@ -40,7 +40,9 @@ def ingest_checked(spark: SparkSession, root: str | None, catalog: DataFrame, ta
     ``quarantine`` (path, file_id, reason, record): ragged records and files without a header (``files.read_checked``),
     and files whose id the catalog does not know (one row each).
     """
-    files = files if files is not None else list_files(spark, root, "*.csv" if fmt == "csv" else "*.xlsx")
+    glob = "*.csv" if fmt == "csv" else "*.xlsx"
+    no_bytes = empty_files(spark, root, glob) if files is None else None
+    files = files if files is not None else list_files(spark, root, glob)
     if fmt == "xlsx":
         from ..sources.xlsx import read_rows, rows_by_header
         groups, bad = rows_by_header(spark, read_rows(spark, root)), None
@@ -50,6 +52,8 @@ def ingest_checked(spark: SparkSession, root: str | None, catalog: DataFrame, ta
     strange = files.select("path", "file_id").join(known.select("file_id"), "file_id", "left_anti").select(
         "path", "file_id", F.lit("file unknown to the catalog").alias("reason"), F.lit(None).cast("string").alias("record"))
     bad = strange if bad is None else bad.join(strange.select("path"), "path", "left_anti").unionByName(strange)
+    if no_bytes is not None:
+        bad = bad.unionByName(no_bytes.select("path", "file_id", F.lit("file without a header").alias("reason"), F.lit(None).cast("string").alias("record")))
     target = [c for c in insert_columns(table) if c not in ("drive_metadata_uuid", "created_at")]
     parts = []
     for g in groups:

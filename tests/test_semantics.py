@@ -351,5 +351,6 @@ def test_reader_reports_what_it_refuses(spark, tmp_path):
     rows = {(r.file_id, r.x, r.y) for g in groups for r in g.collect()}
     assert rows == {("a", "1", "2"), ("a", "6", None), ("a", "q,1", 'a "b"'), ("d", "two\nlines", "1")}
     assert {(r.file_id, r.reason, r.record) for r in bad.collect()} == {
-        ("a", "more cells than the header", "3,4,5"), ("b", "file without a header", None), ("c", "file without a header", None),
+        ("a", "more cells than the header", "3,4,5"), ("c", "file without a header", None),
         ("d", "more cells than the header", '7,8,"9\n9"')}
+    assert [r.file_id for r in fl.empty_files(spark, str(tmp_path)).collect()] == ["b"]
