@@ -95,9 +95,10 @@ class Phrases:
         return out & np.uint64((1 << self.bits) - 1) if which == 0 and self.bits < 64 else out
 
     def pointers(self, at: np.ndarray) -> np.ndarray:
-        """A number for each occurrence: hash of its document and its word's place there."""
+        """A number for each occurrence: 31 bits of a hash of its document and its word's place there. Occurrences of one phrase may
+        share a number; then each of them gives the same text."""
         text = self.words.text_of[at]
-        return mix(self.keys[text] + mix((at - self.words.first[text]).astype(np.uint64))) >> np.uint64(1)
+        return (mix(self.keys[text] + mix((at - self.words.first[text]).astype(np.uint64))) >> np.uint64(33)).astype(np.int32)
 
     def texts(self, at: np.ndarray, n: int) -> list[str]:
         data, starts, ends = self.words.data, self.words.starts, self.words.ends
@@ -167,16 +168,16 @@ def _point(bits: int, words, pairs, frequent):
                 at, keys = at[hit], keys[hit]
                 order = np.argsort(keys)
                 at, keys = at[order], keys[order]
-                check, pointer = p.hashes(at, size, 1).view(np.int64), p.pointers(at)
+                check, pointer = (p.hashes(at, size, 1) >> np.uint64(33)).astype(np.int32), p.pointers(at)
                 first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
                 yield pa.RecordBatch.from_arrays([
                     _long(keys[first]), pa.array(np.full(len(first), size, np.int32)), pa.array(np.diff(np.append(first, len(keys)))),
-                    _long(np.minimum.reduceat(pointer, first)), pa.array(np.minimum.reduceat(check, first)),
+                    pa.array(np.minimum.reduceat(pointer, first)), pa.array(np.minimum.reduceat(check, first)),
                     pa.array(np.maximum.reduceat(check, first))], ["fp", "size", "n", "pointer", "low", "high"])
     return run
 
 
-_FOUND = "fp long, size int, n long, pointer long, low long, high long"
+_FOUND = "fp long, size int, n long, pointer int, low int, high int"
 
 
 def _read_back(bits: int, words, pairs, named, unclear):
@@ -187,13 +188,13 @@ def _read_back(bits: int, words, pairs, named, unclear):
             for size in range(1, LONGEST + 1):
                 at = p.places(size, words.value, pairs.value)
                 keys, pointer = p.hashes(at, size), p.pointers(at)
-                hit = may_hold(named.value, keys ^ pointer)
+                hit = may_hold(named.value, keys ^ (pointer.astype(np.uint64) * np.uint64((1 << 32) + 1)))
                 if unclear is not None:
                     hit |= may_hold(unclear.value, keys)
                 at, keys, pointer = at[hit], keys[hit], pointer[hit]
                 langs = pa.array([p.lang_names[i] for i in p.lang_of[p.words.text_of[at]]], pa.string())
                 yield pa.RecordBatch.from_arrays(
-                    [_long(keys), pa.array(np.full(len(at), size, np.int32)), _long(pointer), langs, pa.array(p.texts(at, size), pa.string())],
+                    [_long(keys), pa.array(np.full(len(at), size, np.int32)), pa.array(pointer), langs, pa.array(p.texts(at, size), pa.string())],
                     ["fp", "size", "pointer", "lang", "phrase"])
     return run
 
@@ -224,9 +225,9 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, bits: int = 64) -> tup
         .where(F.col("n") >= least))
     clear = found.where("low = high")
     mixed_up = found.where("low <> high").select("fp", "size")
-    named = _filter(clear, F.col("fp").bitwiseXOR(F.col("pointer")))
+    named = _filter(clear, F.expr("fp ^ (shiftleft(cast(pointer as bigint), 32) | pointer)"))
     unclear = None if mixed_up.isEmpty() else _filter(mixed_up, F.col("fp"))
-    texts = settle(rows.mapInArrow(_read_back(bits, words, pairs, named, unclear), "fp long, size int, pointer long, lang string, phrase string"))
+    texts = settle(rows.mapInArrow(_read_back(bits, words, pairs, named, unclear), "fp long, size int, pointer int, lang string, phrase string"))
     one = clear.join(texts, ["fp", "size", "pointer"]).groupBy("fp", "size").agg(
         F.first("lang").alias("lang"), F.first("phrase").alias("phrase"), F.first("n").alias("f")).drop("fp", "size")
     if unclear is not None:
