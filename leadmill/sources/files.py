@@ -41,8 +41,9 @@ def list_files(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame
 def empty_files(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
     """(path, file_id) of the files of zero bytes below ``root``: Spark's readers, and so ``list_files``, leave them out."""
     found = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root))
-    names = spark.createDataFrame([(p,) for p in found.inputFiles()], "path string")       # file metadata, as Spark's index holds it
-    rest = names.join(found.select("path"), "path", "left_anti")
+    one = lambda c: F.regexp_replace(c, "^file:/+", "file:/")  # noqa: E731  (both spellings occur)
+    names = spark.createDataFrame([(p,) for p in found.inputFiles()], "path string").select(one("path").alias("path"))   # file metadata
+    rest = names.join(found.select(one("path").alias("path")), "path", "left_anti")
     return rest.select("path", F.regexp_extract("path", FILE_ID_PATTERN, 1).alias("file_id"))
 
 
