@@ -13,9 +13,10 @@
    the member that shares most buckets as its centre (the original of a group of copies shares more than
    a copy does), and every member is paired with it: as many pairs as members, never all pairs. After
    each round the classes of the links so far are computed, and buckets whose members are all in one class
-   are done. Members of the others meet a new centre, linked or not, in ``CENTRES`` rounds; what is
-   still open then is compared in pairs of blocks of ``BLOCK`` members, all pairs of unlike classes. So every
-   pair with an equal band is either compared or in one class.
+   are done. What is still open after ``CENTRES`` rounds is compared in pairs of blocks, all pairs of unlike classes.
+   Open buckets of one family hold much the same texts in many bands; those with one most shared member
+   are joined to a crowd, so that a pair meets once. A class that fills blocks has them for itself, and they do not
+   meet each other. So every pair with an equal band is either compared or in one class.
 5. Pairs are verified by exact weighted Jaccard similarity >= ``SIMILAR``; links form classes.
 """
 
@@ -40,8 +41,9 @@ IDF_GAIN = 0.1
 STEP = 0.05
 TRIPLES = 1 << 16
 TEXTS_AT_ONCE = 256
-CENTRES = 3             # rounds with one centre per bucket before the blocks
-BLOCK = 512             # members of a block
+CENTRES = 1             # rounds with one centre per bucket before the blocks
+BLOCK = 512             # units in a block
+UNIT = 1024             # shingles of a text that count as a unit
 COLUMNS = 8192          # shingles of a block's table at once
 
 
@@ -218,7 +220,7 @@ def _verify_blocks(block: pa.Table) -> pa.Table:
     """Links that join all classes of two blocks (or one) of a bucket: each pair of texts of unlike classes is compared,
     but for those that links found before have joined."""
     key = block.column("i")[0].as_py(), block.column("j")[0].as_py()
-    fps, p = block.column("fp").to_pylist(), block.column("p").to_numpy()
+    fps, p = block.column("fp").to_pylist(), block.column("block").to_numpy()
     _, part = np.unique(np.array([r.hex() for r in block.column("root").to_pylist()]), return_inverse=True)
     ids = [np.frombuffer(x, np.uint32) for x in block.column("ids").to_pylist()]
     lvs = [np.frombuffer(x, np.uint8) for x in block.column("lvs").to_pylist()]
@@ -253,6 +255,43 @@ def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
     return settle(components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links.select("a", "b"))))
 
 
+def _crowds(left: DataFrame) -> DataFrame:
+    """(crowd, fp, root): open buckets with one most shared member are one crowd, in which two texts meet once and not once
+    per band, if the crowd has no more pairs than its buckets together. Other buckets are crowds of their own."""
+    heads = left.groupBy("key").agg(F.min(F.struct("rank", "fp")).alias("h"), F.count(F.lit(1)).cast("double").alias("n"))
+    placed = settle(left.join(heads.select("key", F.col("h.fp").alias("head"), "n"), "key").select("key", "head", "n", "fp", "root"))
+    texts = placed.groupBy("head", "fp").agg(F.sum("n").alias("n"))         # summed over texts: the squares of the buckets
+    merge = texts.groupBy("head").agg((F.pow(F.count(F.lit(1)), F.lit(2.0)) <= F.sum("n")).alias("merge"))
+    crowd = F.when(F.col("merge"), F.xxhash64(F.lit("crowd"), "head")).otherwise(F.col("key"))
+    return placed.join(merge, "head").select(crowd.alias("crowd"), "fp", "root").distinct()
+
+
+def _in_blocks(crowds: DataFrame, vectors: DataFrame) -> DataFrame:
+    """(crowd, block, fp, root): the members of a crowd dealt to blocks of about ``BLOCK`` units, of ``UNIT`` shingles
+    each. A class that fills a block has blocks of its own, since its members need not meet; the other classes
+    share blocks, each whole in one."""
+    units = vectors.select("fp", F.expr(f"ceil(octet_length(ids) / {4 * UNIT})").alias("units"))
+    members = settle(crowds.join(units, "fp"))
+    classes = members.groupBy("crowd", "root").agg(F.sum("units").alias("units"))
+    large = classes.where(F.col("units") >= BLOCK).select("crowd", "root", F.ceil(F.col("units") / BLOCK).alias("parts"))
+    small = classes.where(F.col("units") < BLOCK).groupBy("crowd").agg(F.ceil(F.sum("units") / BLOCK).alias("shared"))
+    dealt = members.join(large, ["crowd", "root"], "left").join(small, "crowd", "left")
+    block = F.when(F.col("parts").isNull(), F.xxhash64(F.lit("shared"), F.expr("pmod(xxhash64(root, crowd), shared)"))).otherwise(
+        F.xxhash64("root", F.expr("pmod(xxhash64(fp, crowd), parts)")))
+    return settle(dealt.select("crowd", block.alias("block"), "fp", "root"))
+
+
+def _block_pairs(members: DataFrame) -> DataFrame:
+    """(crowd, i, j, block, fp, root): the members of all pairs of blocks of a crowd that hold unlike classes."""
+    blocks = members.groupBy("crowd", "block").agg(F.min("root").alias("x"), F.max("root").alias("y"))
+    a = blocks.select("crowd", F.col("block").alias("i"), F.col("x").alias("i_x"), F.col("y").alias("i_y"))
+    b = blocks.select("crowd", F.col("block").alias("j"), F.col("x").alias("j_x"), F.col("y").alias("j_y"))
+    unlike = F.least("i_x", "j_x") < F.greatest("i_y", "j_y")
+    pairs = a.join(b, "crowd").where((F.col("i") <= F.col("j")) & unlike).select("crowd", "i", "j")
+    sides = pairs.withColumn("block", F.explode(F.array_distinct(F.array("i", "j"))))
+    return sides.join(members, ["crowd", "block"])
+
+
 def near_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(texts, roots): the distinct texts as (fp, rep: smallest doc_id), and (node, root) for each text that is linked
     to another, by verified links; root is one text of its class."""
@@ -290,14 +329,8 @@ def near_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         roots = _joined(roots, sims)
         left = _open_buckets(met.select("fp", "key", "rank"), roots)      # a centre has met all others of its bucket
     if not left.isEmpty():
-        parts = left.groupBy("key").agg(F.expr(f"cast(ceil(count(1) / {BLOCK}) as int)").alias("parts"))
-        places = left.join(parts, "key").select(
-            "key", "fp", "root", F.expr("cast(pmod(xxhash64(fp, key), parts) as int)").alias("p"),
-            F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("q"))
-        places = places.select("key", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "p", "fp", "root")
-        several = places.groupBy("key", "i", "j").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
-        places = places.join(several.select("key", "i", "j"), ["key", "i", "j"])
-        found = places.join(vectors, "fp").groupBy("key", "i", "j").applyInArrow(_verify_blocks, "a binary, b binary, sim double")
+        places = _block_pairs(_in_blocks(_crowds(left), vectors))
+        found = places.join(vectors, "fp").groupBy("crowd", "i", "j").applyInArrow(_verify_blocks, "a binary, b binary, sim double")
         roots = _joined(roots, found)
     return texts.select("fp", "rep"), roots
 
