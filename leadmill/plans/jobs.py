@@ -34,7 +34,8 @@ from ..operators.joins import anti, semi
 from ..schemas import CATALOG_NULL_ON_INSERT, ENRICHED_DATA_COLUMNS, insert_columns
 from ..sinks import writers as wr
 from ..sinks.keyed_table import KeyedTable
-from .ingest import ingest_checked
+from ..sources import files as fl
+from .ingest import ingest_checked, land_files
 
 QUICK_MAIL_BOOK = "Quick Mail Output - "
 CITY_BOOK = "City Search Output - "
@@ -245,7 +246,7 @@ def sync(listing: DataFrame, nodes: DataFrame, catalog: DataFrame, config: DataF
     derived from parent folders (P-15, U-2), config applied (U-1), missing-config notices
     produced (F-1, K-8) and flagged (D-1); the files first seen in this run and ready (F-2).
 
-    Returns (new catalog, notices, ready files); the ready files' rows are landed by ``ingest.land_files``.
+    Returns (new catalog, notices, ready files). ``timer_run`` is the whole run, with the landing of the ready files.
     """
     from ..functions.headers import clean_headers
     from ..operators import align as al
@@ -264,3 +265,34 @@ def sync(listing: DataFrame, nodes: DataFrame, catalog: DataFrame, config: DataF
     c = cat.mark_posted(c)
     ready = cat.ready_files(c, new.select("id"))
     return c, notices, ready
+
+
+def timer_run(state: State, listing: DataFrame, nodes: DataFrame, config: DataFrame, files: DataFrame, run: int,
+              batch_ts: dt.datetime, workbooks: str | None = None) -> None:
+    """R-1 whole: ``sync``, its notices, and the ready files' rows landed from the drive folder (``files``: path, file_id of
+    its CSV files; ``workbooks``: folder of its workbooks, which are all opened).
+
+    The listing and the config sheet are written down first, so that all outputs come from one state of them. Outputs:
+    ``notices/batch=<run>`` (uuid, text), ``ready/batch=<run>``, ``absent/batch=<run>`` (ready files of which no row landed)
+    and ``landing`` by file. The catalog's version ``run`` is written last and publishes the run: a run that failed
+    before is repeated under its number, finds the same new files and replaces its own outputs. Only buckets
+    with changed rows are written.
+    """
+    listing, config = state.once(listing, "listing", run), state.once(config, "config", run)
+    table = state.keyed("catalog")
+    old = table.before(run)
+    catalog, notices, ready = sync(listing, nodes, old, config, batch_ts)
+    state.once(notices, "notices", run)
+    ready = state.once(ready.select("id", "uuid", "name", "file_type"), "ready", run)
+    ids = ready.select(F.col("id").alias("_ready"))
+    landing = land_files(state.spark, semi(files, ids, F.col("file_id") == F.col("_ready")), ready, nodes, state.path("landing"),
+                         workbooks=workbooks)
+    absent = ready
+    if path_exists(state.spark, landing):
+        landed = fl.list_files(state.spark, landing).select(F.col("file_id").alias("_landed")).distinct()
+        absent = anti(ready, landed, F.col("id") == F.col("_landed"))
+    state.once(absent, "absent", run)
+    cols = old.columns
+    changed = catalog.select(cols).exceptAll(old).select("id").distinct()
+    touched = table.before(run, table.buckets_of(changed, "id", run)).select("id").union(changed)
+    state.write(semi(catalog.select(cols), touched.select(F.col("id").alias("_t")), F.col("id") == F.col("_t")), "catalog", run)

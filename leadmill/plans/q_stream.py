@@ -15,8 +15,11 @@ from ..sources import fixtures as fx
 from ..sources.tables import Tables
 from ..streaming.file_stream import run_available
 from . import jobs as pl
+from .ingest import ingest
+from .q_ingest import _INGEST_COLS, _ingest_sql, _vendor_root, _xlsx_root
 from .registry import query
-from .stream_sql import stream_city_sql, stream_enriched_sql, sync_sql, tracking_after
+from .stream_sql import (stream_city_sql, stream_enriched_sql, sync_sql, timer_catalog_sql, timer_landed_sql,
+                         timer_notices_sql, tracking_after)
 
 CSV_READ = {"header": "true", "multiLine": "true", "escape": '"'}
 
@@ -153,8 +156,38 @@ def stream_enriched_tracking(spark, sf_dir):
 
 @query("timer_sync", sync_sql())
 def timer_sync(spark, sf_dir):
-    """R-1: listing -> catalog append, file types, config, notices; ready files landed."""
+    """R-1: listing -> catalog append, file types, config, flags, on a filled catalog."""
     t = Tables(spark, sf_dir)
     catalog, notices, ready = pl.sync(fx.listing_records(spark, sf_dir, id_shift=5), t.nodes, t.drive_metadata,
                                       t.config_sheet, fx.BATCH_TS)
     return catalog.select("uuid", "id", "name", "file_type", "config_file_uuid", "has_posted_on_slack")
+
+
+def _run_timer(spark, sf_dir) -> pl.State:
+    """The first run: the catalog is empty, so every listed file is new and every ready one lands."""
+    t = Tables(spark, sf_dir)
+    state = pl.State(spark, scratch_path(spark, "timer")).init(catalog=t.drive_metadata.limit(0))
+    pl.timer_run(state, fx.listing_records(spark, sf_dir), t.nodes, t.config_sheet, fl.list_files(spark, _vendor_root(spark, sf_dir)),
+                 0, fx.BATCH_TS, workbooks=_xlsx_root(spark, sf_dir))
+    return state
+
+
+@query("timer_catalog", timer_catalog_sql())
+def timer_catalog(spark, sf_dir):
+    """R-1 whole: the catalog that the run publishes."""
+    return _run_timer(spark, sf_dir).read("catalog", 0).select(
+        "uuid", "id", "name", "file_type", "config_file_uuid", "has_posted_on_slack", "lastmodifyinguser_displayname", "parents",
+        "created_at")
+
+
+@query("timer_notices", timer_notices_sql())
+def timer_notices(spark, sf_dir):
+    """R-1 whole: the notices of files without a config."""
+    return spark.read.parquet(_run_timer(spark, sf_dir).path("notices")).select("uuid", "text")
+
+
+@query("timer_landed", timer_landed_sql(_ingest_sql()))
+def timer_landed(spark, sf_dir):
+    """R-1 whole: the rows of the files that the run landed, read back."""
+    state = _run_timer(spark, sf_dir)
+    return ingest(spark, state.path("landing"), state.read("catalog", 0), "leads", fx.BATCH_TS).select(*_INGEST_COLS)

@@ -37,6 +37,41 @@ FROM c2"""
     return with_views(sql, "drive_metadata", "nodes", "config_sheet")
 
 
+# The catalog that the first run leaves where there was none: all suppliers' files are new.
+_FIRST_RUN = f"""
+WITH listed AS (SELECT s_suppkey AS k, 'id'||s_suppkey AS id, s_name||{_EXT} AS name, 'n'||s_nationkey AS parent FROM supplier),
+typed AS (SELECT l.k, l.id, l.name, l.parent, {sql_det_uuid("'file'", "l.id")} AS uuid,
+            CASE replace(lower(trim(f.name)),' ','_') WHEN 'data_drop' THEN 'zi_search' WHEN 'zi_search' THEN 'zi_search'
+              WHEN 'city_search' THEN 'city_search' END AS file_type
+          FROM listed l LEFT JOIN nodes f ON f.id=l.parent AND f.kind='folder'),
+c AS (SELECT t.*, CASE WHEN s.filename IS NOT NULL THEN {sql_det_uuid("'config'", "t.uuid", "s.filename")} END AS config_file_uuid
+      FROM typed t LEFT JOIN config_sheet s ON s.filename=t.name),
+ready AS (SELECT * FROM c WHERE config_file_uuid IS NOT NULL OR file_type='city_search')"""
+
+
+def timer_catalog_sql() -> str:
+    """R-1 on an empty catalog: the catalog's columns that the run fills."""
+    return with_views(_FIRST_RUN + """
+SELECT uuid, id, name, file_type, config_file_uuid, CASE WHEN config_file_uuid IS NULL THEN true END AS has_posted_on_slack,
+  'user'||(k%4) AS lastmodifyinguser_displayname, '['||chr(39)||parent||chr(39)||']' AS parents,
+  TIMESTAMP '2024-01-29 12:00:00' AS created_at
+FROM c""", "nodes", "config_sheet")
+
+
+def timer_notices_sql() -> str:
+    return with_views(_FIRST_RUN + """
+SELECT uuid, chr(10)||'Missing Config File: '||name||chr(10)||'Created At: 2024-01-29 12:00:00'||chr(10)||'Last Modified By: user'
+  ||(k%4)||chr(10)||'file_type: '||file_type||chr(10)||'Please update this file so an output file can be created.'||chr(10) AS text
+FROM c WHERE config_file_uuid IS NULL AND file_type<>'city_search'""", "nodes", "config_sheet")
+
+
+def timer_landed_sql(ingest_sql: str) -> str:
+    """``ingest_sql``: the rows of all vendor files with their ``file_id``; those of the ready files have landed."""
+    return with_views(_FIRST_RUN + f"""
+SELECT r.* EXCLUDE (drive_metadata_uuid), ready.uuid AS drive_metadata_uuid
+FROM ({ingest_sql}) r JOIN ready ON ready.id=r.file_id""", "drive_metadata", "nodes", "config_sheet")
+
+
 def tracking_after(ctes: str, email: str, key: str, new_key: tuple[str, ...]) -> str:
     """Tracking rows after a run, from the CTEs ``raw`` (all rows) and ``e`` (ranked): old rows, a 'posted' row
     for each untracked row of a file that sent something, and customers marked among them."""
