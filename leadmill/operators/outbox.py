@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values (must equal the reference's): message templates, line by line.
@@ -36,17 +36,18 @@ def missing_config_messages(missing: DataFrame, link: str = "") -> DataFrame:
                                                   _text(F.col("file_type"))).alias("text"))
 
 
-def metrics_messages(metrics: DataFrame, sheet_name: str = "", sheet_url: str = "", by_file: bool = True) -> DataFrame:
+def metrics_messages(metrics: DataFrame, sheet_name: Column | None = None, sheet_url: Column | None = None,
+                     by_file: bool = True) -> DataFrame:
     """A-6 + K-8: the first metrics row per name (by ``created_at``, NULL names dropped, as
     pandas ``groupby`` does). ``by_file=True`` groups by file uuid too, so two files with one
-    name get two messages (Q10)."""
+    name get two messages (Q10). ``sheet_name`` and ``sheet_url`` (over ``name``) add the spreadsheet's line."""
     keys = ["name", "drive_metadata_uuid"] if by_file else ["name"]
     first = metrics.where(F.col("name").isNotNull()).groupBy(*keys).agg(
         F.min_by(F.struct("number_of_posted_leads", "number_of_shopify_customers"), F.col("created_at")).alias("_m"))
     body = F.format_string("\n" + "\n".join(METRICS_LINES) + "\n", F.col("name"), _text(F.col("_m.number_of_posted_leads")),
                            _text(F.col("_m.number_of_shopify_customers")))
-    if sheet_name:
-        body = F.concat(body, F.lit("\n" + SPREADSHEET_LINE % (sheet_url, sheet_name)))
+    if sheet_name is not None:
+        body = F.concat(body, F.format_string("\n" + SPREADSHEET_LINE, sheet_url, sheet_name))
     return first.select(*keys, body.alias("text"))
 
 

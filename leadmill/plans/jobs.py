@@ -176,9 +176,10 @@ def _finish(state: State, raw: KeyedTable | None, catalog: DataFrame, files: Dat
 
 
 def city_batch(state: State, files: DataFrame, batch_id: int, batch_ts: dt.datetime,
-               franchise_source: DataFrame | None = None) -> None:
+               franchise_source: DataFrame | None = None, owner: str = "sales-owner", links: str = "sheets/") -> None:
     """R-3 body: franchises upserted first (U-3); raw rows appended only for unprocessed files
-    (P-5 with the table's columns); the output sheets are always recomputed (J-16)."""
+    (P-5 with the table's columns); the output sheets are always recomputed (J-16); one notice
+    to ``owner`` for each written sheet, whose link is ``links`` + book / sheet."""
     catalog = state.read("catalog", batch_id - 1)         # J-12 compares with the files of the whole history
     touched = _catalog_of(state, files, batch_id)
     franchises = state.read("franchises", batch_id - 1)
@@ -201,12 +202,16 @@ def city_batch(state: State, files: DataFrame, batch_id: int, batch_ts: dt.datet
     book = F.concat(F.lit(CITY_BOOK), X.week_label(X.ntz(batch_ts)))
     for part in (franchise_part, other_part):
         wr.sheet_output(part.withColumn("book", book), state.path("sheets"))
+    written = franchise_part.select("file_id", "sheet").union(other_part.select("file_id", "sheet")).distinct()
+    written = written.select("file_id", F.concat(F.lit(links), book, F.lit("/"), "sheet").alias("link"), F.col("sheet").alias("sheet_name"))
+    ob.sheet_ready_messages(written, owner).write.mode("overwrite").parquet(state.path(f"outbox/batch={batch_id:010d}"))
     _finish(state, None, touched, files, batch_id)
 
 
-def enriched_batch(state: State, files: DataFrame, batch_id: int, batch_ts: dt.datetime, customers: DataFrame) -> None:
+def enriched_batch(state: State, files: DataFrame, batch_id: int, batch_ts: dt.datetime, customers: DataFrame,
+                   links: str = "sheets/") -> None:
     """R-4 body: strict column selection (P-12), append, W-2 for the batch's files, output frame
-    split into personal / generic sheets (F-9), T-2, U-5, A-2, notices."""
+    split into personal / generic sheets (F-9), T-2, U-5, A-2, notices with the link to the book (``links`` + book)."""
     catalog = _catalog_of(state, files, batch_id)
     todo = _unprocessed(files, catalog)
     email = F.coalesce(F.col("main_point_of_contact_email"), F.col("generic_contact_email"))
@@ -236,7 +241,8 @@ def enriched_batch(state: State, files: DataFrame, batch_id: int, batch_ts: dt.d
     t2 = cy.city_track_customers(batch_rows, customers, t1, batch_ts)
     state.write(t2, "tracking", batch_id)
     metrics = cy.city_metrics(known.written(batch_id), batch_rows, catalog)
-    ob.metrics_messages(metrics).write.mode("overwrite").parquet(state.path(f"outbox/batch={batch_id:010d}"))
+    notices = ob.metrics_messages(metrics, F.concat(book, F.lit(" - "), F.col("name")), F.concat(F.lit(links), book))
+    notices.write.mode("overwrite").parquet(state.path(f"outbox/batch={batch_id:010d}"))
     _finish(state, raw, catalog, files, batch_id)
 
 

@@ -18,8 +18,8 @@ from . import jobs as pl
 from .ingest import ingest
 from .q_ingest import _INGEST_COLS, _ingest_sql, _vendor_root, _xlsx_root
 from .registry import query
-from .stream_sql import (stream_city_sql, stream_enriched_sql, sync_sql, timer_catalog_sql, timer_landed_sql,
-                         timer_notices_sql, tracking_after)
+from .stream_sql import (outbox_after, stream_city_outbox_sql, stream_city_sql, stream_enriched_outbox_sql, stream_enriched_sql,
+                         sync_sql, timer_catalog_sql, timer_landed_sql, timer_notices_sql, tracking_after)
 
 CSV_READ = {"header": "true", "multiLine": "true", "escape": '"'}
 
@@ -116,9 +116,13 @@ def stream_leads_tracking(spark, sf_dir):
     return _run_leads(spark, sf_dir).read("tracking", 0).select("uuid", "lead_uuid", "status", "email_address")
 
 
-@query("stream_city", stream_city_sql())
-def stream_city(spark, sf_dir):
-    """R-3: city-search listing files; franchises upserted first, sheets always recomputed."""
+@query("stream_leads_outbox", outbox_after(_stream_leads_sql(tracking=True), "lead_uuid"))
+def stream_leads_outbox(spark, sf_dir):
+    """A-1 and K-8 of the lead stream: the notices it leaves."""
+    return spark.read.parquet(_run_leads(spark, sf_dir).path("outbox")).select("name", "drive_metadata_uuid", "text")
+
+
+def _run_city(spark, sf_dir) -> pl.State:
     t = Tables(spark, sf_dir)
     from .q_ingest import derived_once
     root = derived_once(spark, sf_dir, "city_files",
@@ -127,7 +131,19 @@ def stream_city(spark, sf_dir):
     source = t.franchise_list
     run_available(spark, root, state.path("_checkpoint"),
                   lambda df, bid: pl.city_batch(state, df, bid, fx.BATCH_TS, source))
-    return _sheets(spark, state)
+    return state
+
+
+@query("stream_city", stream_city_sql())
+def stream_city(spark, sf_dir):
+    """R-3: city-search listing files; franchises upserted first, sheets always recomputed."""
+    return _sheets(spark, _run_city(spark, sf_dir))
+
+
+@query("stream_city_outbox", stream_city_outbox_sql())
+def stream_city_outbox(spark, sf_dir):
+    """K-8 of the city stream: one notice for each written sheet."""
+    return spark.read.parquet(_run_city(spark, sf_dir).path("outbox")).select("file_id", "link", "sheet_name", "text")
 
 
 def _run_enriched(spark, sf_dir) -> pl.State:
@@ -154,6 +170,12 @@ def stream_enriched_tracking(spark, sf_dir):
     return _run_enriched(spark, sf_dir).read("tracking", 0).select("uuid", "city_search_lead_uuid", "status", "email_address")
 
 
+@query("stream_enriched_outbox", stream_enriched_outbox_sql())
+def stream_enriched_outbox(spark, sf_dir):
+    """A-2 and K-8 of the enriched stream: the notices it leaves, with the book's link."""
+    return spark.read.parquet(_run_enriched(spark, sf_dir).path("outbox")).select("name", "drive_metadata_uuid", "text")
+
+
 @query("timer_sync", sync_sql())
 def timer_sync(spark, sf_dir):
     """R-1: listing -> catalog append, file types, config, flags, on a filled catalog."""

@@ -88,6 +88,19 @@ SELECT uuid, {key}, CASE WHEN status='posted' AND {key} IN (SELECT uuid FROM hit
   email_address FROM t"""
 
 
+def outbox_after(tracking_sql: str, key: str, line: str = "''") -> str:
+    """Notices after a run, from the SQL of its tracking rows: posted leads and customers by file, and ``line``."""
+    at = tracking_sql.rindex("SELECT uuid, " + key)
+    return f"""{tracking_sql[:at].rstrip()},
+after AS ({tracking_sql[at:]}),
+m AS (SELECT r.drive_metadata_uuid AS f, count(*) FILTER (WHERE a.status='posted') AS p,
+        count(*) FILTER (WHERE a.status='shopify_customer') AS s
+      FROM after a JOIN r ON r.uuid=a.{key} GROUP BY 1)
+SELECT d.name, m.f AS drive_metadata_uuid, chr(10)||d.name||':'||chr(10)||'Number of Leads: '||m.p||chr(10)
+  ||'Number of Shopify Customers: '||m.s||chr(10)||{line} AS text
+FROM m JOIN drive_metadata d ON d.uuid=m.f"""
+
+
 def stream_enriched_sql(tracking: bool = False) -> str:
     """R-4: enriched files (every catalogued file), raw rows with content uuids; latest contact
     per coalesced e-mail on the fixture tracking; personal and generic sheets."""
@@ -171,3 +184,17 @@ UNION ALL
 SELECT uuid, NULL, NULL, type, {blanks}, {tail}, substring(file_name,1,30)||'_non_franchise'
 FROM s WHERE franchise_name IS NULL"""
     return with_views(sql, "drive_metadata", "city_search", "city_search_franchises", "franchise_list")
+
+
+def stream_enriched_outbox_sql() -> str:
+    """R-4: one notice for each file that sent something, with the link to the book."""
+    return outbox_after(stream_enriched_sql(tracking=True), "city_search_lead_uuid",
+                        "chr(10)||'Spreadsheet: <sheets/Quick Mail Output - Week 5|Quick Mail Output - Week 5 - '||d.name||'>'")
+
+
+def stream_city_outbox_sql() -> str:
+    """R-3: one notice for each sheet with rows."""
+    return f"""
+SELECT DISTINCT file_id, 'sheets/'||book||'/'||sheet AS link, sheet AS sheet_name,
+  'Hi <@sales-owner>, <sheets/'||book||'/'||sheet||'|City Search - '||sheet||' is ready to be dispersed.>' AS text
+FROM ({stream_city_sql()}) written"""
