@@ -37,15 +37,17 @@ def ingest_checked(spark: SparkSession, root: str | None, catalog: DataFrame, ta
     ``required``: columns every file must have after cleaning (P-12's strict selection).
     ``fmt='xlsx'``: the files are workbooks (S-8), read with ``sources.xlsx``.
 
-    ``quarantine`` (path, file_id, reason, record): ragged records and files without a header (``files.read_checked``),
+    ``quarantine`` (path, file_id, reason, record): ragged records and files without a header (``files.read_checked``,
+    ``xlsx.refused_rows``),
     and files whose id the catalog does not know (one row each).
     """
     glob = "*.csv" if fmt == "csv" else "*.xlsx"
     no_bytes = empty_files(spark, root, glob) if files is None else None
     files = files if files is not None else list_files(spark, root, glob)
     if fmt == "xlsx":
-        from ..sources.xlsx import read_rows, rows_by_header
-        groups, bad = rows_by_header(spark, read_rows(spark, root)), None
+        from ..sources.xlsx import read_rows, refused_rows, rows_by_header
+        cells = read_rows(spark, root)
+        groups, bad = rows_by_header(spark, cells), refused_rows(cells)
     else:
         groups, bad = read_checked(spark, files)
     known = file_uuids(catalog)

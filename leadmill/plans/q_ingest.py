@@ -399,3 +399,21 @@ def ingest_xlsx(spark, sf_dir):
     """S-8: the .xlsx lead files as workbooks, read one task per workbook, loaded like CSV."""
     t = Tables(spark, sf_dir)
     return ingest(spark, _xlsx_root(spark, sf_dir), t.drive_metadata, "leads", fx.BATCH_TS, fmt="xlsx").select(*_INGEST_COLS)
+
+
+@query("ingest_xlsx_typed", """
+WITH o AS (SELECT o_orderkey AS k, 'id'||(o_orderkey//150) AS file_id, o_orderdate,
+             TIMESTAMP '2000-01-01 00:00:00' + INTERVAL 1 SECOND * (o_orderkey%86400) AS clock, o_orderkey%100 AS hours FROM orders)
+SELECT file_id, CAST(k AS VARCHAR) AS zoominfo_contact_id,
+  CASE WHEN k%9<>0 THEN strftime(o_orderdate, '%Y-%m-%d')||strftime(clock, ' %H:%M:%S') END AS ordered,
+  strftime(clock, '%H:%M:%S') AS called,
+  CASE WHEN hours<24 THEN '' WHEN hours<48 THEN '1 day, ' ELSE (hours//24)||' days, ' END||(hours%24)||':00:00' AS talked,
+  CASE WHEN k%2=1 THEN 'True' ELSE 'False' END AS subscribed, CAST(NULL AS VARCHAR) AS score,
+  CASE WHEN k%4=0 THEN CAST(k%1000//4 AS VARCHAR) ELSE CAST(CAST(k%1000 AS DOUBLE)/4 AS VARCHAR) END AS price
+FROM o""")
+def ingest_xlsx_typed(spark, sf_dir):
+    """S-8: typed cells as text: dates in both date systems, times, elapsed times, booleans, errors (missing), numbers."""
+    from ..sources.xlsx import read_rows, rows_by_header
+    root = derived_once(spark, sf_dir, "typed", lambda: fx.write_typed_workbooks(spark, sf_dir, scratch_path(spark, "typed")))
+    (rows,) = rows_by_header(spark, read_rows(spark, root))
+    return rows.drop("path")

@@ -367,6 +367,29 @@ def write_vendor_workbooks(spark: SparkSession, sf_dir: str, root: str) -> str:
     return root
 
 
+TYPED_KINDS = {"Ordered": "date", "Called": "time", "Talked": "elapsed", "Subscribed": "boolean", "Score": "error", "Price": "number"}
+SERIAL_EPOCH = {False: "1899-12-30", True: "1904-01-01"}     # day 0 of the two date systems of workbooks
+
+
+def write_typed_workbooks(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """All orders as workbooks ``root/<system>/file_id=<id>/`` with typed cells: date and time serials, elapsed times,
+    booleans, errors, numbers; files with an odd number count their days from 1904. Returns ``root``."""
+    from .xlsx import write_workbooks
+    o = _t(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    fno = F.floor(k / LEADS_PER_FILE)
+    for date1904, epoch in SERIAL_EPOCH.items():
+        days = F.datediff(F.col("o_orderdate"), F.lit(epoch).cast("date"))
+        second = k % 86400 / F.lit(86400.0)
+        rows = o.where(fno % 2 == int(date1904)).select(
+            _s("id", fno).alias("file_id"), k.cast("string").alias("ZoomInfo Contact ID"),
+            F.when(k % 9 != 0, (days + second).cast("string")).alias("Ordered"), second.cast("string").alias("Called"),
+            (k % 100 / F.lit(24.0)).cast("string").alias("Talked"), (k % 2).cast("string").alias("Subscribed"),
+            F.when(k % 3 == 0, F.lit("#DIV/0!")).alias("Score"), (k % 1000 / F.lit(4.0)).cast("string").alias("Price"))
+        write_workbooks(rows, f"{root}/{'1904' if date1904 else '1900'}", kinds=TYPED_KINDS, date1904=date1904).count()
+    return root
+
+
 # City-search listings and enriched contacts as vendor files. Headings as the scraping and
 # enrichment tools export them; they clean (P-1) to the stored table's names.
 CITY_HEADINGS = [("type", "type"), ("phone", "phone"), ("title", "title"), ("dataId", "dataid"),
