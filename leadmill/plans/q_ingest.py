@@ -6,6 +6,8 @@ folder below the shared work folder, then run the operator on them.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
 from ..functions import scalar as X
@@ -17,9 +19,12 @@ from ..operators import listing as ls
 from ..schemas import CATALOG_NULL_ON_INSERT, ENRICHED_DATA_COLUMNS, insert_columns
 from ..session import scratch_path
 from ..sinks import writers as wr
+from ..sinks.archive import not_processed
+from ..sinks.sheets import Sheets
 from ..sources import files as fl
 from ..sources import fixtures as fx
 from ..sources.tables import Tables
+from ..streaming.file_stream import run_available
 from .ingest import enriched_select, ingest, ingest_checked, land_files
 from .registry import query
 
@@ -384,7 +389,7 @@ LEFT JOIN (SELECT parent, min(id) AS pid FROM nodes WHERE kind='folder' AND name
 WHERE f.kind='file' AND d.has_been_processed""", ("nodes", "drive_metadata"))
 def archive(spark, sf_dir):
     """K-6: processed files and the sibling 'Processed' folder they move to (to be created when
-    absent). In streams the file source's ``cleanSource=archive`` moves them."""
+    absent). ``archive_moved`` is the move itself."""
     t = Tables(spark, sf_dir)
     done = t.drive_metadata.where(F.col("has_been_processed")).select(F.col("id").alias("_id"))
     files = t.nodes.where(F.col("kind") == "file").join(done, F.col("id") == F.col("_id")).select("id", "parent")
@@ -417,3 +422,48 @@ def ingest_xlsx_typed(spark, sf_dir):
     root = derived_once(spark, sf_dir, "typed", lambda: fx.write_typed_workbooks(spark, sf_dir, scratch_path(spark, "typed")))
     (rows,) = rows_by_header(spark, read_rows(spark, root))
     return rows.drop("path")
+
+
+@query("archive_moved", """
+SELECT 'id'||(o_orderkey//150) AS file_id, false AS at_source, 2*count(*) AS rows_archived
+FROM orders JOIN drive_metadata d ON d.id='id'||(o_orderkey//150) WHERE d.name LIKE '%.csv' GROUP BY 1""", ("drive_metadata",))
+def archive_moved(spark, sf_dir):
+    """K-6: two streams' runs over arriving lead files, each of which moves its files to ``Processed``; what is found at the
+    source and at the target afterwards."""
+    root, state = scratch_path(spark, "arriving"), scratch_path(spark, "archive_state")
+    for _ in range(2):                              # the second time under new file names
+        fx.write_vendor_files(spark, sf_dir, root)
+        run_available(spark, root, f"{state}/checkpoint", lambda files, run: files.write.parquet(f"{state}/files/run={run}"), archive=True)
+    found = fl.list_files(spark, root)
+    left = found.where(not_processed(F.col("path"))).select(F.col("file_id").alias("_left")).distinct()
+    groups = fl.read_header_groups(spark, found.where(~not_processed(F.col("path"))))
+    counts = [g.groupBy("file_id").agg(F.count(F.lit(1)).alias("n")) for g in groups]
+    rows = functools.reduce(lambda a, b: a.unionByName(b), counts).groupBy("file_id").agg(F.sum("n").alias("rows_archived"))
+    return rows.join(left, F.col("file_id") == F.col("_left"), "left").select(
+        "file_id", F.col("_left").isNotNull().alias("at_source"), "rows_archived")
+
+
+_SHEET_RUNS = {"F": 0, "O": 1, "P": 2}          # the run that writes a lead, by the status of its order
+
+
+@query("sheet_append", """
+WITH l AS (SELECT d.name AS sheet, d.name LIKE '%.xlsx' AS cleared, job_function AS run, l.uuid, coalesce(email_address, '') AS email,
+             coalesce(direct_phone_number, '') AS phone, bool_or(job_function='P') OVER (PARTITION BY d.name) AS p
+           FROM leads l JOIN drive_metadata d ON d.uuid=l.drive_metadata_uuid),
+kept AS (SELECT *, CASE WHEN run='P' THEN 3 WHEN run='O' THEN 2 ELSE 1 END AS n FROM l WHERE NOT cleared OR NOT p OR run='P'),
+placed AS (SELECT sheet, email, phone, row_number() OVER (PARTITION BY sheet ORDER BY n, uuid) + 1 AS row_no FROM kept)
+SELECT sheet, CAST(row_no AS BIGINT) AS row_no, email||'|'||phone AS cells FROM placed
+UNION ALL SELECT DISTINCT sheet, CAST(1 AS BIGINT), 'Email|Phone' FROM kept""", ("leads", "drive_metadata"))
+def sheet_append(spark, sf_dir):
+    """K-4 over three runs, the last one repeated: leads of new sheets, more leads below them, then leads that replace the sheets of
+    workbooks and go below those of CSV files."""
+    t = Tables(spark, sf_dir)
+    names = t.drive_metadata.select(F.col("uuid").alias("_u"), F.col("name").alias("sheet"))
+    rows = t.leads.join(names, F.col("drive_metadata_uuid") == F.col("_u")).select(
+        F.lit("Quick Mail Output").alias("book"), "sheet", F.col("email_address").alias("Email"), F.col("direct_phone_number").alias("Phone"),
+        "uuid", "job_function")
+    sheets = Sheets(spark, scratch_path(spark, "sheet_rows"))
+    for status, run in [*_SHEET_RUNS.items(), ("P", 2)]:
+        sheets.write(rows.where(F.col("job_function") == status), ["Email", "Phone"], ["uuid"], run,
+                     replace=F.col("sheet").endswith(".xlsx") if status == "P" else False)
+    return sheets.read(2).select("sheet", "row_no", F.array_join("cells", "|").alias("cells"))

@@ -47,19 +47,21 @@ def empty_files(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFram
     return rest.select("path", F.regexp_extract("path", FILE_ID_PATTERN, 1).alias("file_id"))
 
 
-def _open(path: str):
-    """Open a Spark file URI for reading (local or any Hadoop-compatible store pyarrow knows)."""
-    if path.startswith("file:"):
-        p = path[5:]
-        while p.startswith("//"):
-            p = p[1:]
-        return open(p, "rb")
+def filesystem_of(path: str):
+    """(file system, path in it) of a Spark file path: local, or any store that pyarrow knows."""
     from pyarrow import fs
+    if path.startswith("file:") or "://" not in path:
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
     for hadoop, arrow in (("s3a://", "s3://"), ("s3n://", "s3://")):
         if path.startswith(hadoop):
             path = arrow + path[len(hadoop):]
-    filesystem, p = fs.FileSystem.from_uri(path)
-    return filesystem.open_input_stream(p)
+    return fs.FileSystem.from_uri(path)
+
+
+def _open(path: str):
+    """Open a Spark file path for reading."""
+    filesystem, p = filesystem_of(path)
+    return filesystem.open_input_stream(p, compression=None)
 
 
 def _first_record(path: str, chunk: int = 1 << 16) -> tuple[list[str], bool]:
@@ -179,12 +181,13 @@ def read_checked(spark: SparkSession, files: DataFrame, clean: bool = True, na:
             if blank_lines:      # Spark drops a blank line as the header, so the header is still among the rows
                 df = df.where(~F.array(*[F.coalesce(F.col(f"`{n}`"), F.lit("")) for n in raw]).eqNullSafe(F.array(*map(F.lit, names))))
             df = df.select("*", F.col("_metadata.file_path").alias("__path__"))
-            ragged = F.col(RECORD).isNotNull() & (_cells(F.col(RECORD)) > len(raw))
-            # the reader counts a record's cells only if all columns are asked for, so the reason looks at them all
-            reason = F.when(F.concat_ws("", *[F.col(f"`{n}`") for n in raw]) == RECORD, F.lit("")).otherwise(F.lit("more cells than the header"))
-            bad.append(df.where(ragged).select(F.col("__path__").alias("path"), F.col(RECORD).alias("record"), reason.alias("reason"))
-                       .select("path", file_id, "reason", "record"))
-            df = df.where(~ragged).drop(RECORD)
+            # the reader counts a record's cells only if all columns are asked for, so the test looks at them all, whatever
+            # columns the caller takes (cells without their commas never equal the record)
+            joined = F.concat_ws("", *[F.col(f"`{n}`") for n in raw])
+            ragged = F.col(RECORD).isNotNull() & (_cells(F.col(RECORD)) > len(raw)) & (joined != F.col(RECORD))
+            bad.append(df.where(ragged).select(F.col("__path__").alias("path"), F.col(RECORD).alias("record"))
+                       .select("path", file_id, F.lit("more cells than the header").alias("reason"), "record"))
+            df = df.where(~F.coalesce(ragged, F.lit(False))).drop(RECORD)
             if clean:
                 df = df.toDF(*clean_names(raw), "__path__")
             if na:

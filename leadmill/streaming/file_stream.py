@@ -15,24 +15,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType, TimestampType
 
+from ..sinks.archive import move_processed, not_processed
 from ..sources.files import FILE_ID_PATTERN
 
 BINARY_SCHEMA = StructType([StructField("path", StringType()), StructField("modificationTime", TimestampType()),
                             StructField("length", LongType()), StructField("content", BinaryType())])
 
 
-def file_stream(spark: SparkSession, folder: str, glob: str = "*.csv", max_files_per_trigger: int | None = None,
-                archive_dir: str | None = None) -> DataFrame:
-    """Streaming DataFrame of (path, file_id) for files arriving below ``folder``.
-
-    ``archive_dir`` moves processed files there (K-6, ``cleanSource=archive``)."""
+def file_stream(spark: SparkSession, folder: str, glob: str = "*.csv", max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming DataFrame of (path, file_id) for files arriving below ``folder``, outside its ``Processed`` folders."""
     r = (spark.readStream.format("binaryFile").schema(BINARY_SCHEMA).option("pathGlobFilter", glob)
          .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    if archive_dir:
-        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    src = r.load(folder)
+    src = r.load(folder).where(not_processed(F.col("path")))
     return src.select("path", F.regexp_extract("path", FILE_ID_PATTERN, 1).alias("file_id"))
 
 
@@ -40,7 +36,7 @@ MAX_FILES_PER_TRIGGER = 10_000
 
 
 def run_available(spark: SparkSession, folder: str, checkpoint: str,
-                  handler: Callable[[DataFrame, int], None], **source_options) -> int:
+                  handler: Callable[[DataFrame, int], None], archive: bool = False, **source_options) -> int:
     """Process every file present now and stop; an outside scheduler runs this on the reference's timer.
 
     Two phases, so that the result does not depend on how files fall into micro-batches. First the stream
@@ -48,6 +44,9 @@ def run_available(spark: SparkSession, folder: str, checkpoint: str,
     that arrived. Then one call of ``handler(files, run)`` gets all files that no earlier run has handled,
     so all part files of a file id come together. A run that fails is repeated under the same number by
     the next call, on the files recorded so far. Returns the number of runs handled (0 or 1).
+
+    ``archive`` (K-6): the files of handled runs move to ``Processed`` beside them, after the run is marked as handled; a
+    move that did not end is ended by the next call. The outcomes are in ``<checkpoint>_files/archived/run=<n>``.
     """
     source_options.setdefault("max_files_per_trigger", MAX_FILES_PER_TRIGGER)
     base = checkpoint.rstrip("/") + "_files"
@@ -63,6 +62,8 @@ def run_available(spark: SparkSession, folder: str, checkpoint: str,
         raise q.exception()
     batches = folder_numbers(spark, arrived, "batch")
     runs = folder_numbers(spark, handled, "run", complete=True)
+    if archive:
+        _archive(spark, base, runs)
     # a handled run names the last micro-batch that it took; earlier ones are never read again
     last = spark.read.parquet(f"{handled}/run={runs[-1]}").first()[0] if runs else -1
     new = [b for b in batches if b > last]
@@ -74,9 +75,26 @@ def run_available(spark: SparkSession, folder: str, checkpoint: str,
     run = runs[-1] + 1 if runs else 0
     handler(files, run)
     spark.createDataFrame([(new[-1],)], "last_batch long").write.mode("overwrite").parquet(f"{handled}/run={run}")
+    if archive:
+        _archive(spark, base, runs + [run])
     return 1
 
 
+def _archive(spark: SparkSession, base: str, runs: list[int]) -> None:
+    """Move the files of the handled ``runs`` that have not been moved."""
+    done = set(folder_numbers(spark, f"{base}/archived", "run", complete=True))
+    todo = [i for i, n in enumerate(runs) if n not in done]
+    if not todo:
+        return
+    batches = folder_numbers(spark, f"{base}/arrived", "batch")
+
+    def last(i: int) -> int:
+        return spark.read.parquet(f"{base}/handled/run={runs[i]}").first()[0] if i >= 0 else -1
+    for i in todo:
+        taken = [f"{base}/arrived/batch={b}" for b in batches if last(i - 1) < b <= last(i)]
+        move_processed(spark.read.parquet(*taken)).write.mode("overwrite").parquet(f"{base}/archived/run={runs[i]}")
+
+
 def folder_numbers(spark: SparkSession, root: str, name: str, complete: bool = False) -> list[int]:
     """The numbers n of the folders ``root/<name>=<n>``, in order; ``complete``: only those with ``_SUCCESS``."""
     p = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}=*" + ("/_SUCCESS" if complete else ""))
