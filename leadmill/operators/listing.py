@@ -96,10 +96,12 @@ def parent_names(nodes: DataFrame) -> DataFrame:
 
 def folder_parents(nodes: DataFrame) -> DataFrame:
     """J-9: live folders with their parent's name; folders whose parent is not a live folder (the
-    roots) drop out of the inner join; whole-row distinct."""
+    roots) drop out of the inner join; whole-row distinct. ``parent`` may be an array: one row for each parent then."""
     live = nodes.where((F.col("kind") == "folder") & ~F.coalesce(F.col("trashed"), F.lit(False)))
     par = live.select(F.col("id").alias("_pid"), F.col("name").alias("parent_name"))
-    return live.join(par, live["parent"] == par["_pid"]).select("id", "name", "parent", "parent_name").distinct()
+    if nodes.schema["parent"].dataType.typeName() == "array":
+        live = live.withColumn("parent", F.explode("parent"))
+    return live.join(par, F.col("parent") == F.col("_pid")).select("id", "name", "parent", "parent_name").distinct()
 
 
 def ancestors(nodes: DataFrame) -> DataFrame:
@@ -123,37 +125,77 @@ def _union(levels: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _quoted(c: Column) -> Column:
+    """Python ``repr`` of a text: single quotes, double ones if it holds single quotes only; backslashes and line breaks escaped."""
+    t = c
+    for plain, escaped in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        t = F.replace(t, F.lit(plain), F.lit(escaped))
+    both = F.concat(F.lit("'"), F.replace(t, F.lit("'"), F.lit("\\'")), F.lit("'"))
+    return F.when(F.contains(c, F.lit("'")) & ~F.contains(c, F.lit('"')), F.concat(F.lit('"'), t, F.lit('"'))).otherwise(both)
+
+
+def py_repr(c: Column, dtype) -> Column:
+    """Python ``repr`` of a JSON value: None, True / False, numbers, quoted texts, lists, and dicts, of which keys with a NULL
+    value are left out (JSON text read with a schema does not tell an absent key from a null)."""
+    kind = dtype.typeName()
+    if kind == "struct":
+        items = [F.when(c.getField(f.name).isNotNull(), F.concat(F.lit(f"'{f.name}': "), py_repr(c.getField(f.name), f.dataType)))
+                 for f in dtype.fields]
+        text = F.concat(F.lit("{"), F.concat_ws(", ", *items), F.lit("}"))
+    elif kind == "array":
+        text = F.concat(F.lit("["), F.array_join(F.transform(c, lambda x: py_repr(x, dtype.elementType)), ", "), F.lit("]"))
+    elif kind == "string":
+        text = _quoted(c)
+    else:
+        text = py_text(c, dtype)
+    return F.coalesce(text, F.lit("None"))
+
+
 def py_list_text(arr: Column) -> Column:
     """Python ``str(list_of_str)``: "['a', 'b']"; NULL stays NULL."""
-    inner = F.array_join(F.transform(arr, lambda x: F.concat(F.lit("'"), x, F.lit("'"))), ", ")
-    return F.when(arr.isNotNull(), F.concat(F.lit("["), inner, F.lit("]")))
+    return F.when(arr.isNotNull(), F.concat(F.lit("["), F.array_join(F.transform(arr, lambda x: F.coalesce(_quoted(x), F.lit("None"))), ", "),
+                                            F.lit("]")))
 
 
 def py_text(c: Column, dtype) -> Column:
-    """Python ``str(value)`` of a scalar for P-2 (booleans print as True/False)."""
-    if dtype.typeName() == "boolean":
+    """Python ``str(value)`` for P-2 (booleans print as True/False, lists and dicts as Python prints them); NULL stays NULL."""
+    kind = dtype.typeName()
+    if kind == "boolean":
         return F.when(c, F.lit("True")).when(~c, F.lit("False"))
+    if kind in ("struct", "array"):
+        return F.when(c.isNotNull(), py_repr(c, dtype))
     return c.cast("string")
 
 
+def listing_records(pages: DataFrame, schema: str, record_path: str | list[str] = "files", column: str = "page") -> DataFrame:
+    """P-14: the records of API answers kept as JSON text, one row per record with the fields of the record as columns.
+
+    ``schema`` is the answer's type as DDL; ``record_path`` the field that lists the records (a list of names goes down
+    through nested lists). Text that is not JSON of that type, and an answer without the field, are errors, as in
+    the reference; an empty list gives no record, a NULL page none either.
+    """
+    steps = [record_path] if isinstance(record_path, str) else list(record_path)
+    rows = pages.where(F.col(column).isNotNull()).select(F.from_json(column, schema, {"mode": "FAILFAST"}).alias("_r"))
+    for name in steps:
+        listed = F.col("_r").getField(name)
+        wrong = F.raise_error(F.lit(f"no {name!r} in an answer")).cast(rows.select(listed.alias("x")).schema["x"].dataType)
+        rows = rows.select(F.explode(F.when(listed.isNull(), wrong).otherwise(listed)).alias("_r"))
+    return rows.select("_r.*")
+
+
 def flatten_records(records: DataFrame, parent: str | None = None) -> DataFrame:
     """P-14 + P-2: one-level flatten of listing records (struct fields become ``outer.inner``
-    columns, deeper levels stay nested), lists and scalars in their Python text form. With
+    columns, deeper levels stay nested), everything in its Python text form. With
     ``parent`` only records whose ``parents`` contain it are kept."""
     if parent is not None:
         records = records.where(F.array_contains(F.col("parents"), parent))
     cols = []
     for f in records.schema.fields:
-        t = f.dataType.typeName()
-        if t == "struct":
+        if f.dataType.typeName() == "struct":
             for sub in f.dataType.fields:
-                c = F.col(f"`{f.name}`.`{sub.name}`")
-                cols.append((py_text(c, sub.dataType) if sub.dataType.typeName() not in ("struct", "array")
-                             else F.to_json(c)).alias(f"{f.name}.{sub.name}"))
-        elif t == "array":
-            cols.append(py_list_text(F.col(f.name)).alias(f.name))
+                cols.append(py_text(F.col(f"`{f.name}`.`{sub.name}`"), sub.dataType).alias(f"{f.name}.{sub.name}"))
         else:
-            cols.append(py_text(F.col(f.name), f.dataType).alias(f.name))
+            cols.append(py_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name))
     return records.select(*cols)
 
 

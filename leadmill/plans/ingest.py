@@ -12,7 +12,7 @@ from ..functions.scalar import landing_folder
 from ..operators.align import align_fill, align_intersect, row_uuid, stamp
 from ..sinks.writers import land_csv
 from ..schemas import insert_columns
-from ..sources.files import empty_files, list_files, read_checked, read_header_groups
+from ..sources.files import empty_files, list_files, read_checked
 
 
 def file_uuids(catalog: DataFrame) -> DataFrame:
@@ -88,17 +88,22 @@ def enriched_select(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def land_files(spark: SparkSession, files: DataFrame, catalog: DataFrame, nodes: DataFrame, landing: str,
-               workbooks: str | None = None) -> str:
+               workbooks: str | None = None, quarantine: str | None = None) -> str:
     """S-6 + K-3 for many files at once: CSV files and (``workbooks``) XLSX files are read by
     their kind, each file's rows keep their own header, a stray ``drive_metadata_uuid`` is
     replaced by the catalog's (P-8), and rows land as CSV under
-    ``file_type=<parent folder, X-7>/file_id=<id>``. Returns ``landing``."""
+    ``file_type=<parent folder, X-7>/file_id=<id>``. What is refused of the catalog's files (``files.read_checked``,
+    ``xlsx.refused_rows``) goes to ``quarantine`` if it is given. Returns ``landing``."""
     from ..operators.listing import parent_names
     folder = parent_names(nodes).select(F.col("id").alias("file_id"), landing_folder(F.col("parent_name")).alias("file_type"))
-    groups = read_header_groups(spark, files, clean=False)
+    groups, bad = read_checked(spark, files, clean=False)
     if workbooks:
-        from ..sources.xlsx import read_rows, rows_by_header
-        groups += rows_by_header(spark, read_rows(spark, workbooks), clean=False)
+        from ..sources.xlsx import read_rows, refused_rows, rows_by_header
+        cells = read_rows(spark, workbooks)
+        groups += rows_by_header(spark, cells, clean=False)
+        bad = bad.unionByName(refused_rows(cells))
+    if quarantine:
+        bad.join(file_uuids(catalog).select("file_id"), "file_id", "left_semi").write.mode("overwrite").parquet(quarantine)
     for g in groups:
         g = g.drop("drive_metadata_uuid", "path").join(file_uuids(catalog), "file_id", "inner").join(folder, "file_id", "inner")
         land_csv(g, landing)

@@ -279,7 +279,9 @@ def timer_run(state: State, listing: DataFrame, nodes: DataFrame, config: DataFr
     its CSV files; ``workbooks``: folder of its workbooks, which are all opened).
 
     The listing and the config sheet are written down first, so that all outputs come from one state of them. Outputs:
-    ``notices/batch=<run>`` (uuid, text), ``ready/batch=<run>``, ``absent/batch=<run>`` (ready files of which no row landed)
+    ``notices/batch=<run>`` (uuid, text), ``ready/batch=<run>``, ``absent/batch=<run>`` (ready files of which no row landed),
+    ``quarantine/batch=<run>`` (records and files that landing refused), ``unknown_types/batch=<run>`` (uuid and derived type of
+    files whose folder names no type, V-1)
     and ``landing`` by file. The catalog's version ``run`` is written last and publishes the run: a run that failed
     before is repeated under its number, finds the same new files and replaces its own outputs. Only buckets
     with changed rows are written.
@@ -292,7 +294,9 @@ def timer_run(state: State, listing: DataFrame, nodes: DataFrame, config: DataFr
     ready = state.once(ready.select("id", "uuid", "name", "file_type"), "ready", run)
     ids = ready.select(F.col("id").alias("_ready"))
     landing = land_files(state.spark, semi(files, ids, F.col("file_id") == F.col("_ready")), ready, nodes, state.path("landing"),
-                         workbooks=workbooks)
+                         workbooks=workbooks, quarantine=state.path(f"quarantine/batch={run:010d}"))
+    derived = cat.derive_file_types(catalog, nodes.where(F.col("kind") == "folder"))      # valid types have been applied
+    state.once(cat.split_enum(derived, "file_type", X.FILE_TYPE_VALUES)[1], "unknown_types", run)
     absent = ready
     if path_exists(state.spark, landing):
         landed = fl.list_files(state.spark, landing).select(F.col("file_id").alias("_landed")).distinct()

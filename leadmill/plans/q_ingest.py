@@ -6,6 +6,7 @@ folder below the shared work folder, then run the operator on them.
 
 from __future__ import annotations
 
+import datetime as dt
 import functools
 
 from pyspark.sql import functions as F
@@ -467,3 +468,20 @@ def sheet_append(spark, sf_dir):
         sheets.write(rows.where(F.col("job_function") == status), ["Email", "Phone"], ["uuid"], run,
                      replace=F.col("sheet").endswith(".xlsx") if status == "P" else False)
     return sheets.read(2).select("sheet", "row_no", F.array_join("cells", "|").alias("cells"))
+
+
+@query("replace_table", f"""
+SELECT uuid, email_address, phone, CAST(max(length(email_address)) OVER () AS INTEGER) AS email_length, inserted_at
+FROM (SELECT CAST(uuid AS VARCHAR) AS uuid, email_address, coalesce(mobile_phone, direct_phone_number) AS phone, {_BATCH} AS inserted_at
+      FROM leads WHERE email_address IS NOT NULL) l""", ("leads",))
+def replace_table(spark, sf_dir):
+    """K-1 + K-5: a database that is created twice, a table that is filled and then replaced by one with other columns."""
+    leads = Tables(spark, sf_dir).leads
+    path = scratch_path(spark, "stg")
+    wr.replace_table(leads, "leadmill_stg", "leads_load", path, fx.BATCH_TS - dt.timedelta(days=1))
+    second = leads.where(F.col("email_address").isNotNull()).select(
+        "uuid", "email_address", F.coalesce("mobile_phone", "direct_phone_number").alias("phone"))
+    wr.replace_table(second, "leadmill_stg", "leads_load", path, fx.BATCH_TS)
+    declared = spark.sql("DESCRIBE leadmill_stg.leads_load").where(F.col("col_name") == "email_address")
+    length = declared.select(F.regexp_extract("data_type", r"(\d+)", 1).cast("int")).scalar()
+    return spark.read.table("leadmill_stg.leads_load").withColumn("email_length", length).withColumnRenamed("_inserted_at", "inserted_at")

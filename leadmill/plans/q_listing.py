@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import scalar as X
 from ..functions.headers import clean_headers
 from ..operators import listing as ls
+from ..sources import fixtures as fx
 from ..sources.fixtures import NOW
 from ..sources.tables import Tables
 from .registry import query
@@ -143,3 +144,40 @@ def scalar_file_type(spark, sf_dir):
     n = Tables(spark, sf_dir).nodes.where(F.col("kind") == "folder")
     return n.select("id", "name", X.file_type_from_folder(F.col("name")).alias("file_type"),
                     X.landing_folder(F.col("name")).alias("landing_folder"))
+
+
+_RECORDS_SQL = """
+SELECT 'id'||s_suppkey AS id, s_name||CASE WHEN s_suppkey%3=0 THEN '.xlsx' ELSE '.csv' END AS name,
+  '[''n'||s_nationkey||''''||CASE WHEN s_suppkey%4=1 THEN ', ''shared''' ELSE '' END||']' AS parents,
+  '[{''displayName'': ''user'||(s_suppkey%4)||''', ''me'': '||CASE WHEN s_suppkey%2=0 THEN 'True' ELSE 'False' END
+    ||CASE WHEN s_suppkey%6<>0 THEN ', ''emailAddress'': "o''user'||(s_suppkey%4)||'@corp.com"' ELSE '' END||'}]' AS owners,
+  CASE WHEN s_suppkey%5<>0 THEN 'user'||(s_suppkey%4) END AS lastmodifyinguser_displayname,
+  CASE WHEN s_suppkey%5<>0 THEN '{''link'': ''p/'||s_suppkey||''', ''size'': '||(s_suppkey%9)||'}' END AS lastmodifyinguser_photo,
+  CASE WHEN s_suppkey%8<>0 THEN CAST(s_suppkey*1000 AS VARCHAR) END AS size
+FROM supplier"""
+
+
+@query("flatten_record_path", _RECORDS_SQL)
+def flatten_record_path(spark, sf_dir):
+    """P-14: answers as JSON text, their ``files`` one row each, flattened one level; deeper levels as Python prints them."""
+    return clean_headers(ls.flatten_records(ls.listing_records(fx.listing_pages(spark, sf_dir), fx.PAGE_SCHEMA)))
+
+
+@query("flatten_of_parent", f"SELECT id, name, parents FROM ({_RECORDS_SQL}) r WHERE contains(parents, '''shared''')")
+def flatten_of_parent(spark, sf_dir):
+    """P-14: only the files that have a given folder among their parents."""
+    records = ls.listing_records(fx.listing_pages(spark, sf_dir), fx.PAGE_SCHEMA)
+    return ls.flatten_records(records.select("id", "name", "parents"), parent="shared")
+
+
+@query("folder_parents_listed", """
+WITH live AS (SELECT * FROM nodes WHERE kind='folder' AND NOT coalesce(trashed, false)),
+edges AS (SELECT id, name, parent FROM live WHERE parent IS NOT NULL
+          UNION ALL SELECT id, name, 'r0' FROM live WHERE name='Processed' UNION ALL SELECT id, name, 'gone' FROM live WHERE parent IS NULL)
+SELECT DISTINCT e.id, e.name, e.parent, p.name AS parent_name FROM edges e JOIN live p ON p.id=e.parent""", ("nodes",))
+def folder_parents_listed(spark, sf_dir):
+    """J-9 where a folder may lie in several folders: 'Processed' folders also in the first root, roots in one that is not there."""
+    nodes = Tables(spark, sf_dir).nodes
+    also = F.when(F.col("name") == "Processed", F.array(F.col("parent"), F.lit("r0"), F.col("parent"))).otherwise(F.array(F.col("parent")))
+    listed = F.when(F.col("parent").isNull(), F.array(F.lit("gone"))).otherwise(also)
+    return ls.folder_parents(nodes.withColumn("parent", listed))

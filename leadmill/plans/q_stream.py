@@ -213,3 +213,15 @@ def timer_landed(spark, sf_dir):
     """R-1 whole: the rows of the files that the run landed, read back."""
     state = _run_timer(spark, sf_dir)
     return ingest(spark, state.path("landing"), state.read("catalog", 0), "leads", fx.BATCH_TS).select(*_INGEST_COLS)
+
+
+@query("sync_quarantine", """
+SELECT d.id, replace(lower(trim(p.name)), ' ', '_') AS file_type
+FROM drive_metadata d JOIN nodes p ON p.id=d.parent AND p.kind='folder'
+WHERE replace(lower(trim(p.name)), ' ', '_') NOT IN ('zi_search', 'city_search', 'data_drop')""", ("drive_metadata", "nodes"))
+def sync_quarantine(spark, sf_dir):
+    """V-1 in the timer run: files whose folder's name is no file type, with that name."""
+    state = _run_timer(spark, sf_dir)
+    known = state.read("catalog", 0).select(F.col("uuid").alias("_u"), "id")
+    bad = spark.read.parquet(state.path("unknown_types"))
+    return bad.join(known, F.col("uuid") == F.col("_u")).select("id", "file_type")

@@ -6,8 +6,9 @@ AQE splits a hot key over several tasks, and ``maxRecordsPerFile`` bounds every
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import ntz
@@ -55,6 +56,44 @@ def replace_load(df: DataFrame, path: str, batch_ts: dt.datetime) -> DataFrame:
     return max_lengths(stored.drop("_inserted_at"))
 
 
+def ensure_database(spark: SparkSession, database: str) -> None:
+    """K-5: create the database if it is not there; a repeated call changes nothing."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted_name(database)}")
+
+
+def quoted_name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text_lengths(df: DataFrame) -> dict[str, int]:
+    """A-7 as numbers: one aggregate, one row to the driver (a number per column); an empty table has none."""
+    if not df.columns:
+        return {}
+    lengths = df.agg(*[F.max(F.coalesce(F.length(F.col(quoted_name(c)).cast("string")), F.lit(3))).alias(f"_{i}")
+                       for i, c in enumerate(df.columns)]).first()
+    return {c: lengths[i] for i, c in enumerate(df.columns) if lengths[i] is not None}
+
+
+def replace_table(df: DataFrame, database: str, table: str, path: str, batch_ts: dt.datetime) -> None:
+    """K-1: ``database.table`` gets the rows of ``df``, all columns as text of a declared length (the longest text, A-7; 3 at
+    least where a value is missing), and ``_inserted_at``. What it held before is replaced, with its columns.
+
+    The rows are written first, to a folder of their own below ``path``; the table then changes to that folder, so a
+    load that fails leaves the old rows in place. Later inserts of longer texts are refused by Spark.
+    """
+    spark = df.sparkSession
+    texts = df.select(*[F.col(quoted_name(c)).cast("string").alias(c) for c in df.columns])
+    load = f"{path.rstrip('/')}/load={uuid.uuid4().hex[:12]}"
+    texts.withColumn("_inserted_at", ntz(batch_ts)).write.mode("errorifexists").parquet(load)
+    stored = spark.read.parquet(load)
+    lengths = text_lengths(stored.drop("_inserted_at"))
+    columns = ", ".join(f"{quoted_name(c)} VARCHAR({max(1, lengths.get(c, 1))})" for c in texts.columns)
+    ensure_database(spark, database)
+    name = f"{quoted_name(database)}.{quoted_name(table)}"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} ({columns}, _inserted_at TIMESTAMP_NTZ) USING parquet LOCATION '{load}'")
+
+
 def max_lengths(df: DataFrame) -> DataFrame:
     """A-7: longest text per column in one pass; a missing value counts as its text form 'nan'
     (3), as ``astype(str)`` prints pandas' NaN in the reference."""

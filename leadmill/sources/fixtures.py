@@ -267,6 +267,31 @@ def listing_records(spark: SparkSession, sf_dir: str, id_shift: int = 0) -> Data
     )
 
 
+FILES_PER_PAGE = 100
+PAGE_SCHEMA = ("nextPageToken string, files array<struct<id: string, name: string, parents: array<string>, "
+               "owners: array<struct<displayName: string, me: boolean, emailAddress: string>>, "
+               "lastModifyingUser: struct<displayName: string, photo: struct<link: string, size: int>>, size: bigint>>")
+
+
+def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listing as the API's answers: JSON text of at most ``FILES_PER_PAGE`` files each. Files may have two parents, no
+    last user, and owners as a list of objects."""
+    s = _t(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    owner = F.struct(_s("user", k % 4).alias("displayName"), (k % 2 == 0).alias("me"),
+                     F.when(k % 6 != 0, _s("o'user", k % 4, "@corp.com")).alias("emailAddress"))
+    file = F.struct(
+        _s("id", k).alias("id"), _s(F.col("s_name"), _ext(k)).alias("name"),
+        F.when(k % 4 == 1, F.array(_s("n", F.col("s_nationkey")), F.lit("shared"))).otherwise(F.array(_s("n", F.col("s_nationkey")))).alias("parents"),
+        F.array(owner).alias("owners"),
+        F.when(k % 5 != 0, F.struct(_s("user", k % 4).alias("displayName"),
+                                    F.struct(_s("p/", k).alias("link"), (k % 9).cast("int").alias("size")).alias("photo"))).alias("lastModifyingUser"),
+        F.when(k % 8 != 0, k * 1000).alias("size"))
+    page = F.floor(k / FILES_PER_PAGE)
+    return s.groupBy(page.alias("_page")).agg(F.collect_list(file).alias("files")).select(
+        F.to_json(F.struct(_s("t", F.col("_page")).alias("nextPageToken"), "files")).alias("page"))
+
+
 # ---- vendor lead files (CSV) derived from the leads view -------------------------------------
 
 VENDOR_LAYOUTS = 3   # file number % 3 picks the header layout of a lead file
