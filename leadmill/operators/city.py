@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import det_uuid, ntz, sheet_name, text_escape
+from ..session import work_dir
 from .joins import anti, domain_join
 from .leads import TRACKING_COLUMNS, blocked_emails, latest_per_key, status_metrics, track_customers
 
@@ -35,25 +36,28 @@ def unseen_elsewhere(city: DataFrame, catalog: DataFrame, null_safe: bool = Fals
     * otherwise a row passes when its dataid is not NULL and occurs in no other file.
 
     File f = catalog id; a row whose file uuid has no catalog row is outside every file.
-    One aggregate per dataid and one per file replace a NOT IN per file; both aggregate
+    The listing is read twice: once for its counts per (dataid, file), which are checkpointed and from which the totals and the
+    statistics per file and per dataid come, and once for the rows. The counts aggregate
     map-side, so a hot dataid or a hot file costs one row per task in the shuffle.
-    ``file_ids`` (column ``file_id``) limits the output to those files; the per-dataid
-    aggregate then covers only their dataids (the two totals still count every row).
+    ``file_ids`` (column ``file_id``) limits the output to those files; only their dataids are then
+    counted one by one, all others in one count per file (one reading more, to find them).
     """
     carried = [F.col("name").alias("file_name")] if "name" in catalog.columns else []       # saves a second join
     ids = catalog.select(F.col("uuid").alias("_fu"), F.col("id").alias("file_id"), *carried)
     c = city.join(ids, city["drive_metadata_uuid"] == ids["_fu"], "left").drop("_fu")
-    per_file = c.groupBy("file_id").agg(
-        F.count(F.lit(1)).alias("_n_f"), F.count(F.when(F.col("dataid").isNull(), 1)).alias("_nulls_f"))
-    totals = per_file.select(F.struct(F.sum("_n_f").alias("n"), F.sum("_nulls_f").alias("nulls"))).scalar()
     mine = c.where(F.col("file_id").isNotNull())
-    ids_seen = c.where(F.col("dataid").isNotNull())
-    if file_ids is not None:
+    if file_ids is None:
+        seen = c.select(F.col("dataid").alias("_d"), "file_id", "dataid")
+    else:       # dataids of other files only count by file
         mine = mine.join(file_ids.select(F.col("file_id").alias("_sel")).distinct(),
                          F.col("file_id") == F.col("_sel"), "left_semi")
-        ids_seen = ids_seen.join(mine.select(F.col("dataid").alias("_dd")).distinct(),
-                                 F.col("dataid") == F.col("_dd"), "left_semi")
-    per_id = ids_seen.groupBy(F.col("dataid").alias("_d")).agg(
+        seen = c.select("dataid", "file_id").join(mine.select(F.col("dataid").alias("_d")).distinct(), F.col("dataid") == F.col("_d"), "left")
+    work_dir(city.sparkSession)
+    cells = seen.groupBy("_d", "file_id").agg(
+        F.count(F.lit(1)).alias("_n"), F.count(F.when(F.col("dataid").isNull(), 1)).alias("_nulls")).checkpoint()
+    per_file = cells.groupBy("file_id").agg(F.sum("_n").alias("_n_f"), F.sum("_nulls").alias("_nulls_f"))
+    totals = cells.select(F.struct(F.sum("_n").alias("n"), F.sum("_nulls").alias("nulls"))).scalar()
+    per_id = cells.where(F.col("_d").isNotNull()).groupBy("_d").agg(
         F.min("file_id").alias("_min_f"), F.max("file_id").alias("_max_f"),
         F.count(F.when(F.col("file_id").isNull(), 1)).alias("_orphans"))
     rows = mine.join(per_file, "file_id") \
