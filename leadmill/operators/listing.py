@@ -3,9 +3,9 @@ created_time, modified_time, file_extension)``: the recursive recent-file walk (
 (S-2), flat recent listing (S-3), folder lookups (S-4), parent names (S-5, J-9), ancestors (J-10),
 the one-level flatten of API records (P-14) and the union of differing listings (O-1).
 
-Tree walks are level-by-level joins (breadth first, like the reference's queue); each level is
-one distributed join and is checkpointed; the loop ends when a level reaches nothing new, so trees may
-be of any depth and cycles end by themselves.
+Tree walks are closures by doubling: after round k all paths of up to 2^k steps are known, so a tree of depth d takes
+log2(d) rounds, over its folders only; files join the result once. Trees may be of any depth, nodes may have
+several parents, and cycles end by themselves.
 """
 
 from __future__ import annotations
@@ -31,16 +31,22 @@ def children(nodes: DataFrame) -> DataFrame:
     return nodes.where(F.col("parent").isNotNull() & _visible(nodes))
 
 
-def _walk(frontier: DataFrame, step, key: list[str]) -> list[DataFrame]:
-    """Breadth-first expansion: ``step(frontier)`` gives the next level; pairs ``key`` already reached are left out."""
-    work_dir(frontier.sparkSession)
-    levels, seen = [frontier], frontier.select(*key)
+def _closure(edges: DataFrame) -> DataFrame:
+    """(id, anc, lvl): all that each ``id`` of ``edges`` (id, anc) reaches, with the least number of steps. A path of h + m steps, m <= h,
+    is one of exactly h steps and one of m, so a round joins only the paths found last with those known, and
+    only new pairs are checkpointed."""
+    work_dir(edges.sparkSession)
+    h, last = 1, edges.where(F.col("id").isNotNull() & F.col("anc").isNotNull()).distinct().withColumn("lvl", F.lit(1)).checkpoint()
+    known = last
     while True:
-        frontier = step(frontier).join(seen, key, "left_anti").checkpoint()
-        if frontier.isEmpty():
-            return levels
-        levels.append(frontier)
-        seen = seen.union(frontier.select(*key))
+        longest = last.where(F.col("lvl") == h)
+        if longest.isEmpty():
+            return known
+        on = known.select(F.col("id").alias("_i"), F.col("anc").alias("_a"), F.col("lvl").alias("_l"))
+        step = longest.join(on, longest["anc"] == on["_i"]).groupBy("id", F.col("_a").alias("anc")).agg(
+            F.min(F.col("lvl") + F.col("_l")).alias("lvl"))
+        last = step.join(known, ["id", "anc"], "left_anti").checkpoint()
+        known, h = known.unionByName(last), 2 * h
 
 
 def recent_files_recursive(nodes: DataFrame, roots: DataFrame, now: dt.datetime, delta_days: int = 7) -> DataFrame:
@@ -51,13 +57,10 @@ def recent_files_recursive(nodes: DataFrame, roots: DataFrame, now: dt.datetime,
     """
     d = day_floor_minus(now, delta_days)
     vis = children(nodes).select("id", "parent", "name", "kind", "created_time", "modified_time", "file_extension")
-    folders = vis.where(F.col("kind") == "folder").select(F.col("id").alias("_cid"), F.col("parent").alias("_p"))
-    start = roots.select(F.col("id").alias("root"), F.col("id").alias("folder"))
-
-    def step(front: DataFrame) -> DataFrame:
-        return front.join(folders, front["folder"] == folders["_p"]).select("root", F.col("_cid").alias("folder"))
-
-    walked = _union(_walk(start, step, ["root", "folder"]))
+    folders = vis.where(F.col("kind") == "folder").select("id", F.col("parent").alias("anc"))
+    root = roots.select(F.col("id").alias("root")).distinct()
+    below = _closure(folders).where(F.col("id") != F.col("anc")).join(root, F.col("anc") == F.col("root"))
+    walked = below.select("root", F.col("id").alias("folder")).unionByName(root.select("root", F.col("root").alias("folder")))
     files = vis.where((F.col("kind") == "file") & ((F.col("modified_time") >= d) | (F.col("created_time") >= d)))
     return walked.join(files, walked["folder"] == files["parent"]).select(
         "root", "id", "name", "parent", "created_time", "modified_time", "file_extension")
@@ -106,25 +109,16 @@ def folder_parents(nodes: DataFrame) -> DataFrame:
 
 def ancestors(nodes: DataFrame) -> DataFrame:
     """J-10 for every node: (id, lvl, name) of each ancestor, nearest first (lvl 1 = parent)."""
-    edges = nodes.where(F.col("parent").isNotNull()).select(F.col("id").alias("_eid"), F.col("parent").alias("_ep"))
-    start = nodes.where(F.col("parent").isNotNull()).select("id", F.col("parent").alias("anc"), F.lit(1).alias("lvl"))
-
-    def step(front: DataFrame) -> DataFrame:
-        return front.join(edges, front["anc"] == edges["_eid"]).select("id", F.col("_ep").alias("anc"),
-                                                                        (F.col("lvl") + 1).alias("lvl"))
-
-    up = _union(_walk(start, step, ["id", "anc"]))
+    start = nodes.where(F.col("parent").isNotNull()).select("id", F.col("parent").alias("anc"))
+    inner = start.join(start.select(F.col("anc").alias("_in")).distinct(), F.col("id") == F.col("_in"), "left_semi")
+    far = _closure(inner).select(F.col("id").alias("_i"), F.col("anc").alias("_a"), F.col("lvl").alias("_l"))
+    up = start.withColumn("lvl", F.lit(1)).unionByName(
+        start.join(far, F.col("anc") == F.col("_i")).select("id", F.col("_a").alias("anc"), (F.col("_l") + 1).alias("lvl")))
+    up = up.groupBy("id", "anc").agg(F.min("lvl").alias("lvl"))
     names = nodes.select(F.col("id").alias("_nid"), "name")
     return up.join(names, up["anc"] == names["_nid"]).select("id", "lvl", "name")
 
 
-def _union(levels: list[DataFrame]) -> DataFrame:
-    out = levels[0]
-    for lv in levels[1:]:
-        out = out.unionByName(lv)
-    return out
-
-
 def _quoted(c: Column) -> Column:
     """Python ``repr`` of a text: single quotes, double ones if it holds single quotes only; backslashes and line breaks escaped."""
     t = c

@@ -44,3 +44,29 @@ def test_replaced_table_keeps_declared_lengths(spark):
         spark.sql("INSERT INTO leadmill_test.t VALUES ('toolong', TIMESTAMP_NTZ '2024-01-01 00:00:00')")
     wr.replace_table(df.limit(0), "leadmill_test", "t", path, BATCH_TS)
     assert spark.read.table("leadmill_test.t").count() == 0
+
+
+def test_deep_tree_cycle_and_two_parents(spark):
+    """Both walks against breadth-first search in Python."""
+    edges = [(f"c{i}", f"c{i - 1}") for i in range(1, 40)] + [("x", "y"), ("y", "z"), ("z", "x"), ("m", "c3"), ("m", "c30"), ("s", "s")]
+    rows = [("c0", None, "c0", "folder")] + [(i, p, i, "folder") for i, p in edges] + \
+        [(f"f{i}", p, f"f{i}", "file") for i, p in enumerate(["c39", "m", "x", "c0", "gone"])]
+    nodes = spark.createDataFrame(rows, "id string, parent string, name string, kind string").selectExpr(
+        "*", "false AS trashed", "timestamp_ntz '2024-01-28 00:00:00' AS created_time", "timestamp_ntz '2024-01-28 00:00:00' AS modified_time",
+        "'csv' AS file_extension")
+    parents = {}
+    for i, p, _, _ in rows:
+        parents.setdefault(i, set()).update({p} - {None})
+
+    def up(node):
+        lvl, front, found = 0, {node}, {}
+        while front:
+            lvl, front = lvl + 1, {p for n in front for p in parents.get(n, ())}
+            front = {p for p in front if p not in found}
+            found.update(dict.fromkeys(front, lvl))
+        return found
+    want = sorted((n, lvl, a) for n in parents for a, lvl in up(n).items() for _ in range(sum(r[0] == a for r in rows)))
+    assert sorted((r.id, r.lvl, r.name) for r in ls.ancestors(nodes).collect()) == want
+    roots = spark.createDataFrame([("c0",), ("x",), ("c35",)], "id string")
+    got = sorted((r.root, r.id) for r in ls.recent_files_recursive(nodes, roots, BATCH_TS).collect())
+    assert got == sorted((root, f) for root in ("c0", "x", "c35") for f in parents if f[0] == "f" and root in up(f))
