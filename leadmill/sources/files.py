@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import codecs
 import csv
+import datetime as dt
 import io
 import json
 
@@ -38,6 +39,27 @@ def list_files(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame
                      F.regexp_extract("path", FILE_ID_PATTERN, 1).alias("file_id"))
 
 
+def recent_paths(spark: SparkSession, root: str, now: dt.datetime, delta_days: int | None = 7, sensor_seconds: int = 60,
+                 glob: str = "*.csv") -> DataFrame:
+    """S-1 / S-3 on real folders: ``list_files`` of what changed since, outside all ``Processed`` folders (S-2).
+
+    Day mode: on or after midnight ``delta_days`` days before ``now``, as in the recursive walk; ``delta_days=None``: later than
+    ``sensor_seconds`` before ``now`` (the strict comparison of the flat listing). Times are UTC. Spark leaves older files out while
+    it lists (``modifiedAfter``, whole seconds, so one second earlier than asked); the filter then is exact.
+    """
+    strict = delta_days is None
+    bound = now - dt.timedelta(seconds=sensor_seconds) if strict else \
+        now.replace(hour=0, minute=0, second=0, microsecond=0) - dt.timedelta(days=delta_days)
+    after = (bound - dt.timedelta(seconds=1)).strftime("%Y-%m-%dT%H:%M:%S")
+    found = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+             .option("modifiedAfter", after).option("timeZone", "UTC").load(root))
+    instant = F.unix_micros("modificationTime")
+    micros = round((bound - dt.datetime(1970, 1, 1)) / dt.timedelta(microseconds=1))
+    found = found.where((instant > micros if strict else instant >= micros) & ~F.contains(F.col("path"), F.lit("/Processed/")))
+    return found.select("path", last_path_segment(F.col("path")).alias("file_name"), "length", "modificationTime",
+                        F.regexp_extract("path", FILE_ID_PATTERN, 1).alias("file_id"))
+
+
 def empty_files(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
     """(path, file_id) of the files of zero bytes below ``root``: Spark's readers, and so ``list_files``, leave them out."""
     found = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root))

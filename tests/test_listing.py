@@ -70,3 +70,26 @@ def test_deep_tree_cycle_and_two_parents(spark):
     roots = spark.createDataFrame([("c0",), ("x",), ("c35",)], "id string")
     got = sorted((r.root, r.id) for r in ls.recent_files_recursive(nodes, roots, BATCH_TS).collect())
     assert got == sorted((root, f) for root in ("c0", "x", "c35") for f in parents if f[0] == "f" and root in up(f))
+
+
+def test_recent_paths(spark):
+    import datetime as dt
+    import os
+    from leadmill.sources import files as fl
+    root = scratch_path(spark, "drive")
+    now = dt.datetime(2024, 1, 29, 12, 0, 0, 500_000)
+    midnight = dt.datetime(2024, 1, 22)
+    times = {"a/at_bound.csv": midnight, "a/b/before.csv": midnight - dt.timedelta(milliseconds=1), "a/b/c/new.csv": now,
+             "a/Processed/moved.csv": now, "a/new.txt": now, "a/sensor.csv": now - dt.timedelta(seconds=60),
+             "a/sensor_later.csv": now - dt.timedelta(seconds=60) + dt.timedelta(milliseconds=1)}
+    for name, time in times.items():
+        path = f"{root}/{name}"
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "w") as f:
+            f.write("h\n")
+        micros = round(time.replace(tzinfo=dt.timezone.utc).timestamp() * 1000) * 1_000_000
+        os.utime(path, ns=(micros, micros))
+    names = lambda df: sorted(r.file_name for r in df.collect())
+    assert names(fl.recent_paths(spark, root, now)) == ["at_bound.csv", "new.csv", "sensor.csv", "sensor_later.csv"]
+    assert names(fl.recent_paths(spark, root, now, delta_days=None)) == ["new.csv", "sensor_later.csv"]
+    assert names(fl.recent_paths(spark, root, now + dt.timedelta(days=40))) == []
