@@ -363,6 +363,7 @@ def write_vendor_files(spark: SparkSession, sf_dir: str, root: str) -> str:
 def write_damaged_files(spark: SparkSession, sf_dir: str, root: str) -> str:
     """All lead rows as CSV lines under ``root/file_id=<id>/``, with faults: records with one cell more or one less than the
     header, files whose id no catalog knows (``new<k>``), and files that hold a blank line only. Returns ``root``."""
+    from ..sinks.writers import write_partitioned_lines
     k = F.col("uuid")
     fno = F.floor(k / LEADS_PER_FILE)
     file_id = F.concat(F.when(fno % 7 == 3, "new").otherwise("id"), fno.cast("string")).alias("file_id")
@@ -371,13 +372,9 @@ def write_damaged_files(spark: SparkSession, sf_dir: str, root: str) -> str:
     line = F.when(k % 17 == 0, F.concat_ws(",", *cells)).when(k % 13 == 0, F.concat_ws(",", *cells, title, F.lit("one more"))) \
         .otherwise(F.concat_ws(",", *cells, title))
     rows = leads(spark, sf_dir)
-    lines = rows.select(file_id, k.alias("ord"), line.alias("value"))
-    heads = rows.select(file_id).distinct().select("file_id", F.lit(-1).cast("long").alias("ord"),
-                                                   F.lit("Email Address,ZoomInfo Contact ID,Job Title").alias("value"))
-    (lines.union(heads).repartition("file_id").sortWithinPartitions("file_id", "ord").select("file_id", "value")
-     .write.mode("append").partitionBy("file_id").text(root))
-    blank = rows.where(fno % 5 == 2).select(file_id).distinct().select("file_id", F.lit("").alias("value"))
-    blank.repartition("file_id").write.mode("append").partitionBy("file_id").option("compression", "none").text(f"{root}/blank")
+    write_partitioned_lines(rows.select(file_id, line.alias("_line")), root, ["file_id"], "txt", "Email Address,ZoomInfo Contact ID,Job Title", "append")
+    blank = rows.where(fno % 5 == 2).select(file_id).distinct().select("file_id", F.lit("").alias("_line"))
+    write_partitioned_lines(blank, f"{root}/blank", ["file_id"], "txt", None, "append")
     return root
 
 
