@@ -82,3 +82,19 @@ def test_folders_are_listed_by_few_tasks(spark, tmp_path):
     wr.write_partitioned_csv(spark.range(300).select(F.col("id").cast("string").alias("file_id"), "id"), str(tmp_path), ["file_id"])
     assert int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")) <= 64
     assert fl.list_files(spark, str(tmp_path)).count() == 300
+
+
+@pytest.mark.parametrize("source, ending", [("text", "csv"), ("binaryFile", "xlsx")])
+def test_a_task_reads_many_small_files(spark, tmp_path, source, ending):
+    for i in range(400):
+        (tmp_path / f"file_id=id{i}").mkdir()
+        (tmp_path / f"file_id=id{i}" / f"a.{ending}").write_text("x\n1\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16m")          # a cluster's setting
+    ensure_conf(spark)
+    try:
+        found = spark.read.format(source).option("recursiveFileLookup", "true").load(str(tmp_path))
+        assert found.count() == 400 * (2 if source == "text" else 1)
+        assert found.rdd.getNumPartitions() <= max(8, spark.sparkContext.defaultParallelism)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
