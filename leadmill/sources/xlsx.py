@@ -12,6 +12,7 @@ Writing (for test inputs): ``applyInPandas`` over (file_id, part) groups, each p
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import io
 import json
 import os
@@ -36,13 +37,22 @@ NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
 ROWS_PER_WORKBOOK = 200_000
 
 
-def _col_index(ref: str) -> int:
+_COLUMN = re.compile(r"[A-Z]+")
+
+
+@functools.lru_cache(1 << 15)
+def _column_number(letters: str) -> int:
     n = 0
-    for ch in re.match(r"[A-Z]+", ref).group(0):
+    for ch in letters:
         n = n * 26 + (ord(ch) - 64)
     return n - 1
 
 
+def _col_index(ref: str) -> int:
+    return _column_number(_COLUMN.match(ref).group(0))
+
+
+@functools.lru_cache(1 << 15)
 def _col_letters(i: int) -> str:
     s = ""
     i += 1
@@ -58,6 +68,7 @@ BUILTIN_ELAPSED = {46}
 EPOCH_1900, EPOCH_1904 = dt.datetime(1899, 12, 30), dt.datetime(1904, 1, 1)
 ROWS_PER_SLICE = 5_000
 _M = f"{{{NS['m']}}}"
+_C, _IS, _V, _T, _R = (_M + tag for tag in ("c", "is", "v", "t", "r"))
 
 
 def format_kind(code: str) -> str:
@@ -118,23 +129,30 @@ def cell_text(kind: str, style: str, value: str | None, date1904: bool) -> str |
 
 def _rich_text(item: ET.Element) -> str:
     """The text of a string item: its own and its runs', without phonetic hints."""
-    texts = [t.text or "" for t in item.findall("m:t", NS)]
-    return "".join(texts + [t.text or "" for t in item.findall("m:r/m:t", NS)])
+    own = [t.text or "" for t in item if t.tag == _T]
+    runs = [t.text or "" for r in item if r.tag == _R for t in r if t.tag == _T]
+    return "".join(own + runs)
 
 
 def _elements(part, tag: str):
     """The finished elements ``tag`` of an XML part, one at a time; what was handed out is dropped from memory."""
-    events = ET.iterparse(part, events=("start", "end"))
-    parents: list[ET.Element] = []
-    for event, e in events:
-        if event == "start":
-            parents.append(e)
-            continue
-        parents.pop()
-        if e.tag == _M + tag:
+    name, inside = _M + tag, None
+    above: list[ET.Element] = []        # the elements around the wanted one; those inside it are only passed by
+    for event, e in ET.iterparse(part, events=("start", "end")):
+        if inside is not None:
+            if event == "start" or e.tag != name:
+                continue
             yield e
-            if parents:
-                parents[-1].remove(e)
+            if e is inside:
+                inside = None
+                if above:
+                    above[-1].remove(e)
+        elif event == "end":
+            above.pop()
+        elif e.tag == name:
+            inside = e
+        else:
+            above.append(e)
 
 
 def _cell_styles(z: zipfile.ZipFile) -> list[str]:
@@ -164,14 +182,23 @@ def sheet_rows(data: bytes):
     with z.open(target if target.startswith("xl/") else f"xl/{target}") as part:
         for row in _elements(part, "row"):
             cells: list[str | None] = []
-            for c in row.findall("m:c", NS):
-                at = _col_index(c.get("r")) if c.get("r") else len(cells)
-                kind, inline, v = c.get("t", ""), c.find("m:is", NS), c.find("m:v", NS)
+            for c in row:
+                if c.tag != _C:
+                    continue
+                get = c.get
+                ref, kind, inline, v = get("r"), get("t", ""), None, None
+                for x in c:
+                    if x.tag == _IS and inline is None:
+                        inline = x
+                    elif x.tag == _V and v is None:
+                        v = x
+                at = _col_index(ref) if ref else len(cells)
                 value = _rich_text(inline) if inline is not None else None if v is None else v.text
                 if kind == "s" and value is not None:
                     value = shared[int(value)]
-                s = int(c.get("s", "0"))
-                cells += [None] * (at + 1 - len(cells))
+                s = int(get("s", "0"))
+                if at >= len(cells):
+                    cells += [None] * (at + 1 - len(cells))
                 cells[at] = cell_text(kind, styles[s] if s < len(styles) else "number", value, date1904)
             yield cells
 
@@ -343,7 +370,7 @@ def write_workbooks(df: DataFrame, root: str, key: str = "file_id", rows_per_boo
     def write(pdf: pd.DataFrame) -> pd.DataFrame:
         k, part = pdf[key].iloc[0], int(pdf["_part"].iloc[0])
         path = f"{base}/{key}={k}/part-{part:05d}.xlsx"
-        vals = pdf[cols].astype(object).where(pdf[cols].notna(), None).values.tolist()
+        vals = [list(r) for r in zip(*([None if v is None or v != v else v for v in pdf[c].tolist()] for c in cols))]
         with _open_write(path) as f:
             f.write(workbook_bytes(cols, vals, [(kinds or {}).get(c, "text") for c in cols], date1904))
         return pd.DataFrame({key: [k], "part": [part], "path": [path], "rows": [len(pdf)]})

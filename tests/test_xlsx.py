@@ -78,3 +78,25 @@ def test_slices_refused_rows_and_files(spark):
     assert sorted((r.file_id, r.reason) for r in bad) == [
         ("b", "file that is no workbook"), ("c", "more cells than the header"), ("d", "file that is no workbook")]
     assert [r.record for r in bad if r.file_id == "c"] == ['["2",null,"3"]']
+
+
+def test_elements_come_one_at_a_time_and_leave_nothing_behind():
+    rows = "".join(f'<row r="{i}"><c><is><r><t>a</t></r><t>{i}</t></is></c><other><c/></other></row>' for i in range(1, 4))
+    part = io.BytesIO(f'<worksheet {MAIN}><cols><col/></cols><sheetData>{rows}</sheetData><row r="9"/></worksheet>'.encode())
+    seen = [(e.get("r"), len(e)) for e in xl._elements(part, "row")]
+    assert seen == [("1", 2), ("2", 2), ("3", 2), ("9", 0)]
+
+
+def test_column_letters_and_numbers_are_worked_out_once():
+    assert [xl._col_letters(i) for i in (0, 25, 26, 701, 702)] == ["A", "Z", "AA", "ZZ", "AAA"]
+    assert [xl._col_index(f"{x}7") for x in ("A", "Z", "AA", "ZZ", "AAA")] == [0, 25, 26, 701, 702]
+    assert xl._col_letters.cache_info().currsize and xl._column_number.cache_info().currsize
+
+
+def test_written_workbooks_keep_missing_and_odd_cells(spark):
+    path = scratch_path(spark, "odd_books")
+    rows = [("id1", "nan", None), ("id1", "", "x<&>"), ("id2", None, " two ")]
+    xl.write_workbooks(spark.createDataFrame(rows, "file_id string, a string, b string"), path).count()
+    found = xl.read_rows(spark, path).where(F.col("row_no") > 0).collect()
+    cells = sorted(((r["path"].split("file_id=")[1][:3], *(r["cells"] + [None] * (2 - len(r["cells"])))) for r in found), key=str)
+    assert cells == sorted([("id1", "nan", None), ("id1", "", "x<&>"), ("id2", None, " two ")], key=str)
