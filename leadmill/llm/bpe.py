@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 # Fixed value: the vocabulary's pre-tokenization, as its file's ByteLevel step states it.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-KEPT_WORDS = 250_000        # words whose tokens a worker remembers; the memory is emptied when full
+KEPT_WORDS = 1_000_000      # words whose tokens a worker remembers (some 200 MB); the memory is emptied when full
 KEPT_ARCS = 1_000_000
 ROWS_AT_ONCE = 256
 
@@ -134,6 +134,30 @@ class TokenAutomaton:
         return b"".join(map(self.labels.__getitem__, ids))
 
 
+class _NotCut(Exception):
+    """A chunk with white space beside the space before or after it."""
+
+
+class _Chunks(dict):
+    """The tokens of chunks that have been met, by the chunk without the space before it; others are found when asked for."""
+
+    def __init__(self, words):
+        self.words = words
+
+    def __missing__(self, c: str) -> bytes:
+        if not c or c[0].isspace() or c[-1].isspace():
+            raise _NotCut
+        got = self.words(" " + c)
+        if len(c) <= 24:
+            self.keep(c, got)
+        return got
+
+    def keep(self, c: str, got: bytes) -> None:
+        if len(self) >= KEPT_WORDS:
+            self.clear()
+        self[c] = got
+
+
 class Tokenizer:
     """A byte-level vocabulary file: its special tokens, its word split and its automaton."""
 
@@ -150,8 +174,9 @@ class Tokenizer:
         self.words = regex.compile(SPLIT)
         names = sorted(self.special, key=len, reverse=True)
         self.parts = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
-        self.known: dict[str, bytes] = {}       # words, and chunks without the space before them
-        self.chunks: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
+        self.chunks = _Chunks(self._words)
+        self.label_bytes = pa.array([self.automaton.labels.get(i, b"") for i in range(max(self.automaton.labels) + 1)], pa.binary())
 
     def encode(self, text: str) -> bytes:
         """Token ids as little-endian 32-bit numbers."""
@@ -165,41 +190,47 @@ class Tokenizer:
     def _plain(self, text: str) -> bytes:
         """Cut before each space that stands between two other characters: the word split always cuts there,
         so each chunk has its own tokens. Texts with other white space beside a space are not cut."""
-        chunks = text.split(" ")
-        known = self.chunks
-        if chunks[0][-1:].isspace():
+        first, *rest = text.split(" ")
+        if first[-1:].isspace():
+            return self._words(text)
+        try:
+            return b"".join([self._words(first), *map(self.chunks.__getitem__, rest)])
+        except _NotCut:
             return self._words(text)
-        out = [self._words(chunks[0])]
-        for c in chunks[1:]:
-            got = known.get(c)
-            if got is None:
-                if not c or c[0].isspace() or c[-1].isspace():
-                    return self._words(text)
-                got = self._words(" " + c)
-                if len(c) <= 24:
-                    if len(known) >= KEPT_WORDS:
-                        known.clear()
-                    known[c] = got
-            out.append(got)
-        return b"".join(out)
 
     def _words(self, text: str) -> bytes:
-        """Tokens of the words of the text, each from the automaton or from memory."""
-        out, known = [], self.known
+        """Tokens of the words of the text, each from the automaton or from memory. A word with a space before it is a chunk."""
+        out, known, chunks = [], self.known, self.chunks
         for w in self.words.findall(text):
-            got = known.get(w)
+            got = chunks.get(w[1:]) if w[0] == " " else known.get(w)
             if got is None:
                 got = np.array(self.automaton.encode(w.encode()), np.int32).tobytes()
-                if len(w) <= 24:
+                if len(w) <= 24 and w[0] != " ":
                     if len(known) >= KEPT_WORDS:
                         known.clear()
                     known[w] = got
+                elif len(w) <= 24 and not w.isspace():
+                    chunks.keep(w[1:], got)
             out.append(got)
         return b"".join(out)
 
     def decode(self, ids) -> str:
         return self.automaton.decode(ids).decode("utf-8", errors="replace")
 
+    def decode_all(self, offsets: np.ndarray, ids: np.ndarray) -> pa.Array:
+        """The texts of many documents at once: document k has the ids from ``offsets[k]`` to ``offsets[k + 1]``.
+
+        The labels of all ids, taken in their order, lie in one buffer, of which each text is a stretch. Where this is no valid
+        UTF-8, or too long for one array, each document is decoded alone."""
+        try:
+            taken = self.label_bytes.take(pa.array(ids))
+            ends = np.frombuffer(taken.buffers()[1], np.int32)[taken.offset:taken.offset + len(ids) + 1]
+            texts = pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(ends[offsets]), taken.buffers()[2])
+            texts.validate(full=True)
+            return texts
+        except pa.ArrowInvalid:
+            return pa.array([self.decode(ids[a:b].tolist()) for a, b in zip(offsets, offsets[1:])], pa.string())
+
 
 _LOADED: dict[str, Tokenizer] = {}
 
@@ -219,10 +250,11 @@ def _encode_batches(path: str, decode: bool):
                 batch = whole.slice(at, ROWS_AT_ONCE)
                 coded = [np.frombuffer(tok.encode(t or ""), np.int32) for t in batch.column("text").to_pylist()]
                 offsets = np.concatenate([[0], np.cumsum([len(c) for c in coded])]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(coded)))
+                flat = np.concatenate(coded)
+                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
                 columns = [batch.column("row"), ids]
                 if decode:
-                    columns.append(pa.array([tok.decode(c.tolist()) for c in coded], pa.string()))
+                    columns.append(tok.decode_all(offsets, flat))
                 yield pa.RecordBatch.from_arrays(columns, ["row", "ids", "decoded"][:len(columns)])
     return run
 

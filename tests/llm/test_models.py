@@ -69,6 +69,24 @@ def test_encode_documents(spark, docs):
     assert encode_documents(docs([]), PATH, ["doc_id"]).count() == 0
 
 
+def test_many_texts_are_decoded_at_once():
+    own = tokenizer(PATH)
+    texts = ["", "é a", "x" * 70, "", "<|endoftext|>\n"]
+    ids = [np.frombuffer(own.encode(t), np.int32) for t in texts]
+    half = np.array([own.automaton.ids["é".encode()[:1]]], np.int32)        # half a character
+    for coded, expected in ((ids, texts), ([*ids, half], [*texts, "\ufffd"])):
+        offsets = np.concatenate([[0], np.cumsum([len(c) for c in coded])]).astype(np.int32)
+        assert own.decode_all(offsets, np.concatenate(coded)).to_pylist() == expected
+
+
+def test_300000_words_stay_in_memory(monkeypatch):
+    own = tokenizer(PATH)
+    text = " ".join(f"w{i}" for i in range(300_000))
+    first = own.encode(text)
+    monkeypatch.setattr(own.automaton, "encode", None)      # every word has been met
+    assert own.encode(text) == first
+
+
 def test_query_tokens_equal_the_library_on_all_documents(spark):
     from leadmill.llm.queries import QUERIES
     lib, texts = Library.from_file(PATH), {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
