@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import ntz
-from ..sources.files import filesystem_of
+from ..sources.files import filesystem_of, spread
 
 ROWS_PER_PART = 500_000
 CSV_WRITE_OPTIONS = {"header": "true", "escape": '"', "quote": '"', "ignoreLeadingWhiteSpace": "false",
@@ -72,7 +72,7 @@ def _write_parts(df: DataFrame, path: str, partition_cols: list[str], columns: l
     try:
         parts = rows.mapInArrow(_stage_parts(f"{base}/{staging}", partition_cols, start, suffix, rows_per_part), "folder string, name string")
         parts.write.parquet(f"{base}/{staging}/_parts")
-        staged = spark.read.parquet(f"{base}/{staging}/_parts").groupBy("folder").agg(F.collect_list("name").alias("names"))
+        staged = spread(spark.read.parquet(f"{base}/{staging}/_parts"), "folder").groupBy("folder").agg(F.collect_list("name").alias("names"))
         staged.mapInPandas(_publish(base, staging, mode == "overwrite"), "n long").agg(F.sum("n")).collect()
     finally:
         filesystem.delete_dir(f"{root}/{staging}")

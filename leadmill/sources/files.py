@@ -1,11 +1,14 @@
 """File sources: landing-zone listing (S-9), header sniffing and all-text CSV reads grouped by
 header (S-6/S-7), XLSX workbooks (S-8), config and franchise sheets (S-10/S-11).
 
-Spark's CSV reader maps a given schema to columns *by position*, so files whose headers differ
-must not share one read. Files are grouped by their exact header line (read by a distributed
-task that opens each file and parses only its first record); each group is one all-string
-``spark.read.csv`` over its paths; names are cleaned (P-1), missing markers nulled, and the
-groups are aligned to the target and unioned by name.
+Spark's CSV parser maps a given schema to columns *by position*, so files whose headers differ
+must not share one read. Files are grouped by their exact header line (read by distributed
+tasks that open each file); names are cleaned (P-1), missing markers nulled, and the groups are aligned to the target
+and unioned by name.
+
+Small files are opened by tasks, which get their paths as rows and hand each record to ``from_csv``: a reader of Spark's own keeps
+one status per file in the driver and spends milliseconds on opening each. Large files (``SMALL_BYTES``), and small ones whose quotes
+do not show where records end, are read by ``spark.read.csv`` over their paths.
 """
 
 from __future__ import annotations
@@ -15,8 +18,12 @@ import csv
 import datetime as dt
 import io
 import json
+import re
+from collections.abc import Iterator
+from urllib.parse import quote
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -24,10 +31,14 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ..functions.headers import clean_names
 from ..functions.scalar import last_path_segment
 from ..operators.align import na_to_null
+from ..session import scratch_path
 
 FILE_ID_PATTERN = r"file_id=([^/]+)"
 RECORD = "__record__"          # the text of a record whose number of cells is not the header's
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"', "mode": "PERMISSIVE"}
+SMALL_BYTES = 4 << 20          # files up to this size are read whole by a task
+TASK_BYTES, TASK_FILES = 16 << 20, 1000
+BATCH_BYTES = 4 << 20
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
@@ -86,19 +97,32 @@ def _open(path: str):
     return filesystem.open_input_stream(p, compression=None)
 
 
-def _first_record(path: str, chunk: int = 1 << 16) -> tuple[list[str], bool]:
+def _small(path: str) -> tuple[int, bytes | None]:
+    """The size of a file, and its bytes if it is small."""
+    filesystem, p = filesystem_of(path)
+    with filesystem.open_input_file(p) as f:
+        size = f.size()
+        return size, f.read() if size <= SMALL_BYTES else None
+
+
+def spread(df: DataFrame, key: str, tasks: int = 0) -> DataFrame:
+    """Rows that stand for files, dealt to at least as many tasks as there are cores: by their own bytes they would be taken for one task."""
+    return df.repartition(max(tasks, df.sparkSession.sparkContext.defaultParallelism), key)
+
+
+def _first_record(path: str, chunk: int = 1 << 16, data: bytes | None = None) -> tuple[list[str], bool]:
     """Parse the header record (the first CSV record that is not a blank line, as pandas and Spark take
     it; quoted line breaks allowed), and whether blank lines come before it. Reads the file head in chunks
     only until the record ends."""
     buf, end, begin = "", -1, 0
     decoder = codecs.getincrementaldecoder("utf-8")(errors="replace")   # a character may span chunks
-    with _open(path) as f:
+    with _open(path) if data is None else pa.BufferReader(data) as f:
         while True:
-            data = f.read(chunk)
-            if not data:
+            some = f.read(chunk)
+            if not some:
                 break
             start = len(buf)
-            buf += decoder.decode(data)
+            buf += decoder.decode(some)
             quotes = buf[:start].count('"')
             for i in range(start, len(buf)):
                 ch = buf[i]
@@ -117,14 +141,79 @@ def _first_record(path: str, chunk: int = 1 << 16) -> tuple[list[str], bool]:
     return (rows[0] if rows else []), begin > 0
 
 
-def _sniff(batches):
-    for pdf in batches:
-        yield pd.DataFrame({"path": pdf["path"], "header": [json.dumps(_first_record(p)) for p in pdf["path"]]})
-
-
-def sniff_headers(files: DataFrame) -> DataFrame:
-    """(path, header and blank-lines flag as JSON text) per file, computed by executors (one open per file)."""
-    return files.select("path").mapInPandas(_sniff, "path string, header string")
+BY_LINES, BY_QUOTES, BY_SPARK = "lines", "quotes", "spark"      # where a file's records end
+_LINE_END = re.compile(rb"\r\n|\n|\r")
+_QUOTED_CELL = re.compile(rb'(?<![^,\n])"(?:[^"]|"")*"(?=[,\n]|\Z)')
+_QUOTED_OR_END = re.compile(rb'"(?:[^"]|"")*"|\n')
+_BLANK = bytes(range(33))      # what Java's trim takes for blank
+
+
+def _record_ends(data: bytes, blank_first: bool) -> str:
+    """How a small file is cut into records: at each line end, if no line has an odd number of quotes; at the line ends outside
+    quotes, if each quote belongs to a cell that is quoted as a whole; else by Spark's reader, as are files with both kinds of
+    breaks or with lines of blanks, which it treats in its own way."""
+    if b'"' not in data or all(line.count(b'"') % 2 == 0 for line in _LINE_END.split(data)):
+        return BY_LINES
+    plain = _QUOTED_CELL.sub(b"", data)
+    odd = blank_first or b"\r" in data or b'"' in plain or any(line and not line.strip(_BLANK) for line in plain.split(b"\n"))
+    return BY_SPARK if odd else BY_QUOTES
+
+
+def _records(data: bytes, ends: str) -> list[bytes]:
+    """The records of a small file after its header."""
+    data = data.removeprefix(codecs.BOM_UTF8)
+    if ends == BY_LINES:
+        return [x for x in _LINE_END.split(data) if x.strip(_BLANK)][1:]
+    cuts = [m.start() for m in _QUOTED_OR_END.finditer(data) if m[0] == b"\n"]
+    return [x for x in (data[i + 1:j] for i, j in zip([-1, *cuts], [*cuts, len(data)])) if x][1:]
+
+
+def _sniff(quoted_newlines: bool | None):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for path in pdf["path"]:
+                size, data = _small(path)
+                names, blank_first = header = _first_record(path, data=data)
+                ends = BY_SPARK if data is None or quoted_newlines else BY_LINES if quoted_newlines is False else _record_ends(data, blank_first)
+                out.append((path, json.dumps(header), bool(names), size, ends))
+            yield pd.DataFrame(out, columns=["path", "header", "named", "length", "ends"])
+    return run
+
+
+def sniff_headers(files: DataFrame, quoted_newlines: bool | None = None) -> DataFrame:
+    """Per file: path, header and blank-lines flag as JSON text, whether the header has a cell, length, and how its records end
+    (``_record_ends``). Computed by executors, which open each file once."""
+    return spread(files.select("path"), "path").mapInPandas(_sniff(quoted_newlines), "path string, header string, named boolean, length long, ends string")
+
+
+def _file_uri(path: str) -> str:
+    """A path as ``_metadata.file_path`` spells it: characters that a URI cannot hold are written as %XX."""
+    scheme, rest = re.match(r"(?:([a-z][a-z0-9+.-]*):)?(.*)", path, re.S).groups()
+    if scheme in (None, "file"):
+        scheme, rest = "file", "/" + rest.lstrip("/")
+    return f"{scheme}:" + "".join(c if ord(c) > 127 and not c.isspace() else quote(c, safe="/_-!.~'()*,;:$&+=@") for c in rest)
+
+
+def _ddl(schema: StructType) -> str:
+    return ", ".join("`" + f.name.replace("`", "``") + f"` {f.dataType.simpleString()}" for f in schema)
+
+
+def _read_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The records of small files as bytes, with the files' paths."""
+    def made():
+        return pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(records, pa.binary())], ["path", "line"])
+    for batch in batches:
+        paths, records, held = [], [], 0
+        for path, ends in zip(batch.column("path").to_pylist(), batch.column("ends").to_pylist()):
+            some = _records(_small(path)[1], ends)
+            paths += [_file_uri(path)] * len(some)
+            records += some
+            held += sum(map(len, some))
+            if held > BATCH_BYTES:
+                yield made()
+                paths, records, held = [], [], 0
+        yield made()
 
 
 def quoted_newline_files(spark: SparkSession, paths: list[str]) -> set[str]:
@@ -167,42 +256,59 @@ def read_header_groups(spark: SparkSession, files: DataFrame, clean: bool = True
 def read_checked(spark: SparkSession, files: DataFrame, clean: bool = True, na: bool = True, tag: bool = True,
                  quoted_newlines: bool | None = None) -> tuple[list[DataFrame], DataFrame]:
     """(groups, quarantine). One all-text DataFrame per distinct header, columns cleaned (P-1) unless ``clean=False``,
-    pandas missing markers nulled, plus ``file_id`` and ``path``. The driver receives one row
-    pair (header, path) per file (file metadata only).
+    pandas missing markers nulled, plus ``file_id`` and ``path``. The driver receives the distinct headers, and the paths of
+    large files and of those whose records only Spark's reader finds; all others are listed in a table and read by tasks.
 
     ``quarantine`` (path, file_id, reason, record): records with more cells than the header (pandas stops at them; they
     are in no group), and files without a header. Records with fewer cells are filled with NULL.
 
-    ``quoted_newlines``: ``None`` probes the files; those with line breaks inside quotes are read by one task each, all
-    others can be split. ``True`` / ``False`` say so for all files.
+    ``quoted_newlines``: ``None`` probes the files; large ones with line breaks inside quotes are read by one task each, other
+    large ones can be split. ``True`` / ``False`` say so for all files.
     """
-    # (header, path) pairs come straight from the sniffing tasks (no single task gathers a
-    # group's paths); the driver keeps the path lists, as Spark's file index does anyway
-    by_header: dict[str, list[str]] = {}
-    for r in sniff_headers(files).collect():
-        by_header.setdefault(r["header"], []).append(r["path"])
-    full = [p for h, paths in by_header.items() if json.loads(h)[0] for p in paths]
-    whole = set(full) if quoted_newlines else set() if quoted_newlines is False else quoted_newline_files(spark, full)
+    store = scratch_path(spark, "sniffed")
+    sniff_headers(files, quoted_newlines).write.mode("overwrite").parquet(store)
+    sniffed = spark.read.parquet(store)
+    kinds = sniffed.groupBy("header", "named", (F.col("ends") == BY_SPARK).alias("by_spark")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("length").alias("length")).collect()       # a few rows per header
+    by_header: dict[str, dict[bool, tuple[int, int]]] = {}
+    for r in kinds:
+        by_header.setdefault(r["header"], {})[r["by_spark"]] = r["n"], r["length"]
+    listed = {}                                             # large files and those with odd quotes
+    if any(r["by_spark"] and r["named"] for r in kinds):
+        for r in sniffed.where((F.col("ends") == BY_SPARK) & F.col("named")).select("header", "path", "length").collect():
+            listed.setdefault(r["header"], []).append((r["path"], r["length"]))
+    large = [p for some in listed.values() for p, length in some if length > SMALL_BYTES]
+    whole = {_file_uri(p) for some in listed.values() for p, length in some if length <= SMALL_BYTES or quoted_newlines}
+    whole |= quoted_newline_files(spark, large) if quoted_newlines is None else set()
     out = []
-    empty = [(p,) for h, paths in by_header.items() if not json.loads(h)[0] for p in paths]
     file_id = F.regexp_extract("path", FILE_ID_PATTERN, 1).alias("file_id")
-    bad = [spark.createDataFrame(empty, "path string").select(
+    bad = [sniffed.where(~F.col("named")).select(
         "path", file_id, F.lit("file without a header").alias("reason"), F.lit(None).cast("string").alias("record"))]
-    for header, paths in sorted(by_header.items()):
+    for header, sizes in sorted(by_header.items()):
         names, blank_lines = json.loads(header)
         raw = pandas_names(names)
         if not raw:
             continue
         schema = StructType([StructField(n, StringType(), True) for n in [*raw, RECORD]])
-        for one_task in (True, False):
-            some = sorted(p for p in paths if (p in whole) == one_task)
-            if not some:
-                continue
-            opts = dict(CSV_OPTIONS, multiLine=str(one_task).lower(), columnNameOfCorruptRecord=RECORD)
-            df = spark.read.options(**opts).schema(schema).csv(some)
+        for one_task in (True, False, None):
+            opts = dict(CSV_OPTIONS, multiLine=str(bool(one_task)).lower(), columnNameOfCorruptRecord=RECORD)
+            if one_task is None:
+                if False not in sizes:
+                    continue
+                n, length = sizes[False]
+                mine = sniffed.where((F.col("header") == header) & (F.col("ends") != BY_SPARK)).select("path", "ends")
+                lines = spread(mine, "path", max(length // TASK_BYTES, n // TASK_FILES)).mapInArrow(_read_records, "path string, line binary")
+                # a generator, so that each record is parsed once whatever is asked of its columns
+                parsed = F.from_csv(F.col("line").cast("string"), _ddl(schema), dict(opts, header="false"))
+                df = lines.select(F.col("path").alias("__path__"), F.inline(F.array(parsed)))
+            else:
+                some = sorted(p for p, _ in listed.get(header, ()) if (_file_uri(p) in whole) == one_task)
+                if not some:
+                    continue
+                df = spark.read.options(**opts).schema(schema).csv(some).select("*", F.col("_metadata.file_path").alias("__path__"))
             if blank_lines:      # Spark drops a blank line as the header, so the header is still among the rows
                 df = df.where(~F.array(*[F.coalesce(F.col(f"`{n}`"), F.lit("")) for n in raw]).eqNullSafe(F.array(*map(F.lit, names))))
-            df = df.select("*", F.col("_metadata.file_path").alias("__path__"))
+            df = df.select(*[F.col(f"`{n}`") for n in [*raw, RECORD, "__path__"]])
             # the reader counts a record's cells only if all columns are asked for, so the test looks at them all, whatever
             # columns the caller takes (cells without their commas never equal the record)
             joined = F.concat_ws("", *[F.col(f"`{n}`") for n in raw])
