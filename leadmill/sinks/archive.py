@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.files import filesystem_of
+from ..sources.files import filesystem_of, spread
 
 PROCESSED = "Processed"
 MOVED, MOVED_BEFORE, ABSENT, NAME_TAKEN = "moved", "moved before", "absent", "name taken"
@@ -67,6 +67,6 @@ def _move(batches):
 def move_processed(files: DataFrame) -> DataFrame:
     """(source, target, outcome) of the move of each file of ``files`` (column ``path``). The files move when an action
     runs, so write the result once; a null path has no row."""
-    paths = files.where(F.col("path").isNotNull() & not_processed(F.col("path"))).select("path").distinct()
+    paths = spread(files.where(F.col("path").isNotNull() & not_processed(F.col("path"))).select("path"), "path").distinct()
     pairs = paths.select(F.col("path").alias("source"), processed_path(F.col("path")).alias("target"))
     return pairs.mapInPandas(_move, "source string, target string, outcome string")

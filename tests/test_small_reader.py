@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leadmill.session import scratch_path
+from leadmill.sinks import archive as ar
 from leadmill.sources import files as fl
 
 
@@ -64,3 +65,11 @@ def test_files_without_cells_and_mixed_headers(spark):
     _put(root, "file_id=c/p.csv", b"y,x\n3,4\n")
     _, rows, bad = _read(spark, root)
     assert rows == [("b", "1", "2"), ("c", "4", "3")] and bad == [("a", "file without a header", None)]
+
+def test_moves_are_dealt_to_all_cores(spark):
+    root = scratch_path(spark, "moved")
+    for i in range(40):
+        _put(root, f"file_id={i}/part.csv", b"x\n1\n")
+    moved = ar.move_processed(fl.list_files(spark, root).select("path"))
+    assert "REPARTITION_BY_NUM" in moved._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in moved.groupBy("outcome").count().collect()] == [("moved", 40)]
